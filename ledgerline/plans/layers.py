@@ -1,0 +1,13 @@
+"""A group of the three billing tables in one layer."""
+
+from __future__ import annotations
+
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame
+
+
+class Layer(NamedTuple):
+    customers: DataFrame
+    subscriptions: DataFrame
+    invoices: DataFrame
