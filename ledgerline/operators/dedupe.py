@@ -9,19 +9,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Copies written out by one task at a time; more of them are spread over the cluster.
 COPIES_PER_TASK = 100_000
 
 
-def _sort_key(columns: Sequence[str]) -> Column:
+def _sort_key(columns: Sequence[str]) -> str:
     """Struct that orders like ``columns`` ascending with NULLS LAST."""
-    fields: list[Column] = []
-    for name in columns:
-        fields += [F.col(name).isNull().alias(f"no_{name}"), F.col(name)]
-    return F.struct(*fields)
+    fields = [f"{name} IS NULL AS no_{name}, {name}" for name in columns]
+    return f"struct({', '.join(fields)})"
 
 
 def first_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
@@ -32,11 +30,10 @@ def first_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame
     """
     rest = [c for c in df.columns if c != key and c not in order_by]
     kept = df.groupBy(key).agg(
-        F.min(_sort_key([*order_by, *rest])).alias("kept"),
+        F.expr(f"min({_sort_key([*order_by, *rest])}) AS kept"),
         F.count(F.lit(1)).alias("copies"),
     )
-    columns = [F.col(c) if c == key else F.col("kept")[c].alias(c) for c in df.columns]
-    return kept.select(*columns, "copies")
+    return kept.selectExpr(*[c if c == key else f"kept.{c} AS {c}" for c in df.columns], "copies")
 
 
 def rows_after_first(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:

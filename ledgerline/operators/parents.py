@@ -38,3 +38,10 @@ def without_parent(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return child.where(F.col(key).isNotNull()).join(
         keys, _matches(F.col(key), F.col(PARENT_KEY)), "left_anti"
     )
+
+
+def with_parent(
+    child: DataFrame, parent: DataFrame, key: str, columns: Sequence[str] = ()
+) -> DataFrame:
+    """Inner form of ``attach_parent``: orphans are left out."""
+    return attach_parent(child, parent, key, columns).where(F.col(PARENT_KEY).isNotNull())

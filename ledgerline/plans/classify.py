@@ -1,15 +1,13 @@
 """Classify every raw row once; staging and quarantine are two filters over the result.
 
 A classified frame holds the raw columns, the flags, ``quarantine_reason`` (NULL if there is
-none) and ``is_staged``. A filter on ``is_staged`` makes Spark drop the branch that lists the
-duplicates and turn the left join to the parent into an inner one, so that staging does not
-pay for quarantine.
+none) and ``is_staged``. Judged frames are the same without the duplicates, which are never
+staged. A filter on ``is_staged`` lets Spark turn the left join to the parent into an inner
+one, so that staging does not pay for quarantine.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +18,6 @@ from ledgerline.functions.text import clean_currency, is_blank, is_invalid_email
 from ledgerline.operators.dedupe import first_per_key, rows_after_first
 from ledgerline.operators.parents import PARENT_KEY, attach_parent
 from ledgerline.operators.rules import Rule, first_reason, is_accepted
-from ledgerline.plans.layers import Layer
-from ledgerline.plans.staging import stage_customers, stage_subscriptions
 
 # Order in which the first row of a key is chosen.
 CUSTOMER_ORDER = ["created_at", "email"]
@@ -44,64 +40,70 @@ def repeated_subscriptions(raw: DataFrame) -> DataFrame:
     return rows_after_first(raw, "subscription_id", SUBSCRIPTION_ORDER)
 
 
-def _rejected_copies(rows: DataFrame, flags: Sequence[str], reason: str) -> DataFrame:
-    """Rows that lost the dedupe: their reason is settled, so their flags stay unknown."""
-    return rows.select(
-        "*",
-        *[F.lit(None).cast("boolean").alias(flag) for flag in flags],
-        F.lit(reason).alias("quarantine_reason"),
-        F.lit(False).alias("is_staged"),
+def _with_copies(judged: DataFrame, copies: DataFrame, reason: str) -> DataFrame:
+    """Judged rows plus the rows that lost the dedupe, whose reason is settled and whose flags
+    stay unknown."""
+    rejected = copies.withColumns(
+        {"quarantine_reason": F.lit(reason), "is_staged": F.lit(False)}
     )
+    return judged.unionByName(rejected, allowMissingColumns=True)
 
 
-def classify_customers(raw: DataFrame, config: BillingConfig) -> DataFrame:
-    flags = ["is_invalid_email", "is_missing_country", "is_future_created_at"]
-    flagged = first_customers(raw).select(
-        "*",
-        is_invalid_email(F.col("email")).alias(flags[0]),
-        is_blank(F.col("country")).alias(flags[1]),
-        (F.col("created_at") > as_of(config)).alias(flags[2]),
+def judge_customers(raw: DataFrame, config: BillingConfig) -> DataFrame:
+    """First row of every customer, with its verdict."""
+    flagged = first_customers(raw).withColumns(
+        {
+            "is_invalid_email": is_invalid_email(F.col("email")),
+            "is_missing_country": is_blank(F.col("country")),
+            "is_future_created_at": F.col("created_at") > as_of(config),
+        }
     )
     # Both rules only report: a customer with a bad address still has revenue.
     rules = [
         Rule("invalid_email", F.col("is_invalid_email"), rejects=False),
         Rule("missing_country", F.col("is_missing_country"), rejects=False),
     ]
-    first = flagged.select(
-        "*", first_reason(rules).alias("quarantine_reason"), F.lit(True).alias("is_staged")
-    )
-    return first.unionByName(
-        _rejected_copies(repeated_customers(raw), flags, "duplicate_customer_id")
+    return flagged.withColumns(
+        {"quarantine_reason": first_reason(rules), "is_staged": F.lit(True)}
     )
 
 
-def classify_subscriptions(raw: DataFrame, customers: DataFrame) -> DataFrame:
-    """``customers`` are the staged customers; only their keys are read."""
-    flags = ["is_orphan_customer", "is_invalid_price", "is_invalid_date_range"]
+def judge_subscriptions(raw: DataFrame, customers: DataFrame) -> DataFrame:
+    """First row of every subscription, with its verdict. ``customers`` are the staged ones;
+    only their keys are read."""
+    price, start, end = F.col("monthly_price"), F.col("start_date"), F.col("end_date")
     flagged = (
         attach_parent(first_subscriptions(raw), customers, "customer_id")
-        .select(
-            *raw.columns,
-            F.col(PARENT_KEY).isNull().alias(flags[0]),
-            (F.col("monthly_price") <= 0).alias(flags[1]),
-            (
-                F.col("start_date").isNotNull()
-                & is_after(F.col("start_date"), F.col("end_date"))
-            ).alias(flags[2]),
+        .withColumns(
+            {
+                "is_orphan_customer": F.col(PARENT_KEY).isNull(),
+                "is_invalid_price": price <= 0,
+                "is_invalid_date_range": start.isNotNull() & is_after(start, end),
+            }
         )
+        .drop(PARENT_KEY)
     )
     rules = [
         Rule("orphan_customer_id", F.col("is_orphan_customer"), rejects=True),
         Rule("non_positive_monthly_price", F.col("is_invalid_price"), rejects=True),
         Rule("end_before_start", F.col("is_invalid_date_range"), rejects=False),
     ]
-    first = flagged.select(
-        "*",
-        first_reason(rules).alias("quarantine_reason"),
-        is_accepted(rules).alias("is_staged"),
+    return flagged.withColumns(
+        {"quarantine_reason": first_reason(rules), "is_staged": is_accepted(rules)}
     )
-    return first.unionByName(
-        _rejected_copies(repeated_subscriptions(raw), flags, "duplicate_subscription_id")
+
+
+def classify_customers(raw: DataFrame, config: BillingConfig) -> DataFrame:
+    return _with_copies(
+        judge_customers(raw, config), repeated_customers(raw), "duplicate_customer_id"
+    )
+
+
+def classify_subscriptions(raw: DataFrame, customers: DataFrame) -> DataFrame:
+    return _with_copies(
+        judge_subscriptions(raw, customers),
+        repeated_subscriptions(raw),
+        "duplicate_subscription_id",
     )
 
 
@@ -109,46 +111,39 @@ def classify_invoices(
     raw: DataFrame, subscriptions: DataFrame, config: BillingConfig
 ) -> DataFrame:
     """``subscriptions`` are the staged ones. Adds their customer, plan and end date, so that
-    the marts need no second join, and the amount in the reporting currency."""
-    currency = clean_currency(F.col("currency"))
-    matched = attach_parent(
-        raw, subscriptions, "subscription_id", ["customer_id", "plan_name", "end_date"]
-    ).select(
-        *raw.columns,
-        "customer_id",
-        "plan_name",
-        "end_date",
-        to_reporting_currency(F.col("amount"), currency, config).alias("amount_eur"),
-        F.col(PARENT_KEY).isNull().alias("is_orphan_subscription"),
-        (F.col("amount").isNull() | (F.col("amount") <= 0)).alias("is_invalid_amount"),
-        is_after(F.col("invoice_date"), F.col("end_date")).alias("is_after_end_date"),
+    the marts need no second join, and the amount in the reporting currency. Invoices are not
+    deduplicated."""
+    amount, currency = F.col("amount"), clean_currency(F.col("currency"))
+    matched = (
+        attach_parent(
+            raw, subscriptions, "subscription_id", ["customer_id", "plan_name", "end_date"]
+        )
+        .withColumns(
+            {
+                "amount_eur": to_reporting_currency(amount, currency, config),
+                "is_orphan_subscription": F.col(PARENT_KEY).isNull(),
+                "is_invalid_amount": amount.isNull() | (amount <= 0),
+                "is_after_end_date": is_after(F.col("invoice_date"), F.col("end_date")),
+            }
+        )
+        .drop(PARENT_KEY)
     )
     # Amount and currency come before the orphan test: the invoices of a rejected subscription
     # would otherwise all be called orphans.
     rules = [
-        Rule("null_amount", F.col("amount").isNull(), rejects=True),
-        Rule("non_positive_amount", F.col("amount") <= 0, rejects=True),
+        Rule("null_amount", amount.isNull(), rejects=True),
+        Rule("non_positive_amount", amount <= 0, rejects=True),
         Rule(
             "unsupported_currency", ~currency.isin(config.supported_currencies), rejects=True
         ),
         Rule("orphan_subscription_id", F.col("is_orphan_subscription"), rejects=True),
         Rule("invoice_after_end_date", F.col("is_after_end_date"), rejects=False),
     ]
-    return matched.select(
-        "*",
-        first_reason(rules).alias("quarantine_reason"),
-        is_accepted(rules).alias("is_staged"),
+    return matched.withColumns(
+        {"quarantine_reason": first_reason(rules), "is_staged": is_accepted(rules)}
     )
 
 
-def classify(raw: Layer, config: BillingConfig) -> Layer:
-    """Classify all three tables; an orphan is a child of a row that is not staged."""
-    customers = classify_customers(raw.customers, config)
-    subscriptions = classify_subscriptions(raw.subscriptions, stage_customers(customers))
-    invoices = classify_invoices(raw.invoices, stage_subscriptions(subscriptions), config)
-    return Layer(customers, subscriptions, invoices)
-
-
 def silent_drops(classified: DataFrame) -> DataFrame:
     """Rows that are neither staged nor quarantined for a rejecting reason.
 

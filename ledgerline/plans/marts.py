@@ -2,24 +2,14 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import month_of
 from ledgerline.functions.text import clean_label
-from ledgerline.plans.layers import Layer
-from ledgerline.plans.staging import stage_customers, stage_subscriptions
 from ledgerline.schemas import MART_MONEY
 
 
-class Marts(NamedTuple):
-    mrr_monthly: DataFrame
-    customer_ltv: DataFrame
-    churn_monthly: DataFrame
-
-
 def paid_invoices(classified_invoices: DataFrame) -> DataFrame:
     """Staged invoices that were paid and not billed after the subscription ended."""
     return classified_invoices.where(
@@ -78,15 +68,18 @@ def customer_status(subscriptions: DataFrame) -> DataFrame:
     )
 
 
-def customer_ltv(classified: Layer) -> DataFrame:
-    """One row per staged customer, with zero revenue where nothing was paid."""
-    customers = stage_customers(classified.customers).select(
-        "customer_id", "customer_name", "country"
-    )
-    revenue = customer_revenue(classified.invoices)
-    status = customer_status(stage_subscriptions(classified.subscriptions))
+def customer_ltv(
+    customers: DataFrame, subscriptions: DataFrame, classified_invoices: DataFrame
+) -> DataFrame:
+    """One row per staged customer, with zero revenue where nothing was paid.
+
+    All three sides have one row per customer and share a partitioning; no join shuffles again.
+    """
+    revenue = customer_revenue(classified_invoices)
+    status = customer_status(subscriptions)
     return (
-        customers.join(revenue, "customer_id", "left")
+        customers.select("customer_id", "customer_name", "country")
+        .join(revenue, "customer_id", "left")
         .join(status, "customer_id", "left")
         .select(
             "customer_id",
@@ -116,11 +109,3 @@ def churn_monthly(subscriptions: DataFrame) -> DataFrame:
             F.sum("monthly_price").cast(MART_MONEY).alias("mrr_lost_eur"),
         )
     )
-
-
-def build_marts(classified: Layer) -> Marts:
-    return Marts(
-        mrr_monthly(classified.invoices),
-        customer_ltv(classified),
-        churn_monthly(stage_subscriptions(classified.subscriptions)),
-    )

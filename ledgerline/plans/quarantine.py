@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import clean_currency, clean_label
-from ledgerline.plans.layers import Layer
 from ledgerline.schemas import RAW_CUSTOMERS, RAW_INVOICES, RAW_SUBSCRIPTIONS
 
 
@@ -42,20 +39,6 @@ def quarantine_invoices(classified: DataFrame) -> DataFrame:
     )
 
 
-def quarantine(classified: Layer) -> Layer:
-    return Layer(
-        quarantine_customers(classified.customers),
-        quarantine_subscriptions(classified.subscriptions),
-        quarantine_invoices(classified.invoices),
-    )
-
-
-def reason_counts(quarantined: Layer) -> DataFrame:
-    """Rows per table and reason; each table is counted before the union."""
-    counts = [
-        rows.groupBy("quarantine_reason")
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .select(F.lit(table).alias("table_name"), "quarantine_reason", "row_count")
-        for table, rows in quarantined._asdict().items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+def reason_counts(quarantined: DataFrame) -> DataFrame:
+    """Rows per reason, counted before the shuffle."""
+    return quarantined.groupBy("quarantine_reason").agg(F.count(F.lit(1)).alias("row_count"))

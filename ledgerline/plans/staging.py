@@ -9,7 +9,6 @@ from ledgerline.config import BillingConfig
 from ledgerline.functions.dates import month_of
 from ledgerline.functions.text import clean_country, clean_currency, clean_label, clean_text
 from ledgerline.operators.rules import any_of
-from ledgerline.plans.layers import Layer
 
 
 def stage_customers(classified: DataFrame) -> DataFrame:
@@ -57,11 +56,3 @@ def stage_invoices(classified: DataFrame, config: BillingConfig) -> DataFrame:
         *flags,
         any_of(issues).alias("has_quality_issue"),
     )
-
-
-def stage(classified: Layer, config: BillingConfig) -> Layer:
-    return Layer(
-        stage_customers(classified.customers),
-        stage_subscriptions(classified.subscriptions),
-        stage_invoices(classified.invoices, config),
-    )

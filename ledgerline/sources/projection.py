@@ -7,143 +7,105 @@ The rules are listed in FIXTURES.md.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.plans.layers import Layer
-from ledgerline.sources.readers import conform
 from ledgerline.schemas import RAW
-
-
-def _identifier(prefix: str, key: str, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(F.col(key).cast("string"), width, "0"))
-
-
-def _variants(*extra: Column) -> Column:
-    """Explode into the plain row (0) and one more row per condition that holds (1, 2, ...)."""
-    numbered = [F.when(condition, F.lit(i)) for i, condition in enumerate(extra, start=1)]
-    return F.explode(F.array_compact(F.array(F.lit(0), *numbered)))
+from ledgerline.sources.readers import Loader, conform
 
 
 def project_customers(customer: DataFrame) -> DataFrame:
-    k = F.col("c_custkey")
-    user = F.concat(F.lit("user"), k.cast("string"), F.lit("@example.com"))
-    is_old = F.col("variant") == 2
-    return customer.select(
-        "c_custkey", "c_name", "c_nationkey", _variants(k % 50 == 1, k % 70 == 2).alias("variant")
-    ).select(
-        _identifier("C", "c_custkey", 7).alias("customer_id"),
-        F.when(is_old, F.concat("c_name", F.lit(" (old)")))
-        .otherwise(F.col("c_name"))
-        .alias("customer_name"),
-        F.when(k % 97 == 3, "not-an-email")
-        .when(k % 83 == 5, F.concat(F.lit(" "), user))
-        .when(k % 89 == 4, F.lit(None))
-        .otherwise(user)
-        .alias("email"),
-        F.when(k % 101 == 7, F.lit(None))
-        .when(k % 103 == 8, "  ")
-        .when(k % 41 == 6, " de ")
-        .when(F.col("c_nationkey") % 5 == 0, "DE")
-        .when(F.col("c_nationkey") % 5 == 1, "NL")
-        .when(F.col("c_nationkey") % 5 == 2, "FR")
-        .when(F.col("c_nationkey") % 5 == 3, "SE")
-        .otherwise("PL")
-        .alias("country"),
-        F.when(is_old, "2023-12-31")
-        .when(k % 107 == 9, "2999-03-15")
-        .when(k % 2 == 0, "2024-01-31")
-        .otherwise("2025-06-01")
-        .cast("date")
-        .alias("created_at"),
+    """Some customers come twice: variant 1 is an exact copy, variant 2 an older record."""
+    return customer.selectExpr(
+        "c_custkey AS k",
+        "c_name",
+        "c_nationkey % 5 AS region",
+        "explode(array_compact(array(0, IF(c_custkey % 50 = 1, 1, NULL),"
+        " IF(c_custkey % 70 = 2, 2, NULL)))) AS variant",
+    ).selectExpr(
+        "concat('C', lpad(cast(k AS string), 7, '0')) AS customer_id",
+        "IF(variant = 2, concat(c_name, ' (old)'), c_name) AS customer_name",
+        """CASE WHEN k % 97 = 3 THEN 'not-an-email'
+                WHEN k % 83 = 5 THEN concat(' user', k, '@example.com')
+                WHEN k % 89 = 4 THEN NULL
+                ELSE concat('user', k, '@example.com') END AS email""",
+        """CASE WHEN k % 101 = 7 THEN NULL
+                WHEN k % 103 = 8 THEN '  '
+                WHEN k % 41 = 6 THEN ' de '
+                ELSE elt(region + 1, 'DE', 'NL', 'FR', 'SE', 'PL') END AS country""",
+        """CASE WHEN variant = 2 THEN date'2023-12-31'
+                WHEN k % 107 = 9 THEN date'2999-03-15'
+                WHEN k % 2 = 0 THEN date'2024-01-31'
+                ELSE date'2025-06-01' END AS created_at""",
     )
 
 
 def project_subscriptions(orders: DataFrame) -> DataFrame:
-    k = F.col("o_orderkey")
-    urgency = F.substring("o_orderpriority", 1, 1)
-    status = (
-        F.when(F.col("o_orderstatus") == "F", "cancelled")
-        .when(F.col("o_orderstatus") == "O", "active")
-        .otherwise("paused")
-    )
-    plan = F.when(urgency == "1", "scale").when(urgency.isin("2", "3"), "growth").otherwise("starter")
-    start = F.col("start_date")
     return (
-        orders.select(
-            "o_orderkey",
-            "o_custkey",
-            F.col("o_orderdate").cast("date").alias("start_date"),
-            status.alias("base_status"),
-            plan.alias("plan_name"),
-            _variants(k % 150 == 7),
+        orders.selectExpr(
+            "o_orderkey AS k",
+            "o_custkey AS owner",
+            "cast(o_orderdate AS date) AS start_date",
+            "CASE o_orderstatus WHEN 'F' THEN 'cancelled' WHEN 'O' THEN 'active' ELSE 'paused' END"
+            " AS state",
+            "CASE left(o_orderpriority, 1) WHEN '1' THEN 'scale' WHEN '2' THEN 'growth'"
+            " WHEN '3' THEN 'growth' ELSE 'starter' END AS plan_name",
+            "explode(array_repeat(true, IF(o_orderkey % 150 = 7, 2, 1))) AS copy",
         )
-        .select(
-            _identifier("S", "o_orderkey", 8).alias("subscription_id"),
-            F.when(k % 211 == 1, "C9999999")
-            .when(F.col("o_custkey") % 47 == 9, "C9999998")
-            .otherwise(_identifier("C", "o_custkey", 7))
-            .alias("customer_id"),
+        .selectExpr(
+            "concat('S', lpad(cast(k AS string), 8, '0')) AS subscription_id",
+            """CASE WHEN k % 211 = 1 THEN 'C9999999'
+                    WHEN owner % 47 = 9 THEN 'C9999998'
+                    ELSE concat('C', lpad(cast(owner AS string), 7, '0')) END AS customer_id""",
             "plan_name",
-            F.when(k % 199 == 2, -99)
-            .when(k % 227 == 8, F.lit(None))
-            .when(F.col("plan_name") == "scale", 299)
-            .when(F.col("plan_name") == "growth", 99)
-            .otherwise(29)
-            .alias("monthly_price"),
+            """CASE WHEN k % 199 = 2 THEN -99
+                    WHEN k % 227 = 8 THEN NULL
+                    WHEN plan_name = 'scale' THEN 299
+                    WHEN plan_name = 'growth' THEN 99
+                    ELSE 29 END AS monthly_price""",
             "start_date",
-            F.when(
-                F.col("base_status") == "cancelled",
-                F.when(k % 61 == 5, F.date_sub(start, 10))
-                .when(k % 3 == 0, F.date_add(start, 45))
-                .otherwise(F.date_add(start, 400)),
-            )
-            .when((F.col("base_status") == "active") & (k % 223 == 6), F.date_add(start, 30))
-            .alias("end_date"),
-            F.when(k % 53 == 3, F.upper("base_status"))
-            .when(k % 59 == 4, F.concat("base_status", F.lit(" ")))
-            .otherwise(F.col("base_status"))
-            .alias("status"),
+            """CASE WHEN state = 'cancelled' AND k % 61 = 5 THEN date_sub(start_date, 10)
+                    WHEN state = 'cancelled' AND k % 3 = 0 THEN date_add(start_date, 45)
+                    WHEN state = 'cancelled' THEN date_add(start_date, 400)
+                    WHEN state = 'active' AND k % 223 = 6 THEN date_add(start_date, 30)
+                    END AS end_date""",
+            """CASE WHEN k % 53 = 3 THEN upper(state)
+                    WHEN k % 59 = 4 THEN concat(state, ' ')
+                    ELSE state END AS status""",
         )
     )
 
 
 def project_invoices(lineitem: DataFrame) -> DataFrame:
-    j = F.col("l_orderkey") + F.col("l_linenumber")
-    return lineitem.select(
-        F.concat(
-            _identifier("I", "l_orderkey", 8), F.lit("-"), F.col("l_linenumber").cast("string")
-        ).alias("invoice_id"),
-        F.when(j % 307 == 1, "S99999999")
-        .otherwise(_identifier("S", "l_orderkey", 8))
-        .alias("subscription_id"),
-        F.col("l_shipdate").cast("date").alias("invoice_date"),
-        F.when(j % 257 == 3, F.lit(None))
-        .when(j % 251 == 2, F.lit(-99).cast("decimal(12,2)"))
-        .otherwise(F.col("l_extendedprice").cast("decimal(12,2)"))
-        .alias("amount"),
-        F.when(F.col("l_suppkey") % 20 == 0, "SEK")
-        .when(F.col("l_suppkey") % 33 == 1, "USD")
-        .when(F.col("l_suppkey") % 25 == 2, " eur ")
-        .when(F.col("l_partkey") % 191 == 5, F.lit(None))
-        .otherwise("EUR")
-        .alias("currency"),
-        F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O"), "open")
-        .when(F.col("l_returnflag") == "R", "failed")
-        .when(F.col("l_partkey") % 71 == 4, "PAID ")
-        .otherwise("paid")
-        .alias("status"),
+    return lineitem.selectExpr(
+        "concat('I', lpad(cast(l_orderkey AS string), 8, '0'), '-', l_linenumber) AS invoice_id",
+        """IF((l_orderkey + l_linenumber) % 307 = 1, 'S99999999',
+              concat('S', lpad(cast(l_orderkey AS string), 8, '0'))) AS subscription_id""",
+        "cast(l_shipdate AS date) AS invoice_date",
+        """CASE WHEN (l_orderkey + l_linenumber) % 257 = 3 THEN NULL
+                WHEN (l_orderkey + l_linenumber) % 251 = 2 THEN cast(-99 AS decimal(12, 2))
+                ELSE cast(l_extendedprice AS decimal(12, 2)) END AS amount""",
+        """CASE WHEN l_suppkey % 20 = 0 THEN 'SEK'
+                WHEN l_suppkey % 33 = 1 THEN 'USD'
+                WHEN l_suppkey % 25 = 2 THEN ' eur '
+                WHEN l_partkey % 191 = 5 THEN NULL
+                ELSE 'EUR' END AS currency""",
+        """CASE WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN 'open'
+                WHEN l_returnflag = 'R' THEN 'failed'
+                WHEN l_partkey % 71 = 4 THEN 'PAID '
+                ELSE 'paid' END AS status""",
     )
 
 
-def project_billing(spark: SparkSession, directory: str) -> Layer:
-    """The three raw billing tables over the benchmark tables in ``directory``."""
+def projected_billing(spark: SparkSession, directory: str) -> Loader:
+    """Raw billing tables over the benchmark tables in ``directory``."""
+    projections = {
+        "customers": ("customer", project_customers),
+        "subscriptions": ("orders", project_subscriptions),
+        "invoices": ("lineitem", project_invoices),
+    }
 
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{directory}/{name}.parquet")
+    def load(name: str) -> DataFrame:
+        table, project = projections[name]
+        return conform(project(spark.read.parquet(f"{directory}/{table}.parquet")), RAW[name])
 
-    return Layer(
-        conform(project_customers(table("customer")), RAW["customers"]),
-        conform(project_subscriptions(table("orders")), RAW["subscriptions"]),
-        conform(project_invoices(table("lineitem")), RAW["invoices"]),
-    )
+    return load

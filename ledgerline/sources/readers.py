@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.plans.layers import Layer
 from ledgerline.schemas import RAW
 
+Loader = Callable[[str], DataFrame]
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Pick the columns of ``schema`` by name and cast them; bad values fail under ANSI mode."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr(
+        *[f"cast({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields]
+    )
 
 
 def read_csv(
@@ -78,13 +81,11 @@ def read_jdbc(
     return conform(rows, schema)
 
 
-def read_tables(spark: SparkSession, namespace: str, prefix: str = "") -> Layer:
-    """The three billing tables of a namespace in the catalog."""
-    return Layer(*[spark.table(f"{namespace}.{prefix}{name}") for name in RAW])
+def csv_exports(spark: SparkSession, directory: str, multi_line: bool = False) -> Loader:
+    """Raw tables from ``raw_customers.csv``, ``raw_subscriptions.csv`` and ``raw_invoices.csv``."""
+    return lambda name: read_csv(spark, f"{directory}/raw_{name}.csv", RAW[name], multi_line)
 
 
-def read_csv_layer(spark: SparkSession, directory: str) -> Layer:
-    """``raw_customers.csv``, ``raw_subscriptions.csv`` and ``raw_invoices.csv``."""
-    return Layer(
-        *[read_csv(spark, f"{directory}/raw_{name}.csv", schema) for name, schema in RAW.items()]
-    )
+def catalog_tables(spark: SparkSession, namespace: str) -> Loader:
+    """Tables of a namespace in the catalog."""
+    return lambda name: spark.table(f"{namespace}.{name}")

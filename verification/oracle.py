@@ -207,8 +207,390 @@ churn_monthly as (
 )"""
 
 
+
 def statement(body: str) -> str:
     return f"with {RAW.strip()},\n{VERDICTS.strip()},\n{MARTS.strip()}\n{body.strip()}"
 
 
-BODIES: dict[str, str] = {}
+def _summary_row(
+    layer: str, table: str, check: str, column: str, severity: str, failures: str
+) -> str:
+    """One expected check result; ``failures`` is a scalar subquery."""
+    return (
+        f"select '{layer}' as layer, '{table}' as table_name, '{check}' as check_name, "
+        f"'{column}' as column_name, '{severity}' as severity, failures, failures = 0 as passed "
+        f"from (select cast(({failures}) as bigint) as failures)"
+    )
+
+
+# Layer, table and relation name in the statements above.
+RELATIONS = [
+    ("raw", "customers", "raw_customers"),
+    ("raw", "subscriptions", "raw_subscriptions"),
+    ("raw", "invoices", "raw_invoices"),
+    ("staging", "customers", "stg_customers"),
+    ("staging", "subscriptions", "stg_subscriptions"),
+    ("staging", "invoices", "stg_invoices"),
+    ("quarantine", "customers", "qrt_customers"),
+    ("quarantine", "subscriptions", "qrt_subscriptions"),
+    ("quarantine", "invoices", "qrt_invoices"),
+    ("marts", "mrr_monthly", "mrr_monthly"),
+    ("marts", "customer_ltv", "customer_ltv"),
+    ("marts", "churn_monthly", "churn_monthly"),
+]
+
+REQUIRED = {
+    "raw_customers": "customer_id email",
+    "raw_subscriptions": "subscription_id customer_id",
+    "raw_invoices": "invoice_id subscription_id",
+    "stg_customers": "customer_id customer_name email country created_at",
+    "stg_subscriptions": "subscription_id customer_id plan_name monthly_price status start_date",
+    "stg_invoices": "invoice_id subscription_id invoice_date amount_eur status plan_name",
+    "qrt_customers": "customer_id quarantine_reason",
+    "qrt_subscriptions": "subscription_id quarantine_reason",
+    "qrt_invoices": "invoice_id quarantine_reason",
+    "mrr_monthly": "invoice_month plan_name paid_invoice_count mrr_eur",
+    "customer_ltv": "customer_id customer_name country ltv_eur paid_invoice_count has_active_subscription",
+    "churn_monthly": "churn_month cancelled_subscriptions mrr_lost_eur",
+}
+
+DOMAINS = [
+    ("stg_customers", "country", "DE NL FR ES SE IT NO PT FI PL UNKNOWN"),
+    ("stg_subscriptions", "plan_name", "starter growth scale"),
+    ("stg_subscriptions", "status", "active cancelled paused"),
+    ("stg_invoices", "status", "paid failed open"),
+    ("stg_invoices", "reporting_currency", "EUR"),
+    ("stg_invoices", "plan_name", "starter growth scale"),
+    ("qrt_customers", "quarantine_reason", "duplicate_customer_id invalid_email missing_country other"),
+    (
+        "qrt_subscriptions",
+        "quarantine_reason",
+        "duplicate_subscription_id orphan_customer_id non_positive_monthly_price end_before_start other",
+    ),
+    (
+        "qrt_invoices",
+        "quarantine_reason",
+        "orphan_subscription_id null_amount non_positive_amount unsupported_currency "
+        "invoice_after_end_date other",
+    ),
+    ("mrr_monthly", "plan_name", "starter growth scale"),
+]
+
+BOUNDS = [
+    ("stg_subscriptions", "monthly_price", "> 0"),
+    ("stg_invoices", "amount_eur", "> 0"),
+    ("mrr_monthly", "mrr_eur", ">= 0"),
+    ("customer_ltv", "ltv_eur", ">= 0"),
+    ("churn_monthly", "mrr_lost_eur", ">= 0"),
+]
+
+KEYS = [
+    ("raw_customers", "customer_id", "warn"),
+    ("raw_subscriptions", "subscription_id", "warn"),
+    ("raw_invoices", "invoice_id", "error"),
+    ("stg_customers", "customer_id", "error"),
+    ("stg_subscriptions", "subscription_id", "error"),
+    ("stg_invoices", "invoice_id", "error"),
+    ("customer_ltv", "customer_id", "error"),
+]
+
+REFERENCES = [
+    ("raw_subscriptions", "customer_id", "raw_customers", "warn"),
+    ("raw_invoices", "subscription_id", "raw_subscriptions", "warn"),
+    ("stg_subscriptions", "customer_id", "stg_customers", "error"),
+    ("stg_invoices", "subscription_id", "stg_subscriptions", "error"),
+]
+
+CLASSES = {
+    "duplicate_customer_id": ("qrt_customers", ["duplicate_customer_id"]),
+    "invalid_email": ("qrt_customers", ["invalid_email"]),
+    "missing_country": ("qrt_customers", ["missing_country"]),
+    "duplicate_subscription_id": ("qrt_subscriptions", ["duplicate_subscription_id"]),
+    "orphan_customer_id": ("qrt_subscriptions", ["orphan_customer_id"]),
+    "non_positive_monthly_price": ("qrt_subscriptions", ["non_positive_monthly_price"]),
+    "end_before_start": ("qrt_subscriptions", ["end_before_start"]),
+    "orphan_subscription_id": ("qrt_invoices", ["orphan_subscription_id"]),
+    "null_or_non_positive_amount": ("qrt_invoices", ["null_amount", "non_positive_amount"]),
+    "invoice_after_end_date": ("qrt_invoices", ["invoice_after_end_date"]),
+}
+
+_PLACE = {relation: (layer, table) for layer, table, relation in RELATIONS}
+
+
+def _quoted(words: list[str]) -> str:
+    return ", ".join(f"'{word}'" for word in words)
+
+
+def _not_null_rows() -> list[str]:
+    return [
+        _summary_row(
+            *_PLACE[rel], "not_null", c, "error", f"select count(*) from {rel} where {c} is null"
+        )
+        for rel, columns in REQUIRED.items()
+        for c in columns.split()
+    ]
+
+
+def _accepted_rows() -> list[str]:
+    return [
+        _summary_row(
+            *_PLACE[rel],
+            "accepted_values",
+            c,
+            "error",
+            f"select count(*) from {rel} where {c} not in ({_quoted(values.split())})",
+        )
+        for rel, c, values in DOMAINS
+    ]
+
+
+def _expression_rows() -> list[str]:
+    return [
+        _summary_row(
+            *_PLACE[rel],
+            "expression_is_true",
+            c,
+            "error",
+            f"select count(*) from {rel} where not ({c} {bound})",
+        )
+        for rel, c, bound in BOUNDS
+    ]
+
+
+def _repeated(relation: str, key: str) -> str:
+    return (
+        f"select {key}, count(*) as row_count from {relation} where {key} is not null "
+        f"group by {key} having count(*) > 1"
+    )
+
+
+def _dangling(child: str, key: str, parent: str) -> str:
+    return (
+        f"select c.{key} from {child} c where c.{key} is not null "
+        f"and not exists (select 1 from {parent} p where p.{key} = c.{key})"
+    )
+
+
+RAW_AMOUNTS = "select invoice_id, amount, status from raw_invoices where amount is null or amount <= 0"
+RAW_DATES = "select subscription_id, start_date, end_date from raw_subscriptions where end_date < start_date"
+ACTIVE_ENDED = (
+    "select subscription_id, status, end_date from stg_subscriptions "
+    "where status = 'active' and end_date is not null"
+)
+DATES_FLAGGED = (
+    "select subscription_id, start_date, end_date from stg_subscriptions "
+    "where end_date < start_date and not is_invalid_date_range"
+)
+PAID_POSITIVE = (
+    "select invoice_id, amount_eur, status from stg_invoices where status = 'paid' and amount_eur <= 0"
+)
+AFTER_END = (
+    "select i.invoice_id, i.invoice_date, s.end_date from stg_invoices i "
+    "join stg_subscriptions s using (subscription_id) where i.status = 'paid' "
+    "and i.invoice_date > s.end_date and i.is_after_end_date is not true"
+)
+UNIQUE_MRR = (
+    "select 'mrr_monthly' as table_name, invoice_month as month, plan_name, count(*) as row_count "
+    "from mrr_monthly group by all having count(*) > 1"
+)
+UNIQUE_CHURN = (
+    "select 'churn_monthly' as table_name, churn_month as month, cast(null as varchar) as plan_name, "
+    "count(*) as row_count from churn_monthly group by all having count(*) > 1"
+)
+PLANTED = " union all ".join(
+    f"select '{name}' as missing_quarantine_reason from (select count(*) as n from {rel} "
+    f"where quarantine_reason in ({_quoted(reasons)})) where n = 0"
+    for name, (rel, reasons) in CLASSES.items()
+)
+
+
+def _summary() -> str:
+    def counted(place, check, column, severity, rows):
+        return _summary_row(*place, check, column, severity, f"select count(*) from ({rows})")
+
+    rows = [*_not_null_rows(), *_accepted_rows(), *_expression_rows()]
+    rows += [counted(_PLACE[r], "unique", k, sev, _repeated(r, k)) for r, k, sev in KEYS]
+    rows += [
+        counted(_PLACE[c], "relationships", k, sev, _dangling(c, k, p))
+        for c, k, p, sev in REFERENCES
+    ]
+    rows += [
+        counted(
+            ("marts", "mrr_monthly"), "unique_combination", "invoice_month, plan_name", "error", UNIQUE_MRR
+        ),
+        counted(("marts", "churn_monthly"), "unique_combination", "churn_month", "error", UNIQUE_CHURN),
+        counted(("raw", "invoices"), "raw_amounts_sane", "amount", "warn", RAW_AMOUNTS),
+        counted(("raw", "subscriptions"), "raw_dates_sane", "end_date", "warn", RAW_DATES),
+        counted(("staging", "subscriptions"), "active_without_end", "end_date", "error", ACTIVE_ENDED),
+        counted(("staging", "subscriptions"), "dates_flagged", "end_date", "error", DATES_FLAGGED),
+        counted(("staging", "invoices"), "paid_positive", "amount_eur", "error", PAID_POSITIVE),
+        counted(("staging", "invoices"), "after_end_flagged", "invoice_date", "error", AFTER_END),
+        counted(("quarantine", "all"), "planted_defects", "quarantine_reason", "error", PLANTED),
+    ]
+    return "\nunion all ".join(rows)
+
+
+BODIES: dict[str, str] = {
+    "load_raw_customers": "select * from raw_customers",
+    "load_raw_subscriptions": "select * from raw_subscriptions",
+    "load_raw_invoices": "select * from raw_invoices",
+    "row_count_reconcile": """
+        select table_name, n as source_rows, n as loaded_rows, true as matches from (
+          select 'customers' as table_name, count(*) as n from raw_customers
+          union all select 'subscriptions', count(*) from raw_subscriptions
+          union all select 'invoices', count(*) from raw_invoices)""",
+    "stg_customers": "select * from stg_customers",
+    "stg_subscriptions": "select * from stg_subscriptions",
+    "stg_invoices": "select * from stg_invoices",
+    "qrt_customers": "select * from qrt_customers",
+    "qrt_subscriptions": "select * from qrt_subscriptions",
+    "qrt_invoices": "select * from qrt_invoices",
+    "mrr_monthly": "select * from mrr_monthly",
+    "customer_ltv": "select * from customer_ltv",
+    "churn_monthly": "select * from churn_monthly",
+    "dedupe_customers": """
+        select customer_id, customer_name, email, country, created_at from ranked_customers where rn = 1""",
+    "dedupe_subscriptions": """
+        select subscription_id, customer_id, plan_name, monthly_price, start_date, end_date, status
+        from ranked_subscriptions where rn = 1""",
+    "duplicate_customers": """
+        select customer_id, customer_name, email, country, created_at from ranked_customers where rn > 1""",
+    "duplicate_subscriptions": """
+        select subscription_id, customer_id, plan_name, monthly_price, start_date, end_date, status
+        from ranked_subscriptions where rn > 1""",
+    "normalize_strings": """
+        select customer_id as row_key, 'customer_name' as column_name,
+          nullif(trim(customer_name), '') as value from raw_customers
+        union all select customer_id, 'email', nullif(trim(email), '') from raw_customers
+        union all select customer_id, 'country', coalesce(nullif(upper(trim(country)), ''), 'UNKNOWN')
+          from raw_customers
+        union all select subscription_id, 'plan_name', lower(trim(plan_name)) from raw_subscriptions
+        union all select subscription_id, 'status', lower(trim(status)) from raw_subscriptions""",
+    "fx_normalize": """
+        select invoice_id, amount, upper(trim(currency)) as currency_code,
+          case upper(trim(currency)) when 'EUR' then cast(amount as decimal(14, 2))
+            when 'SEK' then cast(round(amount * 0.087, 2) as decimal(14, 2)) end as amount_eur
+        from raw_invoices""",
+    "flag_invalid_email": "select customer_id, email, is_invalid_email from stg_customers",
+    "flag_missing_country": "select customer_id, country, is_missing_country from stg_customers",
+    "flag_future_created_at": "select customer_id, created_at, is_future_created_at from stg_customers",
+    "flag_invalid_date_range": """
+        select subscription_id, end_date, is_invalid_date_range from stg_subscriptions""",
+    "orphan_subscriptions": """
+        select subscription_id, customer_id from judged_subscriptions where rn = 1 and orphan""",
+    "orphan_invoices": "select invoice_id, subscription_id from judged_invoices where orphan",
+    "invoices_after_end": """
+        select invoice_id, subscription_id, invoice_date, end_date from judged_invoices where late""",
+    "unsupported_currency": """
+        select invoice_id, currency, amount from raw_invoices
+        where upper(trim(currency)) not in ('EUR', 'SEK')""",
+    "quality_issue_rate": """
+        select table_name, count(*) as row_count,
+          count(*) filter (where bad) as issue_count,
+          cast(count(*) filter (where bad) as double) / cast(count(*) as double) as issue_rate
+        from (select 'customers' as table_name, has_quality_issue as bad from stg_customers
+              union all select 'subscriptions', has_quality_issue from stg_subscriptions
+              union all select 'invoices', has_quality_issue from stg_invoices)
+        group by table_name""",
+    "quarantine_reason_counts": """
+        select table_name, quarantine_reason, count(*) as row_count
+        from (select 'customers' as table_name, quarantine_reason from qrt_customers
+              union all select 'subscriptions', quarantine_reason from qrt_subscriptions
+              union all select 'invoices', quarantine_reason from qrt_invoices)
+        group by all""",
+    "customer_revenue": "select customer_id, ltv_eur, paid_invoice_count from revenue",
+    "customer_plan_mix": "select customer_id, plan_mix from revenue",
+    "customer_status_mix": "select * from statuses",
+    "check_not_null": "\nunion all ".join(_not_null_rows()),
+    "check_accepted_values": "\nunion all ".join(_accepted_rows()),
+    "check_expression": "\nunion all ".join(_expression_rows()),
+    **{
+        f"check_unique_{relation}": _repeated(relation, key)
+        for relation, key, _ in KEYS
+    },
+    "check_unique_combination": f"{UNIQUE_MRR} union all {UNIQUE_CHURN}",
+    **{
+        f"check_relationships_{child}": _dangling(child, key, parent)
+        for child, key, parent, _ in REFERENCES
+    },
+    "check_active_without_end": ACTIVE_ENDED,
+    "check_paid_positive": PAID_POSITIVE,
+    "check_dates_flagged": DATES_FLAGGED,
+    "check_raw_amounts": RAW_AMOUNTS,
+    "check_raw_dates": RAW_DATES,
+    "check_after_end_flagged": AFTER_END,
+    "check_planted_defects": PLANTED,
+    "check_silent_drops": """
+        select 'subscriptions' as table_name, subscription_id as row_key, reason as quarantine_reason
+        from judged_subscriptions where rn = 1 and not orphan and monthly_price is null
+        union all
+        select 'invoices', invoice_id, reason from judged_invoices
+        where amount > 0 and code is null and not orphan""",
+    "check_summary": _summary(),
+    "profile_grain": """
+        select 'customers' as table_name, count(*) as row_count,
+          count(distinct customer_id) as distinct_keys from raw_customers
+        union all select 'subscriptions', count(*), count(distinct subscription_id) from raw_subscriptions
+        union all select 'invoices', count(*), count(distinct invoice_id) from raw_invoices""",
+    "profile_multi_subscription": """
+        select customer_id, count(*) as subscription_count,
+          count(*) filter (where status = 'active') as active_count
+        from stg_subscriptions group by customer_id having count(*) > 1""",
+    "profile_subscriptions_without_invoices": """
+        select subscription_id, plan_name, start_date from stg_subscriptions
+        where subscription_id not in
+          (select subscription_id from raw_invoices where subscription_id is not null)""",
+    "profile_duplicate_billing": """
+        select subscription_id, invoice_date, count(*) as invoice_count from raw_invoices
+        group by all having count(*) > 1""",
+    "profile_price_mismatch": """
+        select i.invoice_id, i.subscription_id, i.amount, s.monthly_price
+        from raw_invoices i join stg_subscriptions s using (subscription_id)
+        where i.amount is distinct from s.monthly_price""",
+    "profile_status_share": """
+        select table_name, status, n as row_count,
+          cast(n as double) / cast(sum(n) over (partition by table_name) as double) as share
+        from (select 'subscriptions' as table_name, lower(trim(status)) as status, count(*) as n
+              from raw_subscriptions group by 2
+              union all select 'invoices', lower(trim(status)), count(*) from raw_invoices group by 2)""",
+    "profile_domains": """
+        select 'customers' as table_name, 'country' as column_name, country as value, count(*) as row_count
+        from raw_customers group by country
+        union all
+        select 'subscriptions', 'plan_name, monthly_price',
+          concat_ws(' @ ', plan_name, cast(monthly_price as varchar)), count(*)
+        from raw_subscriptions group by plan_name, monthly_price
+        union all select 'subscriptions', 'status', status, count(*) from raw_subscriptions group by status
+        union all select 'invoices', 'currency', currency, count(*) from raw_invoices group by currency
+        union all select 'invoices', 'status', status, count(*) from raw_invoices group by status""",
+    "profile_future_dates": f"""
+        select 'customer_created' as event, customer_id as entity_id, created_at as event_date
+        from stg_customers where created_at > {AS_OF}
+        union all select 'subscription_cancelled', subscription_id, end_date from stg_subscriptions
+        where status = 'cancelled' and end_date > {AS_OF}""",
+    "revenue_share_by_plan": """
+        select plan_name, paid_invoice_count, revenue_eur,
+          cast(revenue_eur as double)
+            / cast(cast(sum(revenue_eur) over () as decimal(18, 2)) as double) as share
+        from (select plan_name, cast(sum(paid_invoice_count) as bigint) as paid_invoice_count,
+                cast(sum(mrr_eur) as decimal(18, 2)) as revenue_eur
+              from mrr_monthly group by plan_name)""",
+    "top_countries": """
+        select country, cast(sum(ltv_eur) as decimal(18, 2)) as revenue_eur, count(*) as customers
+        from customer_ltv group by country order by revenue_eur desc, country limit 5""",
+    "ltv_distribution": """
+        select count(*) as customers, min(ltv_eur) as min_ltv_eur,
+          cast((max(ltv_eur) filter (where place = (n + 1) // 2)
+              + max(ltv_eur) filter (where place = n // 2 + 1)) * 0.5 as decimal(18, 3)) as median_ltv_eur,
+          max(ltv_eur) as max_ltv_eur
+        from (select ltv_eur, row_number() over (order by ltv_eur) as place, count(*) over () as n
+              from customer_ltv)""",
+    "active_book_by_plan": """
+        select plan_name, count(*) as active_subscriptions,
+          cast(sum(monthly_price) as decimal(18, 2)) as list_price_eur
+        from stg_subscriptions where status = 'active' group by plan_name""",
+}
+
+
+def expected_sql() -> dict[str, str]:
+    return {name: statement(body) for name, body in BODIES.items()}
