@@ -1,24 +1,35 @@
-"""Cut long plans at a reliable copy of the rows."""
+"""Cut long plans at a written copy of the rows."""
 
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder all executors can reach: ``spark.checkpoint.dir`` of the session.
+
+    Only a local run may do without the setting; it gets a temporary folder.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    folder = tempfile.mkdtemp(prefix="ledgerline-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` in the shared folder of the cluster, so that a lost executor is harmless.
+    """Write ``df`` as Parquet in the shared folder and read that.
 
-    The folder is ``spark.checkpoint.dir`` of the session. Only a local run may do without it.
+    A lost executor costs no recomputation, and later reads still prune columns and push
+    filters down, unlike those of an RDD checkpoint. Old copies are for the folder's owner to
+    expire, as with any checkpoint.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-            folder = tempfile.mkdtemp(prefix="ledgerline-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = f"{shared_folder(df.sparkSession)}/ledgerline/{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,6 +10,7 @@ from ledgerline.config import BillingConfig
 from ledgerline.plans import classify, marts, quarantine, staging
 
 Loader = Callable[[str], DataFrame]
+Keeper = Callable[[str, DataFrame], DataFrame]
 
 ENTITIES = ["customers", "subscriptions", "invoices"]
 MARTS = ["mrr_monthly", "customer_ltv", "churn_monthly"]
@@ -19,23 +20,25 @@ LAYERS = {"raw": ENTITIES, "staging": ENTITIES, "quarantine": ENTITIES, "marts":
 class Billing:
     """``raw`` loads a raw table by name.
 
-    ``classified`` and ``built_marts`` load tables that were written before; without them the
-    plans are composed in one query.
+    ``keep`` is given the name and the plan of every classified table and returns what the
+    later layers read, for example a written copy. Without it all plans are composed into one
+    query, which suits a single mart; jobs that read many tables should keep them.
     """
 
-    def __init__(
-        self,
-        raw: Loader,
-        config: BillingConfig,
-        classified: Loader | None = None,
-        built_marts: Loader | None = None,
-    ):
+    def __init__(self, raw: Loader, config: BillingConfig, keep: Keeper | None = None):
         self.config = config
         self._raw = raw
-        self._classified = classified
-        self._built_marts = built_marts
+        self._keep = keep
         self._tables: dict[tuple[str, str], DataFrame] = {}
 
+    def keeping(self, keep: Keeper) -> Billing:
+        """The same tables over kept classified ones."""
+        return Billing(self._raw, self.config, keep)
+
+    def set_table(self, layer: str, name: str, rows: DataFrame) -> None:
+        """Read ``rows`` from now on instead of building the table."""
+        self._tables[layer, name] = rows
+
     def table(self, layer: str, name: str) -> DataFrame:
         if (layer, name) not in self._tables:
             self._tables[layer, name] = getattr(self, f"_build_{layer}")(name)
@@ -45,19 +48,19 @@ class Billing:
         return self._raw(name)
 
     def _build_classified(self, name: str) -> DataFrame:
-        if self._classified is not None:
-            return self._classified(name)
         raw = self.table("raw", name)
         if name == "customers":
-            return classify.classify_customers(raw, self.config)
-        if name == "subscriptions":
-            return classify.classify_subscriptions(raw, self.table("staging", "customers"))
-        return classify.classify_invoices(
-            raw, self.table("staging", "subscriptions"), self.config
-        )
+            rows = classify.classify_customers(raw, self.config)
+        elif name == "subscriptions":
+            rows = classify.classify_subscriptions(raw, self.table("staging", "customers"))
+        else:
+            rows = classify.classify_invoices(
+                raw, self.table("staging", "subscriptions"), self.config
+            )
+        return rows if self._keep is None else self._keep(name, rows)
 
     def _build_judged(self, name: str) -> DataFrame:
-        if self._classified is not None or name == "invoices":
+        if self._keep is not None or name == "invoices":
             return self.table("classified", name)
         raw = self.table("raw", name)
         if name == "customers":
@@ -81,8 +84,6 @@ class Billing:
         return build(self.table("classified", name))
 
     def _build_marts(self, name: str) -> DataFrame:
-        if self._built_marts is not None:
-            return self._built_marts(name)
         if name == "mrr_monthly":
             return marts.mrr_monthly(self.table("classified", "invoices"))
         if name == "churn_monthly":

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
@@ -129,83 +129,81 @@ PLANTED: dict[str, dict[str, list[str]]] = {
 
 @dataclass(frozen=True)
 class RowCheck:
-    """A check that looks at one row at a time; ``fails`` is true on a violation."""
+    """A check that looks at one row at a time; ``fails`` is SQL, true on a violation."""
 
     table: Table
     name: str
     column: str
     severity: str
-    fails: Column
+    fails: str
     shown: tuple[str, ...] = ()
 
 
-def _inverted_dates() -> Column:
-    return F.col("end_date").isNotNull() & (F.col("end_date") < F.col("start_date"))
+BUSINESS_CHECKS = [
+    RowCheck(
+        ("raw", "invoices"),
+        "raw_amounts_sane",
+        "amount",
+        WARN,
+        "amount IS NULL OR amount <= 0",
+        ("invoice_id", "amount", "status"),
+    ),
+    RowCheck(
+        ("raw", "subscriptions"),
+        "raw_dates_sane",
+        "end_date",
+        WARN,
+        "end_date < start_date",
+        ("subscription_id", "start_date", "end_date"),
+    ),
+    RowCheck(
+        ("staging", "subscriptions"),
+        "active_without_end",
+        "end_date",
+        ERROR,
+        "status = 'active' AND end_date IS NOT NULL",
+        ("subscription_id", "status", "end_date"),
+    ),
+    RowCheck(
+        ("staging", "subscriptions"),
+        "dates_flagged",
+        "end_date",
+        ERROR,
+        "end_date < start_date AND NOT is_invalid_date_range",
+        ("subscription_id", "start_date", "end_date"),
+    ),
+    RowCheck(
+        ("staging", "invoices"),
+        "paid_positive",
+        "amount_eur",
+        ERROR,
+        "status = 'paid' AND amount_eur <= 0",
+        ("invoice_id", "amount_eur", "status"),
+    ),
+]
 
 
-def business_checks() -> list[RowCheck]:
-    """Row rules beyond the column contracts."""
-    subscriptions, invoices = ("staging", "subscriptions"), ("staging", "invoices")
-    return [
-        RowCheck(
-            ("raw", "invoices"),
-            "raw_amounts_sane",
-            "amount",
-            WARN,
-            F.col("amount").isNull() | (F.col("amount") <= 0),
-            ("invoice_id", "amount", "status"),
-        ),
-        RowCheck(
-            ("raw", "subscriptions"),
-            "raw_dates_sane",
-            "end_date",
-            WARN,
-            _inverted_dates(),
-            ("subscription_id", "start_date", "end_date"),
-        ),
-        RowCheck(
-            subscriptions,
-            "active_without_end",
-            "end_date",
-            ERROR,
-            (F.col("status") == "active") & F.col("end_date").isNotNull(),
-            ("subscription_id", "status", "end_date"),
-        ),
-        RowCheck(
-            subscriptions,
-            "dates_flagged",
-            "end_date",
-            ERROR,
-            _inverted_dates() & ~F.col("is_invalid_date_range"),
-            ("subscription_id", "start_date", "end_date"),
-        ),
-        RowCheck(
-            invoices,
-            "paid_positive",
-            "amount_eur",
-            ERROR,
-            (F.col("status") == "paid") & (F.col("amount_eur") <= 0),
-            ("invoice_id", "amount_eur", "status"),
-        ),
-    ]
+def _listed(values: Sequence[str]) -> str:
+    return ", ".join(f"'{value}'" for value in values)
 
 
 def not_null_checks(table: Table) -> list[RowCheck]:
     return [
-        RowCheck(table, "not_null", c, ERROR, F.col(c).isNull()) for c in NOT_NULL.get(table, [])
+        RowCheck(table, "not_null", c, ERROR, f"{c} IS NULL") for c in NOT_NULL.get(table, [])
     ]
 
 
 def accepted_checks(table: Table) -> list[RowCheck]:
+    """A NULL passes."""
     return [
-        RowCheck(table, "accepted_values", c, ERROR, ~F.col(c).isin(values))
+        RowCheck(table, "accepted_values", c, ERROR, f"{c} NOT IN ({_listed(values)})")
         for c, values in ACCEPTED.get(table, {}).items()
     ]
 
 
 def expression_checks(table: Table) -> list[RowCheck]:
     return [
-        RowCheck(table, "expression_is_true", c, ERROR, ~F.expr(f"{c} {condition}"))
+        RowCheck(table, "expression_is_true", c, ERROR, f"NOT ({c} {condition})")
         for c, condition in EXPRESSIONS.get(table, {}).items()
     ]
 
@@ -215,24 +213,23 @@ def row_checks(table: Table) -> list[RowCheck]:
         *not_null_checks(table),
         *accepted_checks(table),
         *expression_checks(table),
-        *[check for check in business_checks() if check.table == table],
+        *[check for check in BUSINESS_CHECKS if check.table == table],
     ]
 
 
-def _result(
-    table: Table, name: str, column: str, severity: str, failures: Column
-) -> Column:
-    return F.struct(
-        F.lit(table[0]).alias("layer"),
-        F.lit(table[1]).alias("table_name"),
-        F.lit(name).alias("check_name"),
-        F.lit(column).alias("column_name"),
-        F.lit(severity).alias("severity"),
-        F.coalesce(failures, F.lit(0).cast("long")).alias("failures"),
-        (F.coalesce(failures, F.lit(0).cast("long")) == 0).alias("passed"),
+def _result(table: Table, name: str, column: str, severity: str, failures: str) -> str:
+    """SQL of one result row; ``failures`` names the counting column."""
+    return (
+        f"named_struct('layer', '{table[0]}', 'table_name', '{table[1]}', 'check_name', '{name}',"
+        f" 'column_name', '{column}', 'severity', '{severity}',"
+        f" 'failures', coalesce({failures}, 0L), 'passed', coalesce({failures}, 0L) = 0)"
     )
 
 
+def _as_rows(totals: DataFrame, results: Sequence[str]) -> DataFrame:
+    return totals.selectExpr(f"inline(array({', '.join(results)}))")
+
+
 def _unique_key(table: Table) -> tuple[list[str], str, str, bool] | None:
     """Key columns, check name, severity, and whether a NULL key is exempt."""
     if table in UNIQUE:
@@ -243,37 +240,38 @@ def _unique_key(table: Table) -> tuple[list[str], str, str, bool] | None:
     return None
 
 
-def _known(columns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+def _known(columns: Sequence[str]) -> str:
+    return " AND ".join(f"{c} IS NOT NULL" for c in columns)
 
 
-def table_results(frame: DataFrame, table: Table, checks: Sequence[RowCheck], unique: bool) -> DataFrame:
+def table_results(
+    frame: DataFrame, table: Table, checks: Sequence[RowCheck], unique: bool
+) -> DataFrame:
     """One result row per check of a table, from one pass over it.
 
     With a unique key the pass first counts per key, partly before the shuffle, so that a
     key with many copies sends little. ``failures`` counts rows, or keys for uniqueness.
     """
     names = [f"failures_{i}" for i in range(len(checks))]
-    counts = [F.count_if(check.fails).alias(n) for n, check in zip(names, checks)]
+    counts = [F.expr(f"count_if({check.fails}) AS {n}") for n, check in zip(names, checks)]
+    results = [
+        _result(table, c.name, c.column, c.severity, n) for n, c in zip(names, checks)
+    ]
     key = _unique_key(table) if unique else None
     if key is None:
-        totals = frame.agg(*counts)
-        results = []
-    else:
-        columns, name, severity, null_exempt = key
-        repeated = F.col("copies") > 1
-        if null_exempt:
-            repeated &= _known(columns)
-        totals = (
-            frame.groupBy(*columns)
-            .agg(F.count(F.lit(1)).alias("copies"), *counts)
-            .agg(F.count_if(repeated).alias("repeated_keys"), *[F.sum(n).alias(n) for n in names])
+        return _as_rows(frame.agg(*counts), results)
+    columns, name, severity, null_exempt = key
+    repeated = "copies > 1" + (f" AND {_known(columns)}" if null_exempt else "")
+    totals = (
+        frame.groupBy(*columns)
+        .agg(F.expr("count(1) AS copies"), *counts)
+        .agg(
+            F.expr(f"count_if({repeated}) AS repeated_keys"),
+            *[F.expr(f"sum({n}) AS {n}") for n in names],
         )
-        results = [_result(table, name, ", ".join(columns), severity, F.col("repeated_keys"))]
-    results += [
-        _result(table, c.name, c.column, c.severity, F.col(n)) for n, c in zip(names, checks)
-    ]
-    return totals.select(F.inline(F.array(*results)))
+    )
+    results.append(_result(table, name, ", ".join(columns), severity, "repeated_keys"))
+    return _as_rows(totals, results)
 
 
 def contract_results(billing: Billing, kind: str) -> DataFrame:
@@ -294,7 +292,7 @@ def contract_results(billing: Billing, kind: str) -> DataFrame:
 
 def business_violations(billing: Billing, name: str) -> DataFrame:
     """Rows that break a business rule."""
-    check = next(c for c in business_checks() if c.name == name)
+    check = next(c for c in BUSINESS_CHECKS if c.name == name)
     return billing.table(*check.table).where(check.fails).select(*check.shown)
 
 
@@ -335,23 +333,19 @@ def missing_defect_classes(billing: Billing) -> DataFrame:
     """Defect classes of which quarantine holds no row. Each table is read once."""
     parts = []
     for table, classes in PLANTED.items():
-        found = [
-            F.struct(
-                F.lit(name).alias("missing_quarantine_reason"),
-                F.count_if(F.col("quarantine_reason").isin(reasons)).alias("found"),
-            )
+        found = ", ".join(
+            f"struct('{name}' AS missing_quarantine_reason,"
+            f" count_if(quarantine_reason IN ({_listed(reasons)})) AS found)"
             for name, reasons in classes.items()
-        ]
-        frame = billing.table("quarantine", table)
-        parts.append(frame.agg(F.array(*found).alias("classes")).select(F.inline("classes")))
+        )
+        counted = billing.table("quarantine", table).agg(F.expr(f"array({found}) AS classes"))
+        parts.append(counted.selectExpr("inline(classes)"))
     return reduce(DataFrame.unionByName, parts).where("found = 0").drop("found")
 
 
 def _counted(rows: DataFrame, table: Table, name: str, column: str, severity: str) -> DataFrame:
     failures = rows.agg(F.count(F.lit(1)).alias("failures"))
-    return failures.select(
-        F.inline(F.array(_result(table, name, column, severity, F.col("failures"))))
-    )
+    return _as_rows(failures, [_result(table, name, column, severity, "failures")])
 
 
 def layer_results(billing: Billing, layer: str) -> DataFrame:

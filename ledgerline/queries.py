@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerline.config import BillingConfig
 from ledgerline.functions.money import to_reporting_currency
 from ledgerline.functions.text import clean_country, clean_currency, clean_label, clean_text
+from ledgerline.operators.lineage import cut_lineage
 from ledgerline.plans import checks, classify, marts, profile, quarantine
 from ledgerline.plans.billing import ENTITIES, Billing
 from ledgerline.sources.projection import projected_billing
@@ -28,6 +29,11 @@ def _tables(b: Billing, layer: str) -> dict[str, DataFrame]:
     return {name: b.table(layer, name) for name in ENTITIES}
 
 
+def _kept(b: Billing) -> Billing:
+    """For queries over many tables: classify once, write the result, read that."""
+    return b.keeping(lambda name, rows: cut_lineage(rows))
+
+
 def _reason_counts(b: Billing) -> DataFrame:
     parts = [
         quarantine.reason_counts(rows).withColumn("table_name", F.lit(table))
@@ -180,9 +186,9 @@ QUERIES: dict[str, Query] = {
     ),
     "customer_status_mix": lambda b: marts.customer_status(b.table("staging", "subscriptions")),
     # checks
-    "check_not_null": lambda b: checks.contract_results(b, "not_null"),
-    "check_accepted_values": lambda b: checks.contract_results(b, "accepted_values"),
-    "check_expression": lambda b: checks.contract_results(b, "expression_is_true"),
+    "check_not_null": lambda b: checks.contract_results(_kept(b), "not_null"),
+    "check_accepted_values": lambda b: checks.contract_results(_kept(b), "accepted_values"),
+    "check_expression": lambda b: checks.contract_results(_kept(b), "expression_is_true"),
     "check_unique_raw_customers": lambda b: checks.duplicated_keys(b, ("raw", "customers")),
     "check_unique_raw_subscriptions": lambda b: checks.duplicated_keys(
         b, ("raw", "subscriptions")
@@ -223,7 +229,7 @@ QUERIES: dict[str, Query] = {
     ),
     "check_planted_defects": lambda b: checks.missing_defect_classes(b),
     "check_silent_drops": _silent_drops,
-    "check_summary": lambda b: checks.check_summary(b),
+    "check_summary": lambda b: checks.check_summary(_kept(b)),
     # profiles
     "profile_grain": lambda b: profile.grain(b),
     "profile_multi_subscription": lambda b: profile.multi_subscription(b.table("staging", "subscriptions")),
