@@ -8,6 +8,7 @@ numbers the copies: equal rows cannot be told apart, so counting them says it al
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,42 +26,55 @@ def _sort_key(columns: Sequence[str]) -> str:
 def first_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
     """First row of each key by ``order_by``; a NULL key counts as one key.
 
-    Ties are broken by all other columns, so that reruns keep the same row. The column
-    ``copies`` says how many rows the key had; Spark drops it from the plan when unused.
+    Ties are broken by all other columns, so that reruns keep the same row. A reader that
+    needs the key only gets a plain distinct: Spark drops the unused minimum.
     """
     rest = [c for c in df.columns if c != key and c not in order_by]
-    kept = df.groupBy(key).agg(
-        F.expr(f"min({_sort_key([*order_by, *rest])}) AS kept"),
-        F.count(F.lit(1)).alias("copies"),
-    )
-    return kept.selectExpr(*[c if c == key else f"kept.{c} AS {c}" for c in df.columns], "copies")
+    kept = df.groupBy(key).agg(F.expr(f"min({_sort_key([*order_by, *rest])}) AS kept"))
+    return kept.selectExpr(*[c if c == key else f"kept.{c} AS {c}" for c in df.columns])
 
 
 def rows_after_first(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
-    """All rows that ``first_per_key`` did not keep, every copy included."""
-    spark = df.sparkSession
+    """All rows that ``first_per_key`` did not keep, every copy included.
+
+    Reads the key column alone to find the repeated keys, then shuffles only their rows. Those
+    are spread by their whole content, so neither a hot key nor a pile of equal rows lands in
+    one task.
+    """
     columns = df.columns
-    kept = (
-        first_per_key(df, key, order_by)
+    repeated_keys = (
+        df.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("copies"))
         .where("copies > 1")
-        .select(F.col(key).alias("kept_key"), F.struct(*columns).alias("kept_row"))
+        .select(F.col(key).alias("repeated_key"))
     )
-    # <=> lets the NULL key match; the rows of a hot key may be split by the skew join.
-    repeated = df.join(kept, F.col(key).eqNullSafe(F.col("kept_key")))
-    surplus = (
-        repeated.withColumn("is_kept", F.struct(*columns).eqNullSafe(F.col("kept_row")))
-        .groupBy(*columns)
-        .agg((F.count(F.lit(1)) - F.max(F.col("is_kept").cast("int"))).alias("surplus"))
-        .where("surplus > 0")
+    # <=> lets the NULL key match.
+    repeated = df.join(
+        repeated_keys, F.col(key).eqNullSafe(F.col("repeated_key")), "left_semi"
     )
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    portions = (
-        surplus.withColumn(
-            "portion", F.explode(F.sequence(F.lit(0), F.col("surplus") - 1, F.lit(COPIES_PER_TASK)))
-        )
-        .withColumn("size", F.least(F.col("surplus") - F.col("portion"), F.lit(COPIES_PER_TASK)))
-        .repartition(tasks, key, "portion")
+    contents = repeated.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
+    # Choosing among the counted contents reads the same shuffle as counting them.
+    kept = first_per_key(contents, key, order_by)
+    kept = kept.select([F.col(c).alias(f"kept_{c}") for c in contents.columns])
+    same = reduce(
+        lambda a, b: a & b,
+        [F.col(c).eqNullSafe(F.col(f"kept_{c}")) for c in contents.columns],
     )
-    return portions.withColumn(
-        "copy", F.explode(F.array_repeat(F.lit(True), F.col("size").cast("int")))
-    ).select(*columns)
+    surplus = F.col("copies") - F.when(F.col("kept_copies").isNull(), 0).otherwise(1)
+    left_over = (
+        contents.join(kept, same, "left")
+        .select(*columns, surplus.alias("surplus"))
+        .where("surplus > 0")
+    )
+    return _repeat(left_over, "surplus").select(*columns)
+
+
+def _repeat(df: DataFrame, times: str) -> DataFrame:
+    """Every row ``times`` times; long runs are cut into portions and spread over tasks."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    end = F.col(times)
+    portions = df.withColumn(
+        "portion", F.explode(F.sequence(F.lit(0), end - 1, F.lit(COPIES_PER_TASK)))
+    ).repartition(tasks, *df.columns, "portion")
+    size = F.least(end - F.col("portion"), F.lit(COPIES_PER_TASK)).cast("int")
+    return portions.withColumn("copy", F.explode(F.array_repeat(F.lit(True), size)))

@@ -25,11 +25,11 @@ SUBSCRIPTION_ORDER = ["start_date", "status"]
 
 
 def first_customers(raw: DataFrame) -> DataFrame:
-    return first_per_key(raw, "customer_id", CUSTOMER_ORDER).drop("copies")
+    return first_per_key(raw, "customer_id", CUSTOMER_ORDER)
 
 
 def first_subscriptions(raw: DataFrame) -> DataFrame:
-    return first_per_key(raw, "subscription_id", SUBSCRIPTION_ORDER).drop("copies")
+    return first_per_key(raw, "subscription_id", SUBSCRIPTION_ORDER)
 
 
 def repeated_customers(raw: DataFrame) -> DataFrame:

@@ -111,8 +111,12 @@ def revenue_share_by_plan(classified_invoices: DataFrame) -> DataFrame:
             F.sum("amount_eur").cast(MART_MONEY).alias("revenue_eur"),
         )
     )
-    # Same plan twice: Spark reuses the shuffled aggregate for the total.
-    total = per_plan.agg(F.sum("revenue_eur").cast(MART_MONEY).cast("double")).scalar()
+    # The total reads both columns, so that it is the same shuffle as the groups and runs once.
+    total = (
+        per_plan.agg(F.struct(F.sum("revenue_eur"), F.sum("paid_invoice_count")).alias("sums"))
+        .select(F.when(F.col("sums.col2") > 0, F.col("sums.col1").cast(MART_MONEY).cast("double")))
+        .scalar()
+    )
     return per_plan.withColumn("share", F.col("revenue_eur").cast("double") / total)
 
 
