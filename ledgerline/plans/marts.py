@@ -10,6 +10,40 @@ from ledgerline.functions.text import clean_label
 from ledgerline.schemas import MART_MONEY
 
 
+# Column comments of the published tables.
+DESCRIPTIONS: dict[str, dict[str, str]] = {
+    "mrr_monthly": {
+        "invoice_month": "First day of the month of the invoices",
+        "plan_name": "Plan of the subscription billed",
+        "paid_invoice_count": "Paid invoices in mrr_eur",
+        "mrr_eur": "Cash paid for the month and plan, in the reporting currency",
+    },
+    "customer_ltv": {
+        "customer_id": "Customer, one row each",
+        "customer_name": "Name as exported, trimmed",
+        "country": "Country code, UNKNOWN when missing",
+        "ltv_eur": "Cash paid to date in the reporting currency, 0 when none",
+        "paid_invoice_count": "Paid invoices in ltv_eur",
+        "plan_mix": "Plans paid for, sorted; NULL when none",
+        "subscription_statuses": "Statuses of all staged subscriptions, sorted; NULL when none",
+        "has_active_subscription": "Whether any staged subscription is active",
+    },
+    "churn_monthly": {
+        "churn_month": "First day of the month the subscriptions ended",
+        "cancelled_subscriptions": "Cancelled subscriptions, future end dates included",
+        "mrr_lost_eur": "Sum of their list prices, which are assumed to be in the reporting currency",
+    },
+}
+
+
+def described(mart: str, rows: DataFrame) -> DataFrame:
+    """The mart with its column comments, which travel with the table."""
+    comments = DESCRIPTIONS[mart]
+    return rows.select(
+        *[F.col(c).alias(c, metadata={"comment": comments[c]}) for c in rows.columns]
+    )
+
+
 def paid_invoices(classified_invoices: DataFrame) -> DataFrame:
     """Staged invoices that were paid and not billed after the subscription ended."""
     return classified_invoices.where(

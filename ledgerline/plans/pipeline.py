@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from ledgerline.config import BillingConfig
 from ledgerline.plans import checks
 from ledgerline.plans.billing import ENTITIES, MARTS, Billing, Loader
+from ledgerline.plans.marts import described
 from ledgerline.schemas import RAW
 from ledgerline.session import build_session
 from ledgerline.sources.readers import conform, csv_exports
@@ -44,7 +45,9 @@ def load_raw(spark: SparkSession, source: Loader, root: str) -> dict[str, DataFr
     )
     wrong = counts.where("NOT matches").collect()  # at most one row per table
     if wrong:
-        raise LoadMismatch("; ".join(f"{r.table_name}: {r.source_rows} != {r.loaded_rows}" for r in wrong))
+        raise LoadMismatch(
+            "; ".join(f"{r.table_name}: {r.source_rows} != {r.loaded_rows}" for r in wrong)
+        )
     refresh.commit()
     return loaded
 
@@ -90,7 +93,8 @@ def run_pipeline(
 
     marts = Refresh(spark, namespace_of("marts"), root)
     for name in MARTS:
-        billing.set_table("marts", name, marts.write(name, billing.table("marts", name)))
+        rows = described(name, billing.table("marts", name))
+        billing.set_table("marts", name, marts.write(name, rows))
     check("marts")
     marts.commit()
     return results
@@ -113,7 +117,8 @@ def main() -> None:
     )
     for r in results:
         if not r.passed:
-            print(f"{r.severity}: {r.layer}.{r.table_name} {r.check_name}({r.column_name}) {r.failures}")
+            place = f"{r.layer}.{r.table_name}"
+            print(f"{r.severity}: {place} {r.check_name}({r.column_name}) {r.failures}")
 
 
 if __name__ == "__main__":

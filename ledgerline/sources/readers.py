@@ -81,6 +81,18 @@ def read_jdbc(
     return conform(rows, schema)
 
 
+def jdbc_tables(
+    spark: SparkSession,
+    url: str,
+    slices: dict[str, Sequence[str]] | None = None,
+    properties: dict[str, str] | None = None,
+) -> Loader:
+    """Raw tables ``raw_customers``, ``raw_subscriptions`` and ``raw_invoices`` of a database."""
+    return lambda name: read_jdbc(
+        spark, url, f"raw_{name}", RAW[name], (slices or {}).get(name, ()), properties
+    )
+
+
 def csv_exports(spark: SparkSession, directory: str, multi_line: bool = False) -> Loader:
     """Raw tables from ``raw_customers.csv``, ``raw_subscriptions.csv`` and ``raw_invoices.csv``."""
     return lambda name: read_csv(spark, f"{directory}/raw_{name}.csv", RAW[name], multi_line)

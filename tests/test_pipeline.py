@@ -53,8 +53,14 @@ def test_full_run_and_second_refresh(spark, tmp_path):
     }
     assert spark.table("marts.customer_ltv").count() == 3
     assert spark.table("marts.churn_monthly").first().mrr_lost_eur == Decimal("99.00")
+    comments = {c.name: c.description for c in spark.catalog.listColumns("marts.churn_monthly")}
+    assert "list prices" in comments["mrr_lost_eur"]
     assert spark.table("raw.invoices").count() == 8
     assert spark.table("staging_invoices").count() == 4
+    scan = spark.table("staging_invoices").select("invoice_id")
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(is_staged,true)" in plan
+    assert "ReadSchema: struct<invoice_id:string,is_staged:boolean>" in plan
     assert spark.table("quarantine_invoices").count() == 5
     assert spark.table("audit.raw_amounts_sane").count() == 2
 

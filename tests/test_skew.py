@@ -93,7 +93,7 @@ def parents(spark):
     return first_per_key(rows, "fk", ["v"])
 
 
-@pytest.mark.parametrize("key", ["p7", "nowhere"])
+@pytest.mark.parametrize("key", ["p7", "nowhere", None])
 def test_hot_foreign_key_is_split(spark, settings, key):
     skewed(settings)
     joined = attach_parent(hot_children(spark, key), parents(spark), "fk", ["v"])

@@ -14,6 +14,7 @@ from ledgerline.sources.readers import (
     catalog_tables,
     csv_exports,
     jdbc_options,
+    jdbc_tables,
     read_csv,
     read_parquet,
 )
@@ -84,6 +85,30 @@ def test_jdbc_asks_for_the_wanted_columns_only():
     assert options["fetchsize"] == "10000"
 
 
+def test_jdbc_slices_become_read_tasks():
+    calls = []
+
+    class Reader:
+        def jdbc(self, *args, **kwargs):
+            calls.append((args, kwargs))
+            raise RuntimeError("no database in the tests")
+
+    class Session:
+        read = Reader()
+
+    load = jdbc_tables(
+        Session(), "jdbc:x", {"invoices": ["d < '2025-01-01'", "d >= '2025-01-01'"]}, {"user": "u"}
+    )
+    for name in ("invoices", "customers"):
+        with pytest.raises(RuntimeError):
+            load(name)
+    (url, table), options = calls[0]
+    assert url == "jdbc:x" and "FROM raw_invoices)" in table
+    assert options["predicates"] == ["d < '2025-01-01'", "d >= '2025-01-01'"]
+    assert options["properties"] == {"user": "u", "fetchsize": "10000"}
+    assert "predicates" not in calls[1][1]
+
+
 def test_reconcile_names_every_difference(spark):
     counts = "table_name string, row_count long"
     source = spark.createDataFrame([("customers", 3), ("invoices", 5), ("lost", 1)], counts)
