@@ -78,7 +78,7 @@ def test_parquet_scan_gets_columns_and_filters(spark, tmp_path):
 
 
 def test_jdbc_asks_for_the_wanted_columns_only():
-    options = jdbc_options("jdbc:mysql://db/billing", "raw_customers", RAW["customers"])
+    options = jdbc_options("jdbc:db://host/billing", "raw_customers", RAW["customers"])
     assert options["dbtable"] == (
         "(SELECT customer_id, customer_name, email, country, created_at FROM raw_customers) AS extract"
     )
