@@ -119,7 +119,3 @@ def main() -> None:
         if not r.passed:
             place = f"{r.layer}.{r.table_name}"
             print(f"{r.severity}: {place} {r.check_name}({r.column_name}) {r.failures}")
-
-
-if __name__ == "__main__":
-    main()

@@ -13,7 +13,7 @@ from ledgerline.config import BillingConfig
 from ledgerline.functions.money import to_reporting_currency
 from ledgerline.functions.text import clean_country, clean_currency, clean_label, clean_text
 from ledgerline.operators.lineage import cut_lineage
-from ledgerline.plans import checks, classify, marts, profile, quarantine
+from ledgerline.plans import checks, classify, marts, profiles, quarantine
 from ledgerline.plans.billing import ENTITIES, Billing
 from ledgerline.sources.projection import projected_billing
 from ledgerline.sources.reconcile import reconcile_counts, row_counts
@@ -231,22 +231,22 @@ QUERIES: dict[str, Query] = {
     "check_silent_drops": _silent_drops,
     "check_summary": lambda b: checks.check_summary(_kept(b)),
     # profiles
-    "profile_grain": lambda b: profile.grain(b),
-    "profile_multi_subscription": lambda b: profile.multi_subscription(b.table("staging", "subscriptions")),
-    "profile_subscriptions_without_invoices": lambda b: profile.subscriptions_without_invoices(
+    "profile_grain": lambda b: profiles.grain(b),
+    "profile_multi_subscription": lambda b: profiles.multi_subscription(b.table("staging", "subscriptions")),
+    "profile_subscriptions_without_invoices": lambda b: profiles.subscriptions_without_invoices(
         b.table("staging", "subscriptions"), b.table("raw", "invoices")
     ),
-    "profile_duplicate_billing": lambda b: profile.duplicate_billing(b.table("raw", "invoices")),
-    "profile_price_mismatch": lambda b: profile.price_mismatch(
+    "profile_duplicate_billing": lambda b: profiles.duplicate_billing(b.table("raw", "invoices")),
+    "profile_price_mismatch": lambda b: profiles.price_mismatch(
         b.table("raw", "invoices"), b.table("staging", "subscriptions")
     ),
-    "profile_status_share": lambda b: profile.status_share(b),
-    "profile_domains": lambda b: profile.domains(b),
-    "profile_future_dates": lambda b: profile.future_dates(b),
-    "revenue_share_by_plan": lambda b: profile.revenue_share_by_plan(b.table("classified", "invoices")),
-    "top_countries": lambda b: profile.top_countries(b.table("marts", "customer_ltv")),
-    "ltv_distribution": lambda b: profile.ltv_distribution(b.table("marts", "customer_ltv")),
-    "active_book_by_plan": lambda b: profile.active_book_by_plan(b.table("staging", "subscriptions")),
+    "profile_status_share": lambda b: profiles.status_share(b),
+    "profile_domains": lambda b: profiles.domains(b),
+    "profile_future_dates": lambda b: profiles.future_dates(b),
+    "revenue_share_by_plan": lambda b: profiles.revenue_share_by_plan(b.table("classified", "invoices")),
+    "top_countries": lambda b: profiles.top_countries(b.table("marts", "customer_ltv")),
+    "ltv_distribution": lambda b: profiles.ltv_distribution(b.table("marts", "customer_ltv")),
+    "active_book_by_plan": lambda b: profiles.active_book_by_plan(b.table("staging", "subscriptions")),
 }
 
 

@@ -19,8 +19,13 @@ SETTINGS = {
 
 
 def build_session(name: str, **settings: str) -> SparkSession:
-    """Session with the settings above; the master comes from spark-submit."""
+    """Session with the given settings, and the ones above unless the submitter chose others."""
     builder = SparkSession.builder.appName(name)
-    for key, value in {**SETTINGS, **settings}.items():
+    for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    chosen = spark.sparkContext.getConf()
+    for key, value in SETTINGS.items():
+        if not chosen.contains(key):
+            spark.conf.set(key, value)
+    return spark

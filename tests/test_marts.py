@@ -8,7 +8,7 @@ import pytest
 from rows import billing, by_key, customer, dicts, invoice, subscription
 
 from ledgerline.operators.median import exact_median
-from ledgerline.plans import profile
+from ledgerline.plans import profiles
 from ledgerline.plans.marts import customer_status
 
 
@@ -113,20 +113,20 @@ def test_exact_median(spark, values):
 
 def test_profiles(spark):
     b = small(spark)
-    assert by_key(profile.grain(b), "table_name")["subscriptions"]["distinct_keys"] == 4
+    assert by_key(profiles.grain(b), "table_name")["subscriptions"]["distinct_keys"] == 4
     staged = b.table("staging", "subscriptions")
-    assert by_key(profile.multi_subscription(staged), "customer_id")["C1"]["active_count"] == 1
-    idle = profile.subscriptions_without_invoices(staged, b.table("raw", "invoices"))
+    assert by_key(profiles.multi_subscription(staged), "customer_id")["C1"]["active_count"] == 1
+    idle = profiles.subscriptions_without_invoices(staged, b.table("raw", "invoices"))
     assert [r.subscription_id for r in idle.collect()] == ["S4"]
-    odd = profile.price_mismatch(b.table("raw", "invoices"), staged)
+    odd = profiles.price_mismatch(b.table("raw", "invoices"), staged)
     assert [r.invoice_id for r in odd.collect()] == ["I5"]
     shares = {
-        (r.table_name, r.status): r.share for r in profile.status_share(b).collect()
+        (r.table_name, r.status): r.share for r in profiles.status_share(b).collect()
     }
     assert shares["invoices", "paid"] == 4 / 6 and shares["subscriptions", "cancelled"] == 0.5
-    plans = by_key(profile.revenue_share_by_plan(b.table("classified", "invoices")), "plan_name")
+    plans = by_key(profiles.revenue_share_by_plan(b.table("classified", "invoices")), "plan_name")
     assert plans["scale"]["share"] == pytest.approx(386 / 415)
-    top = profile.top_countries(b.table("marts", "customer_ltv"), 1).collect()
+    top = profiles.top_countries(b.table("marts", "customer_ltv"), 1).collect()
     assert [(r.country, r.customers) for r in top] == [("DE", 2)]
-    spread = profile.ltv_distribution(b.table("marts", "customer_ltv")).first()
+    spread = profiles.ltv_distribution(b.table("marts", "customer_ltv")).first()
     assert (spread.min_ltv_eur, spread.median_ltv_eur, spread.max_ltv_eur) == (0, 0, 415)
