@@ -15,6 +15,8 @@ SETTINGS = {
     # A hot foreign key is split even where that costs one more shuffle afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Spark compares file sizes with the broadcast threshold; compressed columns grow in memory.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
 }
 
 
