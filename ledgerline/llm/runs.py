@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame
 from ledgerline.llm.workspace import partitions
 
 
-def keys_of_several(rows: DataFrame, key: str, member: str) -> DataFrame:
+def keys_of_several(rows: DataFrame, key: str, member: str, mark_after: int | None = None) -> DataFrame:
     """Distinct (key, member) rows, both longs and not null, of keys with more than one member.
 
     Rows are sorted by Spark, which spills, and read once: at most one row is held back, so a key
-    may have any number of rows.
+    may have any number of rows. A key with more than `mark_after` members has one more row, with a null member.
     """
 
     def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counted, before = 0, None  # members of the last key that went out
         held: tuple[int, int] | None = None
         last: tuple[int, int] | None = None  # the last row that went out or was dropped as a copy
         for batch in batches:
@@ -43,7 +44,15 @@ def keys_of_several(rows: DataFrame, key: str, member: str) -> DataFrame:
             # The last row waits when nothing tells yet whether its key has another member.
             held = None if shared[-1] else (int(keys[-1]), int(members[-1]))
             last = (int(keys[-1]), int(members[-1])) if shared[-1] else (last if last and last[0] == keys[-1] else None)
-            yield pa.RecordBatch.from_arrays([pa.array(keys[shared]), pa.array(members[shared])], [key, member])
+            keys, members = keys[shared], members[shared]
+            nulls = np.zeros(len(keys), bool)
+            if mark_after and len(keys):
+                first = np.searchsorted(keys, keys)
+                place = np.arange(len(keys)) - first + np.where(keys == before, counted, 0)
+                counted, before = int(place[-1]) + 1, keys[-1]
+                hot = keys[place == mark_after]
+                keys, members, nulls = np.r_[keys, hot], np.r_[members, hot], np.r_[nulls, np.ones(len(hot), bool)]
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(members, mask=nulls)], [key, member])
 
     dealt = rows.select(key, member).repartition(partitions(rows.sparkSession), key).sortWithinPartitions(key, member)
     return dealt.mapInArrow(several, f"{key} long, {member} long")

@@ -243,10 +243,9 @@ def covered_spans(texts: DataFrame, length: int) -> DataFrame:
     # Copies are judged by their owner, unless another text has the same id.
     texts_of = narrow.join(copies.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.countDistinct("text_key").alias("texts"))
     judged = copies.groupBy("id").agg(F.count("*").alias("copied")).join(texts_of, "id").where("copied = texts").select("id")
-    shared = keep(keys_of_several(_anchors(texts, length), "anchor", "id"))
-    hot = shared.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT_DOCUMENTS)
-    hot = hot.select("anchor", F.xxhash64("anchor").alias("h"), F.lit(True).alias("is_hot"))
-    marked = shared.join(judged, "id", "left_anti").withColumn("h", F.xxhash64("anchor")).join(hot, ["anchor", "h"], "left")
+    shared = keep(keys_of_several(_anchors(texts, length), "anchor", "id", HOT_DOCUMENTS))
+    hot = shared.where("id is null").select("anchor", F.xxhash64("anchor").alias("h"), F.lit(True).alias("is_hot"))
+    marked = shared.where("id is not null").join(judged, "id", "left_anti").withColumn("h", F.xxhash64("anchor")).join(hot, ["anchor", "h"], "left")
     own = marked.groupBy("id").agg(F.collect_list("anchor").alias("shared"), F.collect_list(F.when(F.col("is_hot"), F.col("anchor"))).alias("hot"))
     segments = _segments(texts.join(own, "id"), length)
     dealt = segments.repartition(partitions(spark) * 4, "part").sortWithinPartitions("id", "part")
