@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ledgerline.llm.quality_rules import SPACE
-from ledgerline.llm.workspace import keep
+from ledgerline.llm.workspace import keep, partitions
 
 #: Documents of a source that are numbered together, draws that one row expands into, and draws of a shard.
 PORTION = 4096
@@ -76,6 +76,8 @@ def draws(sources: DataFrame, block_words: int, seed: int) -> DataFrame:
     # One row per source and shard; its slots follow those of the source's earlier shards.
     before = W.partitionBy("rank").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
     counts = counts.withColumn("first", F.coalesce(F.sum("count").over(before), F.lit(0).cast("long")))
+    # The numbering may leave a few rows in one task; each of them stands for thousands of slots.
+    counts = counts.repartition(partitions(sources.sparkSession), "rank", "shard")
     slots = counts.select("rank", "blocks", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("count") - 1)).alias("slot"))
     time = F.expr("slot div blocks").alias("time")
     block = permuted(F.col("slot") % F.col("blocks"), F.col("blocks"), F.xxhash64(F.lit(seed), "rank", F.expr("slot div blocks")))
