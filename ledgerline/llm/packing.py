@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 
 #: Remainders in the pool when sequences are formed, and those left in it then.
 POOL_FULL, POOL_LEFT = 4096, 1024
-#: Words in each of the two generations of a task's cache.
-CACHED_WORDS = 200_000
+#: Words in each of the two generations of a worker's cache, and words that a task has at hand.
+CACHED_WORDS, WORDS_AT_HAND = 500_000, 200_000
 
 SCHEMA = "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -41,7 +41,7 @@ def word_encoder(path: str) -> Callable[[list[str]], dict[str, bytes]]:
     caches: list[dict[str, bytes]] = [{}, {}]
 
     def encode(parts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes() for e in tokenizer.encode_batch(parts, add_special_tokens=False)]
+        return [np.array(e.ids, np.uint32).tobytes() for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
     def learn(found: list[str]) -> dict[str, bytes]:
         """Letters are encoded once whatever punctuation follows them."""
@@ -156,7 +156,7 @@ def pack_documents(documents: DataFrame, vocabulary: str, capacity: int = 2048,
             for at in range(0, batch.num_rows, 64):
                 texts = [(t or "").split() for t in batch.column(1).slice(at, 64).to_pylist()]
                 new = {w for words in texts for w in words if w not in known}
-                if len(known) + len(new) > CACHED_WORDS:
+                if len(known) + len(new) > WORDS_AT_HAND:
                     known, new = {}, {w for words in texts for w in words}
                 known.update(learn(list(new)))
                 for k, words in enumerate(texts):
