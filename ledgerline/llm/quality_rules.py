@@ -118,6 +118,9 @@ def judged(documents: DataFrame, carried: Column, text: str = "text", host: str
     )
     # Texts that fail the base rules are judged already, but their lines count like all others.
     depleted = depleted_texts(rows, limits).withColumn("depleted", F.lit(True))
-    figures = with_base_figures(rows, "text").drop("text")
+    # A column that depends on the partition holds back filters on the verdict, which would otherwise
+    # be moved below the figures and repeat their expressions.
+    figures = with_base_figures(rows, "text").drop("text").withColumn("at", F.monotonically_increasing_id())
     found = figures.join(depleted, ["host_key", "text_key"], "left")
-    return found.withColumn("kept", ~F.col("base_failed") & F.col("depleted").isNull()).drop("host_key", "text_key", "depleted")
+    kept = ~F.col("base_failed") & F.col("depleted").isNull() & (F.col("at") >= 0)
+    return found.withColumn("kept", kept).drop("host_key", "text_key", "depleted", "at")
