@@ -229,7 +229,9 @@ def prefixes(n: int, d: int, linked: bool, percent: int) -> list[tuple[str, int,
             continue
         if not linked:
             found.append(("u", mine, band, d - overlap + 1))
-        found.append(("v", band, mine, d - overlap + 1))
+        # Of two that are not linked, the one farther from the hub starts.
+        if linked or band >= mine:
+            found.append(("v", band, mine, d - overlap + 1))
     return found
 
 
@@ -255,13 +257,13 @@ def _difference_rows(members: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """pairs (set_id, hub) with both sizes, their distance and whether they are linked."""
+    """pairs (set_id, hub) with whether they are linked."""
     x = sets.select("set_id", F.col("shingles").alias("x"))
     y = sets.select(F.col("set_id").alias("hub"), F.col("shingles").alias("y"))
     both = pairs.join(x, "set_id").join(y, "hub")
     both = both.withColumn("common", F.size(F.array_intersect("x", "y"))).withColumn("n", F.size("x")).withColumn("m", F.size("y"))
     union = F.col("n") + F.col("m") - F.col("common")
-    return both.select("set_id", "hub", (100 * F.col("common").cast("long") >= percent * union.cast("long")).alias("linked"))
+    return both.select(*pairs.columns, (100 * F.col("common").cast("long") >= percent * union.cast("long")).alias("linked"))
 
 
 def ngram_jaccard_join(documents: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -289,8 +291,8 @@ def ngram_jaccard_join(documents: DataFrame, size: int = 5, percent: int = 80, d
     whole = keep(shingle_sets(rows, "text", size, ["doc_id"]).select("set_id", "shingles").dropDuplicates(["set_id"]))
     stars = keep(_verified(pairs, whole, percent))
     open_hubs = stars.where(~F.col("linked")).select("hub").distinct()
-    hubs = stars.groupBy("hub").agg(F.count("*").alias("members")).where("members > 1").join(open_hubs, "hub")
-    members = stars.join(hubs.select("hub"), "hub")
+    # Members that meet nobody but the hub at their keys have no other pair to look for.
+    members = stars.where("shared > 2").join(open_hubs, "hub")
     members = members.join(whole, "set_id").join(whole.select(F.col("set_id").alias("hub"), F.col("shingles").alias("hub_shingles")), "hub")
     meetings = keep(_difference_rows(members, percent))
     u = meetings.where("starts").select("meeting", F.col("set_id").alias("u"))
@@ -301,13 +303,15 @@ def ngram_jaccard_join(documents: DataFrame, size: int = 5, percent: int = 80, d
 
 
 def _hub_pairs(index: DataFrame) -> DataFrame:
-    """Distinct (set_id, hub): every member of a key with the key's hub, the member that shares most."""
+    """(set_id, hub, shared): every member of a key with the key's hub, the member that shares most, and
+    the most members that one of their common keys has."""
     shared = index.groupBy("key").agg(F.count("*").alias("shared"))
     weight = index.join(shared, "key").groupBy("set_id").agg(F.sum("shared").alias("weight"))
     weighed = index.join(weight, "set_id")
-    hubs = weighed.groupBy("key").agg(F.max(F.struct("weight", "set_id")).alias("top"))
-    hubs = hubs.select("key", F.col("top.set_id").alias("hub"), F.xxhash64("key").alias("h"))
-    return index.withColumn("h", F.xxhash64("key")).join(hubs, ["key", "h"]).where("set_id <> hub").select("set_id", "hub").distinct()
+    hubs = weighed.groupBy("key").agg(F.max(F.struct("weight", "set_id")).alias("top"), F.count("*").alias("shared"))
+    hubs = hubs.select("key", F.col("top.set_id").alias("hub"), "shared", F.xxhash64("key").alias("h"))
+    pairs = index.withColumn("h", F.xxhash64("key")).join(hubs, ["key", "h"]).where("set_id <> hub")
+    return pairs.groupBy("set_id", "hub").agg(F.max("shared").alias("shared"))
 
 
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
