@@ -16,11 +16,6 @@ from pyspark.sql import functions as F
 # Copies written out per portion; longer runs are spread over the cluster.
 COPIES_PER_TASK = 100_000
 
-# Tasks that write out copies. A fixed number of partitions is not merged by adaptive execution,
-# which sees small rows and cannot know how long their runs are; more tasks than this would
-# mostly be empty on a large cluster.
-MAX_TASKS = 1000
-
 
 def _sort_key(columns: Sequence[str]) -> str:
     """Struct that orders like ``columns`` ascending with NULLS LAST."""
@@ -76,7 +71,9 @@ def rows_after_first(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFr
 
 def _repeat(df: DataFrame, times: str) -> DataFrame:
     """Every row ``times`` times; long runs are cut into portions and spread over tasks."""
-    tasks = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_TASKS)
+    # A fixed number of partitions is not merged by adaptive execution, which sees small rows and
+    # cannot know how long their runs are.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     end = F.col(times)
     portions = df.withColumn(
         "portion", F.explode(F.sequence(F.lit(0), end - 1, F.lit(COPIES_PER_TASK)))

@@ -2,29 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="ledgerline-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach: ``spark.checkpoint.dir`` of the session.
-
-    Only a local run may do without the setting; it gets a temporary folder.
-    """
+    """Folder all executors can reach: ``spark.checkpoint.dir`` of the session, or where that is
+    unset one below the warehouse, which they share as well."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return _local_folder()
+    return folder or spark.conf.get("spark.sql.warehouse.dir", None).rstrip("/") + "/_work"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,29 +13,45 @@ from pyspark.sql import functions as F
 BIN_WIDTHS = [10**12, 10**6, 1]
 
 
-def _cents_at(cents: DataFrame, rank: int) -> int:
-    """Value at ``rank`` (0 is the smallest): narrow down to one bin per pass."""
-    rows = cents
-    value = 0
+def _bin_of(width: int) -> str:
+    """Whole bins by integer division, also below zero."""
+    return f"(cents - pmod(cents, {width}L)) div {width}L"
+
+
+def _cents_at(cents: DataFrame, ranks: list[int]) -> list[int]:
+    """Values at ``ranks`` (0 is the smallest): each pass narrows every rank down to one bin."""
+    found = [(0, rank) for rank in ranks]  # bin of the last pass, rank within it
+    rows, outer = cents.withColumn("outer", F.lit(0).cast("long")), None
     for width in BIN_WIDTHS:
-        bins = rows.groupBy(F.floor(F.col("cents") / width).alias("bin")).agg(
+        if outer is not None:
+            rows = cents.withColumn("outer", F.expr(_bin_of(outer)))
+            rows = rows.where(F.col("outer").isin([bin_ for bin_, _ in found]))
+        bins = rows.groupBy("outer", F.expr(_bin_of(width)).alias("bin")).agg(
             F.count(F.lit(1)).alias("n")
         )
-        # One task orders the bins, at most a million rows.
-        upto = F.sum("n").over(Window.orderBy("bin"))
-        found = (
-            bins.withColumn("upto", upto).where(F.col("upto") > rank).orderBy("bin").first()
-        )
-        rank -= found["upto"] - found["n"]
-        value = found["bin"]
-        rows = rows.where((F.col("cents") >= value * width) & (F.col("cents") < (value + 1) * width))
-    return value
+        # One task orders the bins of an outer bin, at most a million rows.
+        upto = F.sum("n").over(Window.partitionBy("outer").orderBy("bin"))
+        held = [
+            (F.col("outer") == bin_) & (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
+            for bin_, rank in found
+        ]
+        hits = bins.withColumn("upto", upto).where(reduce(lambda a, b: a | b, held)).collect()
+        found = [
+            next(
+                (h["bin"], rank - h["upto"] + h["n"])
+                for h in hits
+                if h["outer"] == bin_ and h["upto"] - h["n"] <= rank < h["upto"]
+            )
+            for bin_, rank in found
+        ]
+        outer = width
+    return [bin_ for bin_, _ in found]
 
 
 def exact_median(df: DataFrame, column: str) -> Decimal | None:
     """Median of a decimal(18,2) column, the mean of the two middle values for even counts.
 
-    Runs a few counting jobs over ``df``; pass a frame that is cheap to read again.
+    Runs four counting jobs over ``df``; pass a frame that is cheap to read again.
     """
     cents = df.where(F.col(column).isNotNull()).select(
         (F.col(column) * 100).cast("long").alias("cents")
@@ -42,5 +59,5 @@ def exact_median(df: DataFrame, column: str) -> Decimal | None:
     n = cents.count()
     if n == 0:
         return None
-    middle = [_cents_at(cents, rank) for rank in sorted({(n - 1) // 2, n // 2})]
+    middle = _cents_at(cents, sorted({(n - 1) // 2, n // 2}))
     return Decimal(sum(middle) * (3 - len(middle))) / 200

@@ -1,6 +1,6 @@
 """Data-quality checks. A check fails on rows; no failing rows is a pass.
 
-All column checks of a table, and its unique key, are answered by one aggregation over it.
+All column checks of a table are answered by one aggregation over it, its unique key by another.
 """
 
 from __future__ import annotations
@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
+from ledgerline.config import BillingConfig
 from ledgerline.operators.parents import with_parent, without_parent
-from ledgerline.plans.billing import LAYERS, Billing
+from ledgerline.plans.billing import ENTITIES, LAYERS, Billing
+from ledgerline.plans.classify import silent_drops
 
 Table = tuple[str, str]
 
@@ -57,6 +59,7 @@ NOT_NULL: dict[Table, list[str]] = {
     ("marts", "churn_monthly"): ["churn_month", "cancelled_subscriptions", "mrr_lost_eur"],
 }
 
+# Fixed values.
 ACCEPTED: dict[Table, dict[str, list[str]]] = {
     ("staging", "customers"): {"country": schemas.COUNTRIES},
     ("staging", "subscriptions"): {
@@ -65,7 +68,7 @@ ACCEPTED: dict[Table, dict[str, list[str]]] = {
     },
     ("staging", "invoices"): {
         "status": schemas.INVOICE_STATUSES,
-        "reporting_currency": ["EUR"],
+        "reporting_currency": [],  # that of the config
         "plan_name": schemas.PLANS,
     },
     ("quarantine", "customers"): {"quarantine_reason": schemas.CUSTOMER_REASONS},
@@ -74,6 +77,7 @@ ACCEPTED: dict[Table, dict[str, list[str]]] = {
     ("marts", "mrr_monthly"): {"plan_name": schemas.PLANS},
 }
 
+# Fixed values.
 EXPRESSIONS: dict[Table, dict[str, str]] = {
     ("staging", "subscriptions"): {"monthly_price": "> 0"},
     ("staging", "invoices"): {"amount_eur": "> 0"},
@@ -82,6 +86,7 @@ EXPRESSIONS: dict[Table, dict[str, str]] = {
     ("marts", "churn_monthly"): {"mrr_lost_eur": ">= 0"},
 }
 
+# Fixed values.
 UNIQUE: dict[Table, tuple[list[str], str]] = {
     ("raw", "customers"): (["customer_id"], WARN),
     ("raw", "subscriptions"): (["subscription_id"], WARN),
@@ -193,11 +198,12 @@ def not_null_checks(table: Table) -> list[RowCheck]:
     ]
 
 
-def accepted_checks(table: Table) -> list[RowCheck]:
+def accepted_checks(table: Table, config: BillingConfig) -> list[RowCheck]:
     """A NULL passes."""
+    accepted = {c: values or [config.reporting_currency] for c, values in ACCEPTED.get(table, {}).items()}
     return [
         RowCheck(table, "accepted_values", c, ERROR, f"{c} NOT IN ({_listed(values)})")
-        for c, values in ACCEPTED.get(table, {}).items()
+        for c, values in accepted.items()
     ]
 
 
@@ -208,10 +214,10 @@ def expression_checks(table: Table) -> list[RowCheck]:
     ]
 
 
-def row_checks(table: Table) -> list[RowCheck]:
+def row_checks(table: Table, config: BillingConfig) -> list[RowCheck]:
     return [
         *not_null_checks(table),
-        *accepted_checks(table),
+        *accepted_checks(table, config),
         *expression_checks(table),
         *[check for check in BUSINESS_CHECKS if check.table == table],
     ]
@@ -247,10 +253,10 @@ def _known(columns: Sequence[str]) -> str:
 def table_results(
     frame: DataFrame, table: Table, checks: Sequence[RowCheck], unique: bool
 ) -> DataFrame:
-    """One result row per check of a table, from one pass over it.
+    """One result row per check of a table. ``failures`` counts rows, or keys for uniqueness.
 
-    With a unique key the pass first counts per key, partly before the shuffle, so that a
-    key with many copies sends little. ``failures`` counts rows, or keys for uniqueness.
+    All column checks are one aggregation without a shuffle of rows; a unique key is counted from
+    the key alone, partly before the shuffle, so that a key with many copies sends little.
     """
     names = [f"failures_{i}" for i in range(len(checks))]
     counts = [F.expr(f"count_if({check.fails}) AS {n}") for n, check in zip(names, checks)]
@@ -258,20 +264,17 @@ def table_results(
         _result(table, c.name, c.column, c.severity, n) for n, c in zip(names, checks)
     ]
     key = _unique_key(table) if unique else None
+    found = [_as_rows(frame.agg(*counts), results)] if checks else []
     if key is None:
-        return _as_rows(frame.agg(*counts), results)
+        return found[0]
     columns, name, severity, null_exempt = key
     repeated = "copies > 1" + (f" AND {_known(columns)}" if null_exempt else "")
-    totals = (
-        frame.groupBy(*columns)
-        .agg(F.expr("count(1) AS copies"), *counts)
-        .agg(
-            F.expr(f"count_if({repeated}) AS repeated_keys"),
-            *[F.expr(f"sum({n}) AS {n}") for n in names],
-        )
+    keys = frame.groupBy(*columns).agg(F.expr("count(1) AS copies"))
+    repeats = keys.agg(F.expr(f"count_if({repeated}) AS repeated_keys"))
+    found.append(
+        _as_rows(repeats, [_result(table, name, ", ".join(columns), severity, "repeated_keys")])
     )
-    results.append(_result(table, name, ", ".join(columns), severity, "repeated_keys"))
-    return _as_rows(totals, results)
+    return reduce(DataFrame.unionByName, found)
 
 
 def contract_results(billing: Billing, kind: str) -> DataFrame:
@@ -279,7 +282,7 @@ def contract_results(billing: Billing, kind: str) -> DataFrame:
     "expression_is_true") over all tables that have it."""
     makers = {
         "not_null": not_null_checks,
-        "accepted_values": accepted_checks,
+        "accepted_values": lambda table: accepted_checks(table, billing.config),
         "expression_is_true": expression_checks,
     }
     contracts = {"not_null": NOT_NULL, "accepted_values": ACCEPTED, "expression_is_true": EXPRESSIONS}
@@ -352,7 +355,10 @@ def layer_results(billing: Billing, layer: str) -> DataFrame:
     """Results of all checks of one layer."""
     parts = [
         table_results(
-            billing.table(layer, name), (layer, name), row_checks((layer, name)), unique=True
+            billing.table(layer, name),
+            (layer, name),
+            row_checks((layer, name), billing.config),
+            unique=True,
         )
         for name in LAYERS[layer]
     ]
@@ -367,6 +373,10 @@ def layer_results(billing: Billing, layer: str) -> DataFrame:
             billing.table(*invoices), billing.table("staging", "subscriptions")
         )
         parts.append(_counted(late, invoices, "after_end_flagged", "invoice_date", ERROR))
+        for name in ENTITIES:
+            dropped = silent_drops(billing.table("classified", name))
+            key = NOT_NULL["raw", name][0]
+            parts.append(_counted(dropped, ("staging", name), "silent_drops", key, WARN))
     if layer == "quarantine":
         parts.append(
             _counted(
@@ -389,12 +399,14 @@ def check_summary(billing: Billing) -> DataFrame:
 
 
 def stored_failures(billing: Billing) -> dict[str, DataFrame]:
-    """Failing rows that are kept for inspection: the warnings on the raw layer."""
+    """Failing rows that are kept for inspection: the warnings on the raw layer, and rows that are
+    neither staged nor rejected."""
     return {
         "unique_customers_customer_id": duplicated_keys(billing, ("raw", "customers")),
         "unique_subscriptions_subscription_id": duplicated_keys(billing, ("raw", "subscriptions")),
         "relationships_subscriptions_customer_id": orphans(billing, ("raw", "subscriptions")),
         "relationships_invoices_subscription_id": orphans(billing, ("raw", "invoices")),
+        **{f"silent_drops_{name}": silent_drops(billing.table("classified", name)) for name in ENTITIES},
         "raw_amounts_sane": business_violations(billing, "raw_amounts_sane"),
         "raw_dates_sane": business_violations(billing, "raw_dates_sane"),
     }

@@ -8,7 +8,7 @@ one, so that staging does not pay for quarantine.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.config import BillingConfig
@@ -24,6 +24,25 @@ CUSTOMER_ORDER = ["created_at", "email"]
 SUBSCRIPTION_ORDER = ["start_date", "status"]
 
 
+# Whether a defect keeps a row out of staging; the others are only reported.
+REJECTS = {
+    "invalid_email": False,
+    "missing_country": False,
+    "orphan_customer_id": True,
+    "non_positive_monthly_price": True,
+    "end_before_start": False,
+    "null_amount": True,
+    "non_positive_amount": True,
+    "unsupported_currency": True,
+    "orphan_subscription_id": True,
+    "invoice_after_end_date": False,
+}
+
+
+def _rule(reason: str, applies: Column) -> Rule:
+    return Rule(reason, applies, REJECTS[reason])
+
+
 def first_customers(raw: DataFrame) -> DataFrame:
     return first_per_key(raw, "customer_id", CUSTOMER_ORDER)
 
@@ -60,8 +79,8 @@ def judge_customers(raw: DataFrame, config: BillingConfig) -> DataFrame:
     )
     # Both rules only report: a customer with a bad address still has revenue.
     rules = [
-        Rule("invalid_email", F.col("is_invalid_email"), rejects=False),
-        Rule("missing_country", F.col("is_missing_country"), rejects=False),
+        _rule("invalid_email", F.col("is_invalid_email")),
+        _rule("missing_country", F.col("is_missing_country")),
     ]
     return flagged.withColumns(
         {"quarantine_reason": first_reason(rules), "is_staged": F.lit(True)}
@@ -84,9 +103,9 @@ def judge_subscriptions(raw: DataFrame, customers: DataFrame) -> DataFrame:
         .drop(PARENT_KEY)
     )
     rules = [
-        Rule("orphan_customer_id", F.col("is_orphan_customer"), rejects=True),
-        Rule("non_positive_monthly_price", F.col("is_invalid_price"), rejects=True),
-        Rule("end_before_start", F.col("is_invalid_date_range"), rejects=False),
+        _rule("orphan_customer_id", F.col("is_orphan_customer")),
+        _rule("non_positive_monthly_price", F.col("is_invalid_price")),
+        _rule("end_before_start", F.col("is_invalid_date_range")),
     ]
     return flagged.withColumns(
         {"quarantine_reason": first_reason(rules), "is_staged": is_accepted(rules)}
@@ -131,13 +150,11 @@ def classify_invoices(
     # Amount and currency come before the orphan test: the invoices of a rejected subscription
     # would otherwise all be called orphans.
     rules = [
-        Rule("null_amount", amount.isNull(), rejects=True),
-        Rule("non_positive_amount", amount <= 0, rejects=True),
-        Rule(
-            "unsupported_currency", ~currency.isin(config.supported_currencies), rejects=True
-        ),
-        Rule("orphan_subscription_id", F.col("is_orphan_subscription"), rejects=True),
-        Rule("invoice_after_end_date", F.col("is_after_end_date"), rejects=False),
+        _rule("null_amount", amount.isNull()),
+        _rule("non_positive_amount", amount <= 0),
+        _rule("unsupported_currency", ~currency.isin(config.supported_currencies)),
+        _rule("orphan_subscription_id", F.col("is_orphan_subscription")),
+        _rule("invoice_after_end_date", F.col("is_after_end_date")),
     ]
     return matched.withColumns(
         {"quarantine_reason": first_reason(rules), "is_staged": is_accepted(rules)}
@@ -150,7 +167,7 @@ def silent_drops(classified: DataFrame) -> DataFrame:
     They come from a NULL where the raw contract promises a value: the rules cannot decide,
     so the row is not staged, and no rejecting reason names it.
     """
-    soft = ["invalid_email", "missing_country", "end_before_start", "invoice_after_end_date"]
+    soft = [name for name, rejects in REJECTS.items() if not rejects]
     reason = F.col("quarantine_reason")
     return classified.where(
         ~F.coalesce(F.col("is_staged"), F.lit(False)) & (reason.isNull() | reason.isin(soft))

@@ -25,7 +25,7 @@ def read_csv(
 ) -> DataFrame:
     """CSV export with a header row; columns are found by name, blanks become NULL.
 
-    Text keeps its outer spaces. Set ``multi_line`` only if quoted values hold line breaks:
+    Files of a folder must have the same columns in the same order; others fail the read. Text keeps its outer spaces. Set ``multi_line`` only if quoted values hold line breaks:
     Spark then cannot split a file.
     """
     text = (
@@ -33,6 +33,8 @@ def read_csv(
         .option("encoding", "UTF-8")
         .option("escape", '"')
         .option("mode", "FAILFAST")
+        # The header of every file is compared with the columns; else files are read by position.
+        .option("enforceSchema", False)
         .option("multiLine", multi_line)
         .csv(path)
     )

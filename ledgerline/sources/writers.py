@@ -1,4 +1,4 @@
-"""Full-refresh writes: all tables of a load become visible together, or none does."""
+"""Full-refresh writes: all tables of a load are written before the first becomes visible."""
 
 from __future__ import annotations
 
@@ -23,8 +23,9 @@ class Refresh:
     """Replaces tables of one namespace under ``root``, a folder all executors can reach.
 
     Every table has two folders. A refresh overwrites the one that is not being read, and
-    ``commit`` points the catalog to it. When a write or a check fails before, the old tables
-    stay as they are; storage never exceeds two copies.
+    ``commit`` points the catalog to it, table by table. When a write or a check fails before, the
+    old tables stay as they are; when the catalog fails in between, some tables are new, and the next
+    refresh repairs that. Storage never exceeds two copies.
     """
 
     def __init__(self, spark: SparkSession, namespace: str, root: str):

@@ -65,7 +65,7 @@ def test_every_contract_has_its_number_of_checks():
 
 def test_clean_data_misses_only_the_planted_defects(spark):
     results = checks.check_summary(clean(spark))
-    assert results.count() == 77
+    assert results.count() == 80
     assert failures(results) == {
         ("quarantine", "all", "planted_defects", "quarantine_reason"): 10
     }
@@ -73,7 +73,7 @@ def test_clean_data_misses_only_the_planted_defects(spark):
 
 def test_empty_tables_have_results_too(spark):
     results = checks.check_summary(billing(spark))
-    assert results.count() == 77
+    assert results.count() == 80
     assert set(failures(results)) == {
         ("quarantine", "all", "planted_defects", "quarantine_reason")
     }
@@ -119,7 +119,7 @@ def test_violating_rows(spark):
     assert amounts.columns == ["invoice_id", "amount", "status"]
     assert sorted(r.invoice_id for r in amounts.collect()) == ["I2", "I3"]
     stored = checks.stored_failures(b)
-    assert len(stored) == 6
+    assert len(stored) == 9
     assert stored["raw_dates_sane"].count() == 2
 
 

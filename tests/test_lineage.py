@@ -2,7 +2,6 @@
 
 from pathlib import Path
 
-import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators.lineage import cut_lineage, shared_folder
@@ -21,20 +20,19 @@ def test_copy_lies_in_the_shared_folder_and_keeps_pruning(spark):
 
 
 class FakeSession:
-    """Session without the setting, on the given master."""
+    """Session with the given settings alone."""
 
-    def __init__(self, master):
-        self.sparkContext = self.conf = self
-        self.master = master
+    def __init__(self, **settings):
+        self.conf, self.settings = self, {k.replace("__", "."): v for k, v in settings.items()}
 
     def get(self, key, default):
-        return default
+        return self.settings.get(key, default)
 
 
-def test_only_a_local_run_may_lack_the_shared_folder():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(FakeSession("yarn"))
-    assert shared_folder(FakeSession("local[2]")) == shared_folder(FakeSession("local[2]"))
+def test_without_the_setting_copies_lie_below_the_warehouse():
+    warehouse = {"spark__sql__warehouse__dir": "hdfs://w/"}
+    assert shared_folder(FakeSession(**warehouse)) == "hdfs://w/_work"
+    assert shared_folder(FakeSession(spark__checkpoint__dir="hdfs://c", **warehouse)) == "hdfs://c"
 
 
 def test_settings_of_the_submitter_win(spark):

@@ -99,6 +99,9 @@ def test_unknown_status_stays_unknown(spark):
         ["5.00"],
         ["1.00", "2.01"],
         ["0.00", "0.00", "0.00", "7.77"],
+        ["90071992547409.93"] * 3,
+        ["9007199254740993.01"] * 3,
+        ["-90071992547409.93", "-0.01", "-12345678.91", "3.00"],
         ["3.10", "1.00", "2.00", None, "9999999999999999.99"],
         [str(i * i % 997) + ".37" for i in range(500)],
         [None],

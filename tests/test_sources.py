@@ -172,3 +172,11 @@ def test_projection_counts(spark):
     load = projected_billing(spark, "/root/testdata/sf0.001")
     counts = {r.table_name: r.row_count for r in row_counts({n: load(n) for n in ENTITIES}).collect()}
     assert counts == {"customers": 156, "subscriptions": 1510, "invoices": 6000}
+
+
+def test_csv_files_with_another_column_order_fail(spark, tmp_path):
+    names = RAW["customers"].names
+    (tmp_path / "a.csv").write_text(",".join(names) + "\n" + ",".join("" for _ in names) + "\n")
+    (tmp_path / "b.csv").write_text(",".join(names[::-1]) + "\n" + ",".join("" for _ in names) + "\n")
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        read_csv(spark, str(tmp_path), RAW["customers"]).collect()

@@ -239,41 +239,41 @@ RELATIONS = [
     ("marts", "churn_monthly", "churn_monthly"),
 ]
 
+# Fixed values of the specification.
 REQUIRED = {
-    "raw_customers": "customer_id email",
-    "raw_subscriptions": "subscription_id customer_id",
-    "raw_invoices": "invoice_id subscription_id",
-    "stg_customers": "customer_id customer_name email country created_at",
-    "stg_subscriptions": "subscription_id customer_id plan_name monthly_price status start_date",
-    "stg_invoices": "invoice_id subscription_id invoice_date amount_eur status plan_name",
-    "qrt_customers": "customer_id quarantine_reason",
-    "qrt_subscriptions": "subscription_id quarantine_reason",
-    "qrt_invoices": "invoice_id quarantine_reason",
-    "mrr_monthly": "invoice_month plan_name paid_invoice_count mrr_eur",
-    "customer_ltv": "customer_id customer_name country ltv_eur paid_invoice_count has_active_subscription",
-    "churn_monthly": "churn_month cancelled_subscriptions mrr_lost_eur",
+    "raw_customers": ["customer_id", "email"],
+    "raw_subscriptions": ["subscription_id", "customer_id"],
+    "raw_invoices": ["invoice_id", "subscription_id"],
+    "stg_customers": ["customer_id", "customer_name", "email", "country", "created_at"],
+    "stg_subscriptions": ["subscription_id", "customer_id", "plan_name", "monthly_price", "status", "start_date"],
+    "stg_invoices": ["invoice_id", "subscription_id", "invoice_date", "amount_eur", "status", "plan_name"],
+    "qrt_customers": ["customer_id", "quarantine_reason"],
+    "qrt_subscriptions": ["subscription_id", "quarantine_reason"],
+    "qrt_invoices": ["invoice_id", "quarantine_reason"],
+    "mrr_monthly": ["invoice_month", "plan_name", "paid_invoice_count", "mrr_eur"],
+    "customer_ltv": ["customer_id", "customer_name", "country", "ltv_eur", "paid_invoice_count", "has_active_subscription"],
+    "churn_monthly": ["churn_month", "cancelled_subscriptions", "mrr_lost_eur"],
 }
 
 DOMAINS = [
-    ("stg_customers", "country", "DE NL FR ES SE IT NO PT FI PL UNKNOWN"),
-    ("stg_subscriptions", "plan_name", "starter growth scale"),
-    ("stg_subscriptions", "status", "active cancelled paused"),
-    ("stg_invoices", "status", "paid failed open"),
-    ("stg_invoices", "reporting_currency", "EUR"),
-    ("stg_invoices", "plan_name", "starter growth scale"),
-    ("qrt_customers", "quarantine_reason", "duplicate_customer_id invalid_email missing_country other"),
+    ("stg_customers", "country", ["DE", "NL", "FR", "ES", "SE", "IT", "NO", "PT", "FI", "PL", "UNKNOWN"]),
+    ("stg_subscriptions", "plan_name", ["starter", "growth", "scale"]),
+    ("stg_subscriptions", "status", ["active", "cancelled", "paused"]),
+    ("stg_invoices", "status", ["paid", "failed", "open"]),
+    ("stg_invoices", "reporting_currency", ["EUR"]),
+    ("stg_invoices", "plan_name", ["starter", "growth", "scale"]),
+    ("qrt_customers", "quarantine_reason", ["duplicate_customer_id", "invalid_email", "missing_country", "other"]),
     (
         "qrt_subscriptions",
         "quarantine_reason",
-        "duplicate_subscription_id orphan_customer_id non_positive_monthly_price end_before_start other",
+        ["duplicate_subscription_id", "orphan_customer_id", "non_positive_monthly_price", "end_before_start", "other"],
     ),
     (
         "qrt_invoices",
         "quarantine_reason",
-        "orphan_subscription_id null_amount non_positive_amount unsupported_currency "
-        "invoice_after_end_date other",
+        ["orphan_subscription_id", "null_amount", "non_positive_amount", "unsupported_currency", "invoice_after_end_date", "other"],
     ),
-    ("mrr_monthly", "plan_name", "starter growth scale"),
+    ("mrr_monthly", "plan_name", ["starter", "growth", "scale"]),
 ]
 
 BOUNDS = [
@@ -327,7 +327,7 @@ def _not_null_rows() -> list[str]:
             *_PLACE[rel], "not_null", c, "error", f"select count(*) from {rel} where {c} is null"
         )
         for rel, columns in REQUIRED.items()
-        for c in columns.split()
+        for c in columns
     ]
 
 
@@ -338,7 +338,7 @@ def _accepted_rows() -> list[str]:
             "accepted_values",
             c,
             "error",
-            f"select count(*) from {rel} where {c} not in ({_quoted(values.split())})",
+            f"select count(*) from {rel} where {c} not in ({_quoted(values)})",
         )
         for rel, c, values in DOMAINS
     ]
@@ -389,6 +389,14 @@ AFTER_END = (
     "join stg_subscriptions s using (subscription_id) where i.status = 'paid' "
     "and i.invoice_date > s.end_date and i.is_after_end_date is not true"
 )
+DROPPED_SUBSCRIPTIONS = (
+    "select 'subscriptions' as table_name, subscription_id as row_key, reason as quarantine_reason "
+    "from judged_subscriptions where rn = 1 and not orphan and monthly_price is null"
+)
+DROPPED_INVOICES = (
+    "select 'invoices' as table_name, invoice_id as row_key, reason as quarantine_reason "
+    "from judged_invoices where amount > 0 and code is null and not orphan"
+)
 UNIQUE_MRR = (
     "select 'mrr_monthly' as table_name, invoice_month as month, plan_name, count(*) as row_count "
     "from mrr_monthly group by all having count(*) > 1"
@@ -425,6 +433,9 @@ def _summary() -> str:
         counted(("staging", "subscriptions"), "dates_flagged", "end_date", "error", DATES_FLAGGED),
         counted(("staging", "invoices"), "paid_positive", "amount_eur", "error", PAID_POSITIVE),
         counted(("staging", "invoices"), "after_end_flagged", "invoice_date", "error", AFTER_END),
+        counted(("staging", "customers"), "silent_drops", "customer_id", "warn", "select 1 where false"),
+        counted(("staging", "subscriptions"), "silent_drops", "subscription_id", "warn", DROPPED_SUBSCRIPTIONS),
+        counted(("staging", "invoices"), "silent_drops", "invoice_id", "warn", DROPPED_INVOICES),
         counted(("quarantine", "all"), "planted_defects", "quarantine_reason", "error", PLANTED),
     ]
     return "\nunion all ".join(rows)
@@ -520,12 +531,7 @@ BODIES: dict[str, str] = {
     "check_raw_dates": RAW_DATES,
     "check_after_end_flagged": AFTER_END,
     "check_planted_defects": PLANTED,
-    "check_silent_drops": """
-        select 'subscriptions' as table_name, subscription_id as row_key, reason as quarantine_reason
-        from judged_subscriptions where rn = 1 and not orphan and monthly_price is null
-        union all
-        select 'invoices', invoice_id, reason from judged_invoices
-        where amount > 0 and code is null and not orphan""",
+    "check_silent_drops": f"{DROPPED_SUBSCRIPTIONS} union all {DROPPED_INVOICES}",
     "check_summary": _summary(),
     "profile_grain": """
         select 'customers' as table_name, count(*) as row_count,
