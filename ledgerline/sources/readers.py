@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import date
+from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +62,20 @@ def jdbc_options(
     }
 
 
+def date_slices(column: str, first: date, last: date, months: int = 1) -> list[str]:
+    """Predicates for ``read_jdbc`` that cover a table without overlap, by a date column.
+
+    One for each ``months`` months from the month of ``first`` to that of ``last``, one for what is
+    earlier, one for what is later and one for rows without a date.
+    """
+    if months < 1 or last < first:
+        raise ValueError("slices need a month or more, and a last date that is not before the first")
+    start, end = (d.year * 12 + d.month - 1 for d in (first, last))
+    cuts = [date(m // 12, m % 12 + 1, 1).isoformat() for m in range(start, end + 1 + months, months)]
+    between = [f"{column} >= '{a}' AND {column} < '{b}'" for a, b in pairwise(cuts)]
+    return [f"{column} < '{cuts[0]}'", *between, f"{column} >= '{cuts[-1]}'", f"{column} IS NULL"]
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,
@@ -68,7 +84,7 @@ def read_jdbc(
     slices: Sequence[str] = (),
     properties: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Database table, one read task per predicate in ``slices`` (for example date ranges).
+    """Database table, one read task per predicate in ``slices`` (see ``date_slices``).
 
     The slices must cover the table without overlap; without any, one task reads it all.
     """

@@ -13,6 +13,7 @@ from ledgerline.sources.projection import projected_billing
 from ledgerline.sources.readers import (
     catalog_tables,
     csv_exports,
+    date_slices,
     jdbc_options,
     jdbc_tables,
     read_csv,
@@ -109,6 +110,18 @@ def test_jdbc_slices_become_read_tasks():
     assert "predicates" not in calls[1][1]
 
 
+def test_date_slices_meet_every_row_once(spark):
+    slices = date_slices("invoice_date", date(2024, 11, 15), date(2025, 2, 1))
+    assert len(slices) == 7  # four months, earlier, later, without a date
+    days = ["1999-01-01", "2024-10-31", "2024-11-01", "2024-12-31", "2025-01-01", "2025-02-28", "2025-03-01", None]
+    rows = spark.createDataFrame([(d,) for d in days], "d string").selectExpr("d", "to_date(d) AS invoice_date")
+    met = [r.d for s in slices for r in rows.where(s).collect()]
+    assert sorted(met, key=str) == sorted(days, key=str)
+    assert len(date_slices("d", date(2024, 1, 1), date(2024, 12, 31), months=6)) == 5
+    with pytest.raises(ValueError):
+        date_slices("d", date(2024, 2, 1), date(2024, 1, 31))
+
+
 def test_reconcile_names_every_difference(spark):
     counts = "table_name string, row_count long"
     source = spark.createDataFrame([("customers", 3), ("invoices", 5), ("lost", 1)], counts)
