@@ -76,12 +76,7 @@ class Billing:
         return staging.stage_invoices(rows, self.config)
 
     def _build_quarantine(self, name: str) -> DataFrame:
-        build = {
-            "customers": quarantine.quarantine_customers,
-            "subscriptions": quarantine.quarantine_subscriptions,
-            "invoices": quarantine.quarantine_invoices,
-        }[name]
-        return build(self.table("classified", name))
+        return quarantine.quarantine(name, self.table("classified", name))
 
     def _build_marts(self, name: str) -> DataFrame:
         if name == "mrr_monthly":

@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from ledgerline.config import BillingConfig
-from ledgerline.plans import checks
+from ledgerline.plans import checks, quarantine, staging
 from ledgerline.plans.billing import ENTITIES, MARTS, Billing, Loader
 from ledgerline.plans.marts import described
 from ledgerline.schemas import RAW
@@ -52,6 +52,22 @@ def load_raw(spark: SparkSession, source: Loader, root: str) -> dict[str, DataFr
     return loaded
 
 
+def publish_layers(spark: SparkSession, config: BillingConfig) -> None:
+    """Views ``staging.*`` and ``quarantine.*`` of the catalog, over those of ``classified``."""
+    for layer in ("staging", "quarantine"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace_of(layer)}")
+    for name in ENTITIES:
+        views = {
+            "staging": (staging.columns(name, config), staging.CONDITION),
+            "quarantine": (quarantine.columns(name), quarantine.CONDITION),
+        }
+        for layer, (columns, condition) in views.items():
+            spark.sql(
+                f"CREATE OR REPLACE VIEW {namespace_of(layer)}.{name} AS SELECT {', '.join(columns)}"
+                f" FROM {namespace_of('classified')}.{name} WHERE {condition}"
+            )
+
+
 def run_pipeline(
     spark: SparkSession,
     source: Loader,
@@ -61,7 +77,7 @@ def run_pipeline(
 ) -> list[Row]:
     """Refresh all layers under ``root`` and return the check results, one row per check.
 
-    The classified tables are written once; staging and quarantine are views over them. A
+    The classified tables are written once; staging and quarantine are views of the catalog over them. A
     failed check of severity "error" stops the run before the next layer is built, and before
     marts are published; a warning is only recorded. Failing raw rows go to ``audit``.
     """
@@ -87,6 +103,7 @@ def run_pipeline(
     check("staging")
     check("quarantine")
     classified.commit()
+    publish_layers(spark, config)
     for layer in ("staging", "quarantine"):
         for name in ENTITIES:
             billing.table(layer, name).createOrReplaceTempView(f"{layer}_{name}")

@@ -5,38 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.text import clean_currency, clean_label
-from ledgerline.schemas import RAW_CUSTOMERS, RAW_INVOICES, RAW_SUBSCRIPTIONS
+from ledgerline.schemas import RAW
 
+CONDITION = "quarantine_reason IS NOT NULL"
 
-def _with_reason(classified: DataFrame) -> DataFrame:
-    return classified.where(F.col("quarantine_reason").isNotNull())
+# Cleaned in quarantine; every other column, the plan name too, stays as it came.
+CLEANED = {
+    "customers": {},
+    "subscriptions": {"status": "lower(trim(status)) AS status"},
+    "invoices": {
+        "currency": "upper(trim(currency)) AS currency",
+        "status": "lower(trim(status)) AS status",
+    },
+}
 
 
-def quarantine_customers(classified: DataFrame) -> DataFrame:
-    return _with_reason(classified).select(*RAW_CUSTOMERS.names, "quarantine_reason")
+def columns(name: str) -> list[str]:
+    """Columns of a quarantine table as SQL over the classified one."""
+    return [*[CLEANED[name].get(c, c) for c in RAW[name].names], "quarantine_reason"]
 
 
-def quarantine_subscriptions(classified: DataFrame) -> DataFrame:
-    """The status is cleaned, the plan name stays as it came."""
-    return (
-        _with_reason(classified)
-        .select(*RAW_SUBSCRIPTIONS.names, "quarantine_reason")
-        .withColumn("status", clean_label(F.col("status")))
-    )
-
-
-def quarantine_invoices(classified: DataFrame) -> DataFrame:
-    return (
-        _with_reason(classified)
-        .select(*RAW_INVOICES.names, "quarantine_reason")
-        .withColumns(
-            {
-                "currency": clean_currency(F.col("currency")),
-                "status": clean_label(F.col("status")),
-            }
-        )
-    )
+def quarantine(name: str, classified: DataFrame) -> DataFrame:
+    return classified.where(CONDITION).selectExpr(*columns(name))
 
 
 def reason_counts(quarantined: DataFrame) -> DataFrame:

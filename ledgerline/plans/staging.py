@@ -3,56 +3,69 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ledgerline.config import BillingConfig
-from ledgerline.functions.dates import month_of
-from ledgerline.functions.text import clean_country, clean_currency, clean_label, clean_text
-from ledgerline.operators.rules import any_of
+
+# The catalog's views have the same columns, so these are SQL.
+CONDITION = "is_staged"
+CUSTOMERS = [
+    "customer_id",
+    "nullif(trim(customer_name), '') AS customer_name",
+    "nullif(trim(email), '') AS email",
+    "coalesce(nullif(upper(trim(country)), ''), 'UNKNOWN') AS country",
+    "created_at",
+    "is_invalid_email",
+    "is_missing_country",
+    "is_future_created_at",
+    "is_invalid_email OR is_missing_country OR is_future_created_at AS has_quality_issue",
+]
+SUBSCRIPTIONS = [
+    "subscription_id",
+    "customer_id",
+    "lower(trim(plan_name)) AS plan_name",
+    "monthly_price",
+    "start_date",
+    "end_date",
+    "lower(trim(status)) AS status",
+    "is_orphan_customer",
+    "is_invalid_price",
+    "is_invalid_date_range",
+    "is_orphan_customer OR is_invalid_price OR is_invalid_date_range AS has_quality_issue",
+]
+
+
+def invoices(config: BillingConfig) -> list[str]:
+    return [
+        "invoice_id",
+        "subscription_id",
+        "invoice_date",
+        "trunc(invoice_date, 'month') AS invoice_month",
+        "amount AS amount_original",
+        "upper(trim(currency)) AS currency_original",
+        "amount_eur",
+        f"'{config.reporting_currency}' AS reporting_currency",
+        "lower(trim(status)) AS status",
+        "plan_name",
+        "is_orphan_subscription",
+        "is_invalid_amount",
+        "is_after_end_date",
+        "is_orphan_subscription OR is_invalid_amount OR is_after_end_date OR amount_eur IS NULL"
+        " AS has_quality_issue",
+    ]
+
+
+def columns(name: str, config: BillingConfig) -> list[str]:
+    """Columns of a staging table as SQL over the classified one."""
+    return {"customers": CUSTOMERS, "subscriptions": SUBSCRIPTIONS, "invoices": invoices(config)}[name]
 
 
 def stage_customers(classified: DataFrame) -> DataFrame:
-    flags = ["is_invalid_email", "is_missing_country", "is_future_created_at"]
-    return classified.where("is_staged").select(
-        "customer_id",
-        clean_text(F.col("customer_name")).alias("customer_name"),
-        clean_text(F.col("email")).alias("email"),
-        F.coalesce(clean_country(F.col("country")), F.lit("UNKNOWN")).alias("country"),
-        "created_at",
-        *flags,
-        any_of([F.col(flag) for flag in flags]).alias("has_quality_issue"),
-    )
+    return classified.where(CONDITION).selectExpr(*CUSTOMERS)
 
 
 def stage_subscriptions(classified: DataFrame) -> DataFrame:
-    flags = ["is_orphan_customer", "is_invalid_price", "is_invalid_date_range"]
-    return classified.where("is_staged").select(
-        "subscription_id",
-        "customer_id",
-        clean_label(F.col("plan_name")).alias("plan_name"),
-        "monthly_price",
-        "start_date",
-        "end_date",
-        clean_label(F.col("status")).alias("status"),
-        *flags,
-        any_of([F.col(flag) for flag in flags]).alias("has_quality_issue"),
-    )
+    return classified.where(CONDITION).selectExpr(*SUBSCRIPTIONS)
 
 
 def stage_invoices(classified: DataFrame, config: BillingConfig) -> DataFrame:
-    flags = ["is_orphan_subscription", "is_invalid_amount", "is_after_end_date"]
-    issues = [F.col(flag) for flag in flags] + [F.col("amount_eur").isNull()]
-    return classified.where("is_staged").select(
-        "invoice_id",
-        "subscription_id",
-        "invoice_date",
-        month_of(F.col("invoice_date")).alias("invoice_month"),
-        F.col("amount").alias("amount_original"),
-        clean_currency(F.col("currency")).alias("currency_original"),
-        "amount_eur",
-        F.lit(config.reporting_currency).alias("reporting_currency"),
-        clean_label(F.col("status")).alias("status"),
-        "plan_name",
-        *flags,
-        any_of(issues).alias("has_quality_issue"),
-    )
+    return classified.where(CONDITION).selectExpr(*invoices(config))

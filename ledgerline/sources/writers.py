@@ -1,59 +1,100 @@
-"""Full-refresh writes: all tables of a load are written before the first becomes visible."""
+"""Full-refresh writes: one version record makes all tables of a refresh current together."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_NAMESPACE = "analytics"
 
+# Folders kept of every table, and records kept of every namespace.
+VERSIONS = 3
+RECORD = "version long, table_name string, slot int"
+
 
 def namespace_of(layer: str | None, default: str = DEFAULT_NAMESPACE) -> str:
     """Database of a layer: its own bare name, never prefixed by the default one."""
     return default if layer is None else layer.strip()
 
 
-def _location(spark: SparkSession, table: str) -> str | None:
-    if not spark.catalog.tableExists(table):
-        return None
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
-    return described.where("col_name = 'Location'").first()["data_type"]
+def _records(namespace: str, root: str) -> str:
+    return f"{root.rstrip('/')}/{namespace}/published_versions"
+
+
+def _path(namespace: str, root: str, name: str, slot: int) -> str:
+    return f"{root.rstrip('/')}/{namespace}/{name}/{slot}"
+
+
+def published_version(spark: SparkSession, namespace: str, root: str) -> tuple[int, dict[str, int]]:
+    """Number of the last committed refresh, 0 before the first, and the folder number of each table."""
+    try:
+        rows = (
+            spark.read.schema(RECORD)
+            .option("ignoreMissingFiles", True)
+            .json(f"{_records(namespace, root)}/*")
+            .collect()  # one row per table and kept record
+        )
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = []
+    version = max((r.version for r in rows), default=0)
+    return version, {r.table_name: r.slot for r in rows if r.version == version}
+
+
+def published_tables(spark: SparkSession, namespace: str, root: str) -> Callable[[str], DataFrame]:
+    """Loader of the tables of the last committed refresh: all of one version, whatever is committed later."""
+    _, slots = published_version(spark, namespace, root)
+    return lambda name: spark.read.parquet(_path(namespace, root, name, slots[name]))
+
+
+def publish_views(spark: SparkSession, namespace: str, root: str) -> None:
+    """Point the catalog's views at the last committed refresh; also repairs a publish that broke off."""
+    _, slots = published_version(spark, namespace, root)
+    if slots:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}")
+    for name, slot in slots.items():
+        path = _path(namespace, root, name, slot)
+        spark.sql(f"CREATE OR REPLACE VIEW {namespace}.{name} AS SELECT * FROM parquet.`{path}`")
 
 
 class Refresh:
     """Replaces tables of one namespace under ``root``, a folder all executors can reach.
 
-    Every table has two folders. A refresh overwrites the one that is not being read, and
-    ``commit`` points the catalog to it, table by table. When a write or a check fails before, the
-    old tables stay as they are; when the catalog fails in between, some tables are new, and the next
-    refresh repairs that. Storage never exceeds two copies.
+    A table has ``VERSIONS`` folders, and a refresh overwrites the oldest, so that a slow reader may
+    outlast the next refresh. ``commit`` writes one small file, the record of the new version: before it
+    all old tables are current, after it all new ones (``published_tables``). The views of the
+    catalog follow one by one. A failure among them leaves some views at the old version, whose
+    folders stay; the next refresh first brings them to the record. One refresh of a namespace
+    runs at a time.
     """
 
     def __init__(self, spark: SparkSession, namespace: str, root: str):
         self.spark = spark
         self.namespace = namespace
         self.root = root.rstrip("/")
-        self._written: dict[str, str] = {}
+        self._version, self._slots = published_version(spark, namespace, root)
+        self._written: dict[str, int] = {}
+        publish_views(spark, namespace, root)
 
     def write(self, name: str, rows: DataFrame) -> DataFrame:
         """Write the new version of a table and return it; readers still see the old one."""
-        current = _location(self.spark, f"{self.namespace}.{name}")
-        slot = "b" if current is not None and current.rstrip("/").endswith("/a") else "a"
-        path = f"{self.root}/{self.namespace}/{name}/{slot}"
+        slot = (self._slots[name] + 1) % VERSIONS if name in self._slots else 0
+        path = _path(self.namespace, self.root, name, slot)
         rows.write.mode("overwrite").parquet(path)
-        self._written[name] = path
+        self._written[name] = slot
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def commit(self) -> None:
-        """Make all written tables visible. A changed schema replaces the old one."""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.namespace}")
-        for name, path in self._written.items():
-            table = f"{self.namespace}.{name}"
-            new_schema = self.spark.read.parquet(path).schema
-            if self.spark.catalog.tableExists(table):
-                if self.spark.table(table).schema == new_schema:
-                    self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-                    self.spark.catalog.refreshTable(table)
-                    continue
-                self.spark.sql(f"DROP TABLE {table}")
-            self.spark.catalog.createTable(table, path, source="parquet", schema=new_schema)
+        """Make all written tables current. A changed schema replaces the old one."""
+        self._version += 1
+        self._slots |= self._written
         self._written = {}
+        record = [(self._version, name, slot) for name, slot in self._slots.items()]
+        # A single file appears at once; it takes the place of the oldest record.
+        self.spark.createDataFrame(record, RECORD).coalesce(1).write.mode("overwrite").json(
+            f"{_records(self.namespace, self.root)}/{self._version % VERSIONS}"
+        )
+        publish_views(self.spark, self.namespace, self.root)

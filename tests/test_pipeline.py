@@ -62,12 +62,18 @@ def test_full_run_and_second_refresh(spark, tmp_path):
     assert "EqualTo(is_staged,true)" in plan
     assert "ReadSchema: struct<invoice_id:string,is_staged:boolean>" in plan
     assert spark.table("quarantine_invoices").count() == 5
+    session = spark.newSession()
+    for layer in ("staging", "quarantine"):
+        for name in ROWS:
+            view = session.table(f"{layer}.{name}")
+            assert view.schema == spark.table(f"{layer}_{name}").schema
+            assert sorted(view.collect(), key=str) == sorted(spark.table(f"{layer}_{name}").collect(), key=str)
     assert spark.table("audit.raw_amounts_sane").count() == 2
 
     more = {**ROWS, "invoices": [*ROWS["invoices"], invoice("I9", "S1", amount="1.00")]}
     run_pipeline(spark, source_of(spark, more), str(tmp_path), CONFIG)
     assert spark.table("raw.invoices").count() == 9
-    assert spark.table("staging_invoices").count() == 5
+    assert spark.table("staging_invoices").count() == spark.newSession().table("staging.invoices").count() == 5
 
 
 def test_failed_check_stops_before_the_marts(spark, tmp_path):

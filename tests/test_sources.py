@@ -20,7 +20,8 @@ from ledgerline.sources.readers import (
     read_parquet,
 )
 from ledgerline.sources.reconcile import reconcile_counts, row_counts
-from ledgerline.sources.writers import Refresh, namespace_of
+from ledgerline.sources import writers
+from ledgerline.sources.writers import Refresh, namespace_of, publish_views, published_tables
 
 INVOICES = (
     "invoice_id,subscription_id,invoice_date,amount,currency,status\r\n"
@@ -177,10 +178,54 @@ def test_refresh_shows_all_tables_or_none(spark, tmp_path):
     evolved.write("a", spark.createDataFrame([(1, "x")], "n int, extra string"))
     evolved.commit()
     assert spark.table("refresh_test.a").columns == ["n", "extra"]
-    assert sorted(p.name for p in (tmp_path / "refresh_test" / "b").iterdir()) == ["a", "b"]
+    assert sorted(p.name for p in (tmp_path / "refresh_test" / "b").iterdir()) == ["0", "1"]
     assert catalog_tables(spark, "refresh_test")("b").count() == 2
 
 
+def test_publish_that_breaks_off_between_two_tables(spark, tmp_path, monkeypatch):
+    def numbers(refresh, a, b):
+        for name, n in (("a", a), ("b", b)):
+            refresh.write(name, spark.range(n).select(F.col("id").cast("int").alias("n")))
+
+    def counts(load):
+        return load("a").count(), load("b").count()
+
+    root, views = str(tmp_path), catalog_tables(spark, "publish_test")
+    refresh = Refresh(spark, "publish_test", root)
+    numbers(refresh, 1, 2)
+    refresh.commit()
+    before = published_tables(spark, "publish_test", root)
+
+    broken = Refresh(spark, "publish_test", root)
+    numbers(broken, 3, 4)
+    assert counts(published_tables(spark, "publish_test", root)) == counts(views) == (1, 2)
+    publish = spark.sql
+
+    def only_a(text):
+        if "publish_test.b" in text:
+            raise RuntimeError("catalog lost")
+        return publish(text)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(spark, "sql", only_a)
+        with pytest.raises(RuntimeError, match="catalog lost"):
+            broken.commit()
+    # The record has both new tables at once; what was loaded before still reads both old ones.
+    assert counts(published_tables(spark, "publish_test", root)) == (3, 4)
+    assert counts(before) == (1, 2)
+    publish_views(spark, "publish_test", root)
+    assert counts(views) == (3, 4)
+
+    for n in range(5, 5 + 2 * writers.VERSIONS):
+        refresh = Refresh(spark, "publish_test", root)
+        refresh.write("a", spark.range(n).select(F.col("id").cast("int").alias("n")))
+        refresh.commit()
+        # A table that is not written again stays as it is.
+        assert counts(published_tables(spark, "publish_test", root)) == counts(views) == (n, 4)
+    assert len(list((tmp_path / "publish_test" / "a").iterdir())) == writers.VERSIONS
+    assert len(list((tmp_path / "publish_test" / "published_versions").iterdir())) == writers.VERSIONS
+
+
 def test_projection_counts(spark):
     load = projected_billing(spark, "/root/testdata/sf0.001")
     counts = {r.table_name: r.row_count for r in row_counts({n: load(n) for n in ENTITIES}).collect()}
