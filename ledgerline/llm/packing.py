@@ -32,7 +32,8 @@ def word_encoder(path: str) -> Callable[[list[str]], dict[str, bytes]]:
     """A function from distinct words to their ids, 32 bits each; its cache lives as long as the worker.
 
     The vocabulary's pre-tokenizer joins no characters across white space, so a text has the ids of
-    its words, and a word of letters with punctuation behind it those of both parts.
+    its words, and a word of Latin-1 letters with punctuation behind it those of both parts: these letters
+    stay letters when the vocabulary normalises them. Others may turn into a letter and a mark, which joins the punctuation.
     """
     from tokenizers import Tokenizer
 
@@ -50,7 +51,7 @@ def word_encoder(path: str) -> Callable[[list[str]], dict[str, bytes]]:
         split = []
         for word in found:
             core = word.rstrip(tail)
-            if core is not word and core.isalpha():
+            if core is not word and core.isalpha() and (core.isascii() or max(core) <= "\xff"):
                 split.append((word, core.lower() if core.isascii() else core, word[len(core) :]))
             else:
                 split.append((word, word.lower() if word.isascii() and word.isalpha() else word, ""))

@@ -119,6 +119,22 @@ def test_packed_pieces_are_the_tokens(make_documents, corpus):
     assert packing.pack_documents(make_documents([]), vocabulary_path()).collect() == []
 
 
+def packed_as_whole(make_documents, texts):
+    """Whether every text is packed as the ids that the vocabulary gives for it as a whole."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary_path())
+    whole = [np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 1], "<u4") for t in texts]
+    got = packing.pack_documents(make_documents([(i, t, "s") for i, t in enumerate(texts)]), vocabulary_path(), 1 << 16).collect()
+    return {r.doc_id: (r.start, r.length, r.doc_tokens, r.ids_crc32) for r in got} == {i: (0, len(w), len(w), zlib.crc32(w.tobytes())) for i, w in enumerate(whole)}
+
+
+def test_letters_that_normalise_to_marks_join_the_punctuation(make_documents):
+    latin = [chr(c) for c in range(0x80, 0x250) if chr(c).isalpha()]
+    texts = ["SAL\u0130,", "\u0917\u095d,", "\u09dc\u09dd. \ufb2a!", *[f"x{c}, {c}.. A{c}b;" for c in latin]]
+    assert packed_as_whole(make_documents, texts)
+
+
 def test_best_counts_is_the_best_total():
     random.seed(4)
     for _ in range(200):
