@@ -9,6 +9,7 @@ shuffled and a lost task is repeated alone.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import deque
 from collections.abc import Callable, Iterator
@@ -24,9 +25,18 @@ POOL_FULL, POOL_LEFT = 4096, 1024
 #: Words in each of the two generations of a worker's cache, and words that a task has at hand.
 CACHED_WORDS, WORDS_AT_HAND = 500_000, 200_000
 
+#: Python takes these for white space, the vocabulary does not.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
+WORD = re.compile(rf"[\S{SEPARATORS}]+")
+
 SCHEMA = "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def vocabulary_words(text: str) -> list[str]:
+    """Runs of characters other than the vocabulary's white space."""
+    return WORD.findall(text) if any(c in text for c in SEPARATORS) else text.split()
+
+
 @cache
 def word_encoder(path: str) -> Callable[[list[str]], dict[str, bytes]]:
     """A function from distinct words to their ids, 32 bits each; its cache lives as long as the worker.
@@ -155,7 +165,7 @@ def pack_documents(documents: DataFrame, vocabulary: str, capacity: int = 2048,
             kind = batch.schema.field(0).type
             ids_of, known = batch.column(0).to_pylist(), {}
             for at in range(0, batch.num_rows, 64):
-                texts = [(t or "").split() for t in batch.column(1).slice(at, 64).to_pylist()]
+                texts = [vocabulary_words(t or "") for t in batch.column(1).slice(at, 64).to_pylist()]
                 new = {w for words in texts for w in words if w not in known}
                 if len(known) + len(new) > WORDS_AT_HAND:
                     known, new = {}, {w for words in texts for w in words}

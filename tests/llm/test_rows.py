@@ -135,6 +135,10 @@ def test_letters_that_normalise_to_marks_join_the_punctuation(make_documents):
     assert packed_as_whole(make_documents, texts)
 
 
+def test_separators_are_tokens(make_documents):
+    assert packed_as_whole(make_documents, [f"a{c}b {c} c\u2003{c}{c}d,{c}\x85e" for c in "\x1c\x1d\x1e\x1f"])
+
+
 def test_best_counts_is_the_best_total():
     random.seed(4)
     for _ in range(200):
