@@ -20,12 +20,10 @@ WINDOW = 5
 
 @dataclass(frozen=True)
 class LineLimits:
-    """A line is above the limits if it has at most `max_words` words (longer ones are prose that documents
-    share, which is for deduplication) and more than `min_texts` different texts of its host, and more than
-    `min_share` of them, hold it. A text is depleted if fewer than `left_words` words are left without such
-    lines, or less than `left_share` of its words."""
+    """A line of any length is above the limits if more than `min_texts` different texts of its host, and more
+    than `min_share` of them, hold it. A text is depleted if fewer than `left_words` words are left without
+    such lines, or less than `left_share` of its words."""
 
-    max_words: int = 30
     min_texts: int = 20
     min_share: float = 0.05
     left_words: int = 5
@@ -95,7 +93,7 @@ def depleted_texts(rows: DataFrame, limits: LineLimits) -> DataFrame:
     lines = rows.select("host_key", "text_key", F.explode(_normalised_lines(F.col("text"))).alias("l"))
     lines = keep(lines.select("host_key", "text_key", "l.line", "l.words").groupBy("host_key", "text_key", "line").agg(F.max("words").alias("words"), F.count("*").alias("times")))
     texts = lines.select("host_key", "text_key").distinct().groupBy("host_key").agg(F.count("*").alias("texts"))
-    holders = lines.where(F.col("words") <= limits.max_words).groupBy("host_key", "line").agg(F.count("*").alias("holders"))
+    holders = lines.groupBy("host_key", "line").agg(F.count("*").alias("holders"))
     frequent = holders.where(F.col("holders") > limits.min_texts).join(texts, "host_key").where(F.col("holders") > limits.min_share * F.col("texts"))
     cut = F.when(F.col("cut"), F.lit(0)).otherwise(F.col("words")) * F.col("times")
     left = lines.join(frequent.select("host_key", "line", F.lit(True).alias("cut")), ["host_key", "line"], "left")

@@ -174,6 +174,15 @@ def test_depleted_documents_go_and_the_others_stay(make_documents):
     assert quality_rules.judged(documents.limit(0), F.struct("*")).collect() == []
 
 
+def test_long_shared_lines_deplete_documents_too(make_documents):
+    notice = " ".join(f"term{k}" for k in range(45))
+    pages = [(i, f"{notice}\nown{i} page{'x' * i}", "a") for i in range(30)]
+    whole = [(100 + i, f"{notice}\n{' '.join(k + 'x' * i for k in 'abcdefghijkl')}", "a") for i in range(30)]
+    rare = [(200 + i, f"{notice}\nown{i} page{'x' * i}", "b") for i in range(20)]
+    got = quality_rules.judged(make_documents([*pages, *whole, *rare]), F.struct("doc_id")).collect()
+    assert {r.row.doc_id for r in got if r.kept} == {100 + i for i in range(30)} | {200 + i for i in range(20)}
+
+
 def test_phrases_equal_brute_force(make_documents, corpus):
     texts = [*corpus, "Released under the MIT License.", "under the mit-license under\x7fthe mit license", "cc-by-nc, CC BY NCé", "Apache License, Version 2.0 apache license version 2", "under the mit"]
     got = licenses.scan_licenses(make_documents(texts)).collect()
