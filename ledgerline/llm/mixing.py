@@ -138,13 +138,12 @@ def mixed_documents(documents: DataFrame, block_words: int = 128, seed: int = 1,
     Rows of which nothing is taken go; a row that is taken from twice comes twice. All columns stay.
     """
     placed_rows, _ = mix_sources(documents, block_words, seed, text=text, doc_id=doc_id, source=source)
-    # Equal rows have equal keys; each takes one of their places.
-    places = F.sort_array(F.collect_list(F.struct("start", "size", "pieces")))
-    places = placed_rows.groupBy("row_key", "text_key").agg(places.alias("places"))
+    # Equal rows have equal keys; each takes one of their places, by number.
+    alike = W.partitionBy("row_key", "text_key")
+    places = placed_rows.select("row_key", "text_key", F.struct("start", "size", "pieces").alias("place"), F.row_number().over(alike.orderBy("start", "size")).alias("number"))
     rows = documents.select(F.struct("*").alias("row"), row_key(F.col(doc_id), F.col(source)).alias("row_key"), F.xxhash64(text).alias("text_key"))
-    rows = rows.join(places, ["row_key", "text_key"])
-    rows = rows.withColumn("place", F.get("places", F.row_number().over(W.partitionBy("row_key", "text_key").orderBy(F.lit(1))) - 1)).drop("places")
-    rows = rows.where("place.pieces is not null")
+    rows = rows.withColumn("number", F.row_number().over(alike.orderBy(F.lit(1))))
+    rows = rows.join(places.where("place.pieces is not null"), ["row_key", "text_key", "number"])
     # Each part is a word with the white space before it.
     rows = rows.withColumn("parts", F.split(F.col(f"row.{text}"), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")).withColumn("time", F.explode(F.array(F.lit(1), F.lit(2))))
     low = lambda p: F.greatest(p["block"] * block_words - F.col("place.start"), F.lit(0).cast("long"))

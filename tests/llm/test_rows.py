@@ -57,6 +57,19 @@ def test_mixed_documents_hold_the_words_taken(make_documents, corpus):
     assert +got == +taken
 
 
+def test_equal_rows_take_their_places_one_by_one(make_documents):
+    rows = [(1, "a b c d e f g", "s")] * 300 + [(2, "x y z", "s")] * 5
+    documents = make_documents(rows)
+    mixed = mixing.mixed_documents(documents, block_words=4)
+    assert "collect_list(struct(start" not in mixed._jdf.queryExecution().optimizedPlan().toString()
+    taken, got = Counter(), Counter()
+    for r in mixing.mix_sources(documents, block_words=4)[0].collect():
+        taken[r.doc_id] += r.taken
+    for r in mixed.collect():
+        got[r.doc_id] += len(brute.words(r.text))
+    assert got == taken
+
+
 def test_mix_of_nothing(make_documents):
     assert mixing.mix_sources(make_documents([]))[0].collect() == []
     got = mixing.mix_sources(make_documents([(1, None, "a"), (None, " ", None)]))[0].collect()
