@@ -1,13 +1,13 @@
-"""Suffix-array deduplication: bytes covered by long strings of earlier documents, with a logarithmic index family.
+"""Suffix deduplication: bytes covered by long strings of earlier documents, with a logarithmic index family.
 
 A place in a text is a suffix start with at least `length` bytes behind it. Every such window is
 dealt to a part by its anchor, the smallest hash of the strings of ANCHOR bytes in it; equal windows
 have equal anchors, so a part can judge its windows by itself. Anchors that occur in one document only
 are dropped first.
 
-A part reads its windows in the order of doc_id. Each batch gets a suffix array: its window starts in the
-order of the bytes from there. It is merge-scanned against the arrays of the existing levels, which hold
-smaller ids, then becomes a level of its own; while the last two levels are of about one size, they merge, so there are
+A part reads its windows in the order of doc_id. In place of a suffix array each batch gets the sorted array of its
+distinct windows, `length` bytes each, without positions. They are looked up by binary search in the arrays of the existing
+levels, which hold smaller ids; then the batch becomes a level of its own; while the last two levels are of about one size, they merge, so there are
 logarithmically many. A window is covered if it also starts in a document with a smaller id.
 """
 
