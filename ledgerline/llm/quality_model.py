@@ -171,11 +171,12 @@ def train(documents: DataFrame, labels: DataFrame, target: str = "quality") -> n
     told = keep(told.groupBy("doc_id").agg(F.max(target).cast("long").alias("label")))
     rows = documents.select("doc_id", "text").join(told, "doc_id")
     ratios = log_count_ratios(class_counts(rows.select("text", "label")))
-    # The sample is bounded by SAMPLE_ROWS ids, which may be sent to all tasks; a repeated document adds a row.
+    # The sample is bounded by SAMPLE_ROWS ids, which may be sent to all tasks; of several texts of an id the one with
+    # the smallest hash is taken, so that it is also bounded by rows. The ratios count them all.
     turn = F.xxhash64("doc_id")
     sample = told.orderBy(turn, "doc_id").limit(SAMPLE_ROWS)
     texts = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(turn.alias("turn"), "text", "label")
-    texts = texts.dropDuplicates(["turn", "text"])
+    texts = texts.groupBy("turn", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
     model = texts.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(_fit(ratios), "at long, weight double").collect()
     weights = np.zeros(FEATURES + 3)
     weights[-2] = 1.0

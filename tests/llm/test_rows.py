@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.llm import licenses, mixing, packing, quality_rules, sharding, topk, url_filter
+from ledgerline.llm import licenses, mixing, packing, quality_model, quality_rules, sharding, topk, url_filter
 from ledgerline.llm.vocabulary import vocabulary_path
 from tests.llm import brute
 
@@ -282,3 +282,16 @@ def test_filter_passes_all_listed_and_few_others(spark, monkeypatch):
     assert {f"h/{i}" for i in range(3000)} <= {r.canonical for r in url_filter.possible_hits(urls, listed).collect()}
 
 
+
+
+def test_training_rows_are_bounded_though_an_id_has_many_texts(spark, make_documents, monkeypatch):
+    import pandas as pd
+
+    def counting(ratios):
+        return lambda sample: pd.DataFrame({"at": [0], "weight": [float(len(sample))]})
+
+    monkeypatch.setattr(quality_model, "_fit", counting)
+    documents = make_documents([(i // 50, f"text {i}", "s") if i < 400 else (i, None, "s") for i in range(420)])
+    told = spark.createDataFrame([(i, i % 2) for i in [*range(8), *range(400, 420)]], "doc_id long, quality long")
+    ids = told.where(~quality_model.is_held_out(F.col("doc_id"))).count()
+    assert quality_model.train(documents, told)[quality_model.FEATURES] == ids
