@@ -12,6 +12,7 @@ from ledgerline.llm.licenses import scan_licenses
 from ledgerline.llm.mixing import mix_sources
 from ledgerline.llm.ngram_join import near_duplicates
 from ledgerline.llm.packing import pack_documents
+from ledgerline.llm.periodic_runs import collapse_runs, repeated_from
 from ledgerline.llm.quality_model import score_documents, train
 from ledgerline.llm.quality_rules import judged
 from ledgerline.llm.sharding import shard_documents
@@ -71,6 +72,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages, pages_of_listed_hosts(pages))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collapse_runs(_table(spark, sf_dir, "documents"), repeated_from)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_nbsvm,
         op9_quality_rules,
         op10_url_filter,
+        op13_periodic_runs,
     )
 }
 

@@ -102,3 +102,38 @@ def phrase_places(text: str | None) -> tuple:
         places += at
         labels |= {label} if at else set()
     return len(found), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
+
+
+def word_runs(found: list[str], shortest: int = 6, repeats: int = 4) -> list[tuple[int, int, int]]:
+    """(start, length, period) of all runs: every stretch that repeats at some distance, if no smaller one does."""
+    runs = []
+    for period in range(1, len(found) // repeats + 1):
+        start = 0
+        while start < len(found) - period:
+            end = start
+            while end + period < len(found) and found[end] == found[end + period]:
+                end += 1
+            length = end + period - start
+            stretch = found[start : start + length]
+            if end > start and length >= max(shortest, repeats * period) and not any(stretch[q:] == stretch[:-q] for q in range(1, period)):
+                runs.append((start, length, period))
+            start = end + 1
+    return sorted(runs)
+
+
+def collapsed(doc_id, text: str | None) -> tuple:
+    """The contract's figures of a document, and its words without repeats."""
+    found = words(text)
+    n, number = len(found), zlib.crc32(str(doc_id).encode())
+    if doc_id is not None and number % 10 == 0 and n:
+        rest = number // 10
+        a = rest % n
+        p = 1 + (n - a) // (3 + rest % 8)
+        found = [found[a + (i - a) % p] if i >= a else w for i, w in enumerate(found)]
+    runs = word_runs(found)
+    gone = {i for start, length, period in runs for i in range(start + period, start + length)}
+    best = min(runs, key=lambda r: (-r[1], r[0], r[2])) if runs else (None,) * 3
+    lines = "".join(f"{s},{m},{q}\n" for s, m, q in runs)
+    left = " ".join(w for i, w in enumerate(found) if i not in gone)
+    milli = 1000 * best[1] // best[2] if runs else None
+    return (len(runs), *best, milli, hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(left.encode()).hexdigest(), left)
