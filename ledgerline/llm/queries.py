@@ -17,6 +17,7 @@ from ledgerline.llm.quality_model import score_documents, train
 from ledgerline.llm.quality_rules import judged
 from ledgerline.llm.sharding import shard_documents
 from ledgerline.llm.suffix_dedup import remove_repeats
+from ledgerline.llm.token_alignment import align_tokenizers
 from ledgerline.llm.topk import top_k
 from ledgerline.llm.url_filter import filter_urls, pages_of_listed_hosts
 from ledgerline.llm.vocabulary import vocabulary_path
@@ -72,6 +73,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages, pages_of_listed_hosts(pages))
 
 
+def op11_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(_table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collapse_runs(_table(spark, sf_dir, "documents"), repeated_from)
 
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_nbsvm,
         op9_quality_rules,
         op10_url_filter,
+        op11_align_tokenizers,
         op13_periodic_runs,
     )
 }

@@ -137,3 +137,38 @@ def collapsed(doc_id, text: str | None) -> tuple:
     left = " ".join(w for i, w in enumerate(found) if i not in gone)
     milli = 1000 * best[1] // best[2] if runs else None
     return (len(runs), *best, milli, hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(left.encode()).hexdigest(), left)
+
+
+def aligned(rows: list[tuple], first, second) -> list[tuple]:
+    """The contract's figures for rows (doc_id, text): whole texts are encoded, all pairs of tokens of a group are looked at."""
+    per_row, counts = [], Counter()
+    for doc_id, text in rows:
+        data = f" {text}".encode()
+        sides = []
+        if text:
+            for vocabulary, given in ((first, f" {text}"), (second, text)):
+                ids, at, spans = vocabulary.encode(given).tolist(), 0, []
+                for i in ids:
+                    spans.append((i, at, at + len(vocabulary.tokens[i])))
+                    at = spans[-1][2]
+                sides.append(spans if b"".join(vocabulary.tokens[i] for i in ids) == data else None)
+        if not text or None in sides:
+            per_row.append((doc_id, None, [], []))
+            continue
+        a, b = sides
+        cuts = sorted({e for _, _, e in a} & {e for _, _, e in b})
+        groups, links, low = [], [], 0
+        for cut in cuts:
+            ours, theirs = [[x for x in side if low <= x[1] < cut] for side in (a, b)]
+            groups.append(",".join(str(x[0]) for x in ours) + "|" + ",".join(str(x[0]) for x in theirs))
+            links += [(x[0], y[0]) for x in ours for y in theirs if x[1] < y[2] and y[1] < x[2]]
+            low = cut
+        counts.update(links)
+        per_row.append((doc_id, (len(a), len(b)), groups, links))
+    highest = {}
+    for (_, y), n in counts.items():
+        highest[y] = max(n, highest.get(y, 0))
+    return [
+        (doc_id, *(n or (0, 0)), len(groups), len(links), sum(counts[x] == highest[x[1]] for x in links), sum(counts[x] for x in links), hashlib.sha256(";".join(groups).encode()).hexdigest() if n else "")
+        for doc_id, n, groups, links in per_row
+    ]
