@@ -16,6 +16,7 @@ import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +29,14 @@ from ledgerline.llm.workspace import keep
 #: Pairs whose totals all tasks know; 17 bytes each.
 MOST_KNOWN = 1 << 16
 #: Units and links that a task keeps, and pairs that it sums up before it hands them on.
-UNITS_KEPT, LINKS_KEPT, PAIRS_KEPT = 400_000, 4_000_000, 1 << 20
+UNITS_KEPT, LINKS_KEPT, PAIRS_KEPT = 600_000, 4_000_000, 1 << 20
 #: Bytes of units that are encoded at once, and characters of texts that are cut into units at once.
 ENCODED_BYTES, TEXT_CHARACTERS = 1 << 17, 1 << 20
 #: Bins of pairs per doubling of their totals.
 BINS = 8
 
 SPACE, PIECE_SPACE = " ", "▁"
+SPACE_BEHIND_SPACE = [chr(c) + SPACE for c in range(0x3001) if chr(c).isspace()]
 
 
 class Vocabulary:
@@ -116,8 +118,10 @@ def units_of(text: str, whole: bool = False) -> list[str]:
 
     So tokens of neither vocabulary reach from one into the next. A space at the text's end belongs to the unit before.
     """
-    parts = [text] if whole else text.split(SPACE)
-    if all(parts) and not any(p[-1].isspace() for p in parts):
+    if whole:
+        return [text]
+    parts = text.split(SPACE)
+    if parts[0] and parts[-1] and not any(pair in text for pair in SPACE_BEHIND_SPACE):
         return parts
     units, unit = [], parts[0]
     for part in parts[1:]:
@@ -133,6 +137,15 @@ def units_of(text: str, whole: bool = False) -> list[str]:
     return units
 
 
+COMMA, BAR, SEMICOLON, LINE = range(4)
+
+
+@cache
+def written_ids(blocks: int) -> np.ndarray:
+    """Decimal ids below (blocks + 1) * 2^16 with each of the signs that can follow."""
+    return np.array([[f"{i}{sign}" for sign in ",|;\n"] for i in range(blocks + 1 << 16)], object)
+
+
 @dataclass
 class Aligned:
     """The links of units, each unit's behind those of the one before."""
@@ -159,20 +172,28 @@ class Aligned:
 
     def written(self) -> list[str]:
         """Each unit's groups, like 1,2|3;4|5."""
-        texts, bounds = [], self.bounds.tolist()
-        a, b, new_a, new_b, ends = (x.tolist() for x in (self.a, self.b, self.new_a, self.new_b, self.ends))
-        for low, high in zip(bounds, bounds[1:], strict=False):
-            groups, ours, theirs = [], [], []
-            for k in range(low, high):
-                if new_a[k]:
-                    ours.append(str(a[k]))
-                if new_b[k]:
-                    theirs.append(str(b[k]))
-                if ends[k]:
-                    groups.append(f"{','.join(ours)}|{','.join(theirs)}")
-                    ours, theirs = [], []
-            texts.append(";".join(groups))
-        return texts
+        group = np.cumsum(self.ends) - self.ends
+        a_last, b_last = self._last(self.new_a), self._last(self.new_b)
+        unit_ends = np.zeros(len(self.ends), bool)
+        unit_ends[self.bounds[1:][np.diff(self.bounds) > 0] - 1] = True
+        a, b = self.a[a_last], self.b[b_last]
+        a_behind = np.where(self.ends[a_last], BAR, COMMA)
+        b_behind = np.where(unit_ends[b_last], LINE, np.where(self.ends[b_last], SEMICOLON, COMMA))
+        # Tokens of a group stand before those of the other side, and behind all of the groups before.
+        groups = int(group[-1]) + 1 if len(group) else 0
+        a_of, b_of = np.bincount(group[a_last], minlength=groups), np.bincount(group[b_last], minlength=groups)
+        a_place = np.arange(len(a)) + (np.cumsum(b_of) - b_of)[group[a_last]]
+        b_place = np.arange(len(b)) + np.cumsum(a_of)[group[b_last]]
+        table = written_ids(max(int(a.max(initial=0)), int(b.max(initial=0))) + 1 >> 16)
+        items = np.empty(len(a) + len(b), object)
+        items[a_place], items[b_place] = table[a, a_behind], table[b, b_behind]
+        lines = iter("".join(items).split("\n"))
+        return [next(lines) if n else "" for n in np.diff(self.bounds).tolist()]
+
+    @staticmethod
+    def _last(new: np.ndarray) -> np.ndarray:
+        """The last link of each token."""
+        return np.flatnonzero(np.append(new[1:], True)) if len(new) else np.empty(0, np.int64)
 
 
 def align(units: list[str], first: ByteLevel, second: Pieces) -> Aligned:
@@ -224,18 +245,27 @@ class Units:
 
     def numbers(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The units' numbers, text after text, and where each text begins among them."""
-        units = [units_of(t, not self.second.space_begins) if t else [] for t in texts]
-        new = list({u: None for one in units for u in one if u not in self.index})
+        of_text = [units_of(t, not self.second.space_begins) if t else [] for t in texts]
+        bounds = np.cumsum([0, *map(len, of_text)])
+        units = list(chain.from_iterable(of_text))
+        numbers, unknown = self._known(units)
+        new = list(dict.fromkeys(unknown))
         if len(self.index) + len(new) > UNITS_KEPT or self.links > LINKS_KEPT:
             self.forget()
-            new = list({u: None for one in units for u in one})
+            numbers, unknown = self._known(units)
+            new = list(dict.fromkeys(unknown))
         if new:
             found = align(new, self.first, self.second)
             self.index.update(zip(found.units, range(len(self.index), len(self.index) + len(new)), strict=True))
             self.links += len(found.a)
             self.learned(found)
-        index = self.index
-        return np.array([index[u] for one in units for u in one], np.int64), np.cumsum([0, *map(len, units)])
+            numbers[numbers < 0] = [self.index[u] for u in unknown]
+        return numbers, bounds
+
+    def _known(self, units: list[str]) -> tuple[np.ndarray, list[str]]:
+        """Numbers, -1 for unknown units, and those."""
+        numbers = np.fromiter(map(self.index.get, units, repeat(-1)), np.int64, len(units))
+        return numbers, [units[k] for k in np.flatnonzero(numbers < 0).tolist()]
 
     def forget(self) -> None:
         self.forgotten()
