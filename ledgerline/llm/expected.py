@@ -59,4 +59,21 @@ SELECT page_id, host, path, rule,
 FROM r
 """
 
-EXPECTED: dict[str, str] = {"op6_exact_top_k": TOP_K, "op10_url_filter": URLS}
+#: Four characters of base32 for five hexadecimal digits; among equal pages with equal ids one alone is the response.
+RECORDS = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST) AS place,
+         max(page_id) OVER (PARTITION BY html) AS top
+  FROM p
+)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda k:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + ((CAST('0x' || substr(hex, 1 + 5 * (k // 4), 5) AS BIGINT) >> (15 - 5 * (k % 4))) & 31)::INT, 1)), '') AS payload_digest,
+       CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN place > 1 THEN top END AS refers_to
+FROM r
+"""
+
+EXPECTED: dict[str, str] = {"op6_exact_top_k": TOP_K, "op10_url_filter": URLS, "op12_warc_index": RECORDS}

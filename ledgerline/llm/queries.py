@@ -21,6 +21,7 @@ from ledgerline.llm.token_alignment import align_tokenizers
 from ledgerline.llm.topk import top_k
 from ledgerline.llm.url_filter import filter_urls, pages_of_listed_hosts
 from ledgerline.llm.vocabulary import vocabulary_path
+from ledgerline.llm.warc import archived
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +78,10 @@ def op11_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokenizers(_table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model"))
 
 
+def op12_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collapse_runs(_table(spark, sf_dir, "documents"), repeated_from)
 
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality_rules,
         op10_url_filter,
         op11_align_tokenizers,
+        op12_warc_index,
         op13_periodic_runs,
     )
 }
