@@ -8,6 +8,7 @@ Groups of one token on either side go by the identity map, from an id of the fir
 bytes in the second, and are counted in a vector as long as the first vocabulary. Only links of other groups are counted as
 pairs, summed in each task before the shuffle. Documents then read the totals: those of the identity map and of the
 most frequent other pairs, MOST_KNOWN at most, are known to all tasks; the links of rarer pairs are joined with the totals.
+Texts are encoded once: the codes of each document's links are written to the shared folder and read for the totals.
 """
 
 from __future__ import annotations
@@ -297,70 +298,98 @@ def _appended(old: np.ndarray, new: np.ndarray) -> np.ndarray:
     return np.concatenate([old, new])
 
 
-def count_pairs(texts: DataFrame, first: str, second: str) -> DataFrame:
-    """(code, total, same): how many links of all texts hold each pair of ids, `same` for pairs met as groups of the identity map.
+def encode_documents(rows: DataFrame, first: str, second: str) -> DataFrame:
+    """What encoding rows (doc_id, text) finds, in rows of two kinds.
 
-    A pair's code is its first id times the size of the second vocabulary, plus its second id.
+    With row_id: a document's figures and the codes of its links. A pair's code is its first id times the size of the second vocabulary, plus
+    its second id. Without: (code, total, same), how many links of a task's documents hold a pair, `same` for groups of the identity map.
     """
+    ours, theirs = vocabularies(first, second)
+    small = len(ours.sizes) * len(theirs.sizes) < 1 << 31
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ours, theirs = vocabularies(first, second)
         same = identity_map(ours, theirs)
+        width, kind = len(theirs.sizes), np.int32 if small else np.int64
+        next_row = TaskContext.get().partitionId() << 40
         exact_counts = np.zeros(len(same), np.int64)
-        sums = [np.empty(0, np.int64), np.empty(0, np.int64)]
-        parts: list[Aligned] = []
-        whole, times = np.empty(0, bool), np.empty(0, np.int64)
+        pairs = [np.empty(0, np.int64), np.empty(0, np.int64)]
+        figures, codes, bounds, exact, times, written = [], None, None, None, None, []
+
+        def emptied() -> None:
+            nonlocal figures, codes, bounds, exact, times
+            figures = [np.empty(0, np.int64) for _ in FIGURES]
+            codes, exact, bounds, times = np.empty(0, kind), np.empty(0, bool), np.zeros(1, np.int64), np.empty(0, np.int64)
+            written.clear()
 
         def learned(found: Aligned) -> None:
-            nonlocal whole, times
-            parts.append(found)
-            whole = _appended(whole, np.diff(found.bounds) > 0)
+            nonlocal figures, codes, bounds, exact, times
+            new = (found.sums(x) for x in (found.new_a, found.new_b, found.ends, np.ones(len(found.a), bool)))
+            figures = [_appended(x, y) for x, y in zip(figures, new, strict=True)]
+            codes = _appended(codes, (found.a * width + found.b).astype(kind))
+            exact = _appended(exact, found.exact(same))
+            bounds = _appended(bounds, bounds[-1] + found.bounds[1:])
             times = _appended(times, np.zeros(len(found.units), np.int64))
+            written.extend(found.written())
 
         def forgotten() -> None:
             """Links of the units that are given up go into the vector or to the pairs."""
-            nonlocal whole, times
-            at = 0
-            for found in parts:
-                weights = np.repeat(times[at : at + len(found.units)], np.diff(found.bounds))
-                at += len(found.units)
-                exact = found.exact(same) & (weights > 0)
-                np.add.at(exact_counts, found.a[exact], weights[exact])
-                other = ~exact & (weights > 0)
-                sums[0] = _appended(sums[0], found.a[other] * len(theirs.sizes) + found.b[other])
-                sums[1] = _appended(sums[1], weights[other])
-                if len(sums[0]) > PAIRS_KEPT:
-                    combine()
-            parts.clear()
-            whole, times = np.empty(0, bool), np.empty(0, np.int64)
-
-        def combine() -> None:
-            codes, of = np.unique(sums[0], return_inverse=True)
-            total = np.zeros(len(codes), np.int64)
-            np.add.at(total, of, sums[1])
-            sums[:] = codes, total
-
-        def out(codes: np.ndarray, totals: np.ndarray, flag: bool) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(totals), pa.array(np.full(len(codes), flag))], ["code", "total", "same"])
-
-        units = Units(ours, theirs, learned, forgotten)
+            weights = np.repeat(times, np.diff(bounds))
+            np.add.at(exact_counts, codes[exact] // width, weights[exact])
+            other = ~exact & (weights > 0)
+            met, of = np.unique(_appended(pairs[0], codes[other].astype(np.int64)), return_inverse=True)
+            total = np.zeros(len(met), np.int64)
+            np.add.at(total, of, _appended(pairs[1], weights[other]))
+            pairs[:] = met, total
+            emptied()
+
+        def row(n: int, **columns) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in schema], schema=schema)
+
+        def counted(met: np.ndarray, totals: np.ndarray, flag: bool) -> pa.RecordBatch:
+            return row(len(met), code=pa.array(met), total=pa.array(totals), same=pa.array(np.full(len(met), flag)))
+
+        emptied()
+        units, schema = Units(ours, theirs, learned, forgotten), None
         for batch in batches:
-            for _, portion in _portions(batch.column(0)):
-                numbers, bounds = units.numbers(portion)
-                bad = _of_texts(~whole[numbers], bounds) > 0
-                numbers = numbers[np.repeat(~bad, np.diff(bounds))]
-                times += np.bincount(numbers, minlength=len(times))
-                if len(sums[0]) > PAIRS_KEPT:
-                    yield out(*sums, False)
-                    sums[:] = np.empty(0, np.int64), np.empty(0, np.int64)
-        units.forget()
-        combine()
-        yield out(*sums, False)
-        met = np.flatnonzero(exact_counts)
-        yield out(met * len(theirs.sizes) + same[met], exact_counts[met], True)
-
-    found = texts.mapInArrow(run, "code long, total long, same boolean")
-    return found.groupBy("code").agg(F.sum("total").alias("total"), F.max("same").alias("same"))
+            schema = schema or _encoded(batch.schema.field(0).type, small)
+            for at, portion in _portions(batch.column(1)):
+                numbers, starts = units.numbers(portion)
+                bad = _of_texts(figures[-1][numbers] == 0, starts) > 0
+                good = np.repeat(~bad, np.diff(starts))
+                times += np.bincount(numbers[good], minlength=len(times))
+                n, sizes = len(portion), np.where(good, figures[-1][numbers], 0)
+                ends = np.cumsum(sizes)
+                total = int(ends[-1]) if len(ends) else 0
+                links = codes[np.arange(total) + np.repeat(bounds[numbers] - (ends - sizes), sizes)]
+                hashes = ["" if x or low == high else hashlib.sha256(";".join([written[u] for u in numbers[low:high].tolist()]).encode()).hexdigest() for x, low, high in zip(bad, starts, starts[1:], strict=False)]
+                columns = {name: pa.array(_of_texts(np.where(good, f[numbers], 0), starts)) for name, f in zip(FIGURES, figures, strict=True)}
+                link_bounds = np.concatenate([[0], np.cumsum(_of_texts(sizes, starts))])
+                yield row(n, row_id=pa.array(np.arange(next_row, next_row + n)), doc_id=batch.column(0).slice(at, n), groups_sha256=pa.array(hashes, pa.string()), links=_lists(link_bounds, links), **columns)
+                next_row += n
+                if len(pairs[0]) > PAIRS_KEPT:
+                    yield counted(*pairs, False)
+                    pairs[:] = np.empty(0, np.int64), np.empty(0, np.int64)
+        if schema:
+            units.forget()
+            yield counted(*pairs, False)
+            met = np.flatnonzero(exact_counts)
+            yield counted(met * width + same[met], exact_counts[met], True)
+
+    figures = ", ".join(f"{name} long" for name in FIGURES)
+    return rows.mapInArrow(run, f"row_id long, doc_id {dict(rows.dtypes)['doc_id']}, {figures}, groups_sha256 string, links array<{'int' if small else 'long'}>, code long, total long, same boolean")
+
+
+FIGURES = ["n_a", "n_b", "n_groups", "n_links"]
+
+
+def _encoded(doc_id: pa.DataType, small: bool) -> pa.Schema:
+    kinds = {"row_id": pa.int64(), "doc_id": doc_id, **dict.fromkeys(FIGURES, pa.int64()), "groups_sha256": pa.string(), "links": pa.list_(pa.int32() if small else pa.int64()), "code": pa.int64(), "total": pa.int64(), "same": pa.bool_()}
+    return pa.schema(kinds.items())
+
+
+def _lists(bounds: np.ndarray, values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values))
 
 
 def align_tokenizers(documents: DataFrame, first: str, second: str, doc_id: str = "doc_id", text: str = "text", most_known: int = MOST_KNOWN) -> DataFrame:
@@ -374,7 +403,9 @@ def align_tokenizers(documents: DataFrame, first: str, second: str, doc_id: str
     spark = documents.sparkSession
     rows = documents.select(documents[doc_id].alias("doc_id"), documents[text].alias("text"))
     width = len(vocabularies(first, second)[1].sizes)
-    counts = keep(count_pairs(rows.select("text"), first, second))
+    encoded = keep(encode_documents(rows, first, second))
+    counts = encoded.where("row_id is null").groupBy("code").agg(F.sum("total").alias("total"), F.max("same").alias("same"))
+    counts = keep(counts)
     # One row for each id of the second vocabulary.
     highest = counts.groupBy((F.col("code") % width).alias("b")).agg(F.max("total").alias("highest"))
     ranked = counts.withColumn("b", F.col("code") % width).join(F.broadcast(highest), "b")
@@ -388,68 +419,37 @@ def align_tokenizers(documents: DataFrame, first: str, second: str, doc_id: str
     frequent = F.col("same") | (F.col("bin") >= least if least is not None else F.lit(False))
     table = totals.where(frequent).select("code", "total", "best").orderBy("code").toArrow()
     known = spark.sparkContext.broadcast(tuple(table.column(c).to_numpy() for c in ("code", "total", "best")))
-    told = keep(_read_totals(rows, first, second, known))
+    told = keep(_read_totals(encoded.where("row_id is not null"), known))
     # A pair that is not known has a small share of all links, so no join key is hot.
     rare = told.select("row_id", F.explode("rare").alias("code")).join(totals.where(~frequent), "code")
     rare = rare.groupBy("row_id").agg(F.sum("total").alias("more_sum"), F.sum(F.col("best").cast("long")).alias("more_best"))
     added = lambda c, more: (F.col(c) + F.coalesce(more, F.lit(0))).alias(c)
-    return told.join(rare, "row_id", "left").select("doc_id", "n_a", "n_b", "n_groups", "n_links", added("n_best", F.col("more_best")), added("count_sum", F.col("more_sum")), "groups_sha256")
+    return told.join(rare, "row_id", "left").select("doc_id", *FIGURES, added("n_best", F.col("more_best")), added("count_sum", F.col("more_sum")), "groups_sha256")
 
 
 def _bin(total: str):
     return F.floor(F.log2(total) * BINS).cast("int")
 
 
-def _read_totals(rows: DataFrame, first: str, second: str, known) -> DataFrame:
+def _read_totals(encoded: DataFrame, known) -> DataFrame:
     """Each document's figures by the known totals, and the codes of its other links."""
-    names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    kept = ["row_id", "doc_id", *FIGURES, "groups_sha256"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ours, theirs = vocabularies(first, second)
         codes, totals, best = known.value
-        next_row = TaskContext.get().partitionId() << 40
-        figures: list[np.ndarray] = []
-        written: list[str] = []
-        rare, rare_bounds = np.empty(0, np.int64), np.zeros(1, np.int64)
-
-        def learned(found: Aligned) -> None:
-            nonlocal figures, rare, rare_bounds
-            code = found.a * len(theirs.sizes) + found.b
-            at = np.minimum(np.searchsorted(codes, code), max(0, len(codes) - 1))
-            hit = codes[at] == code if len(codes) else np.zeros(len(code), bool)
-            count = np.where(hit, totals[at], 0) if len(codes) else np.zeros(len(code), np.int64)
-            highest = hit & best[at] if len(codes) else hit
-            new = [found.sums(x) for x in (found.new_a, found.new_b, found.ends, np.ones(len(code), bool), highest, count)]
-            figures = [_appended(x, y) for x, y in zip(figures, new, strict=True)] if figures else new
-            rare = _appended(rare, code[~hit])
-            rare_bounds = _appended(rare_bounds, rare_bounds[-1] + np.cumsum(found.sums(~hit)))
-            written.extend(found.written())
-
-        def forgotten() -> None:
-            nonlocal figures, rare, rare_bounds
-            figures, rare, rare_bounds = [], np.empty(0, np.int64), np.zeros(1, np.int64)
-            written.clear()
-
-        units = Units(ours, theirs, learned, forgotten)
         for batch in batches:
-            for at, portion in _portions(batch.column(1)):
-                numbers, bounds = units.numbers(portion)
-                if not figures:
-                    figures = [np.empty(0, np.int64)] * len(names)
-                bad = _of_texts(figures[3][numbers] == 0, bounds) > 0
-                good = np.repeat(~bad, np.diff(bounds))
-                columns = [_of_texts(np.where(good, f[numbers], 0), bounds) for f in figures]
-                hashes = ["" if x or low == high else hashlib.sha256(";".join([written[u] for u in numbers[low:high].tolist()]).encode()).hexdigest() for x, low, high in zip(bad, bounds, bounds[1:], strict=False)]
-                size = np.where(good, np.diff(rare_bounds)[numbers], 0)
-                ends = np.cumsum(size)
-                total = int(ends[-1]) if len(ends) else 0
-                others = rare[np.arange(total) + np.repeat(rare_bounds[numbers] - (ends - size), size)]
-                offsets = np.concatenate([[0], np.cumsum(_of_texts(size, bounds))])
-                n = len(portion)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(next_row, next_row + n)), batch.column(0).slice(at, n), *map(pa.array, columns), pa.array(hashes, pa.string()), pa.LargeListArray.from_arrays(offsets, others).cast(pa.list_(pa.int64()))],
-                    ["row_id", "doc_id", *names, "groups_sha256", "rare"],
-                )
-                next_row += n
-
-    return rows.mapInArrow(run, f"row_id long, doc_id {dict(rows.dtypes)['doc_id']}, {', '.join(f'{n} long' for n in names)}, groups_sha256 string, rare array<long>")
+            links = batch.column("links")
+            code, bounds = links.flatten().to_numpy(), links.offsets.to_numpy().astype(np.int64)
+            bounds = bounds - bounds[0]
+            hit, count, highest = np.zeros(len(code), bool), np.zeros(len(code), np.int64), np.zeros(len(code), bool)
+            if len(codes):
+                at = np.minimum(np.searchsorted(codes.astype(code.dtype), code), len(codes) - 1)
+                hit = codes[at] == code
+                count, highest = np.where(hit, totals[at], 0), hit & best[at]
+            others = np.concatenate([[0], np.cumsum(~hit)])[bounds]
+            found = [*map(pa.array, (_of_texts(highest, bounds), _of_texts(count, bounds))), _lists(others, code[~hit].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), *found], [*kept, "n_best", "count_sum", "rare"])
+
+    chosen = encoded.select(*kept, "links")
+    kinds = dict(chosen.dtypes)
+    return chosen.mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in kept) + ", n_best long, count_sum long, rare array<long>")
