@@ -30,7 +30,7 @@ from ledgerline.llm.workspace import keep
 #: Pairs whose totals all tasks know; 17 bytes each.
 MOST_KNOWN = 1 << 16
 #: Units and links that a task keeps, and pairs that it sums up before it hands them on.
-UNITS_KEPT, LINKS_KEPT, PAIRS_KEPT = 600_000, 4_000_000, 1 << 20
+UNITS_KEPT, LINKS_KEPT, PAIRS_KEPT = 400_000, 4_000_000, 1 << 20
 #: Bytes of units that are encoded at once, and characters of texts that are cut into units at once.
 ENCODED_BYTES, TEXT_CHARACTERS = 1 << 17, 1 << 20
 #: Bins of pairs per doubling of their totals.
@@ -304,13 +304,12 @@ def encode_documents(rows: DataFrame, first: str, second: str) -> DataFrame:
     With row_id: a document's figures and the codes of its links. A pair's code is its first id times the size of the second vocabulary, plus
     its second id. Without: (code, total, same), how many links of a task's documents hold a pair, `same` for groups of the identity map.
     """
-    ours, theirs = vocabularies(first, second)
-    small = len(ours.sizes) * len(theirs.sizes) < 1 << 31
+    kind = code_type(first, second)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ours, theirs = vocabularies(first, second)
         same = identity_map(ours, theirs)
-        width, kind = len(theirs.sizes), np.int32 if small else np.int64
+        width = len(theirs.sizes)
         next_row = TaskContext.get().partitionId() << 40
         exact_counts = np.zeros(len(same), np.int64)
         pairs = [np.empty(0, np.int64), np.empty(0, np.int64)]
@@ -352,7 +351,7 @@ def encode_documents(rows: DataFrame, first: str, second: str) -> DataFrame:
         emptied()
         units, schema = Units(ours, theirs, learned, forgotten), None
         for batch in batches:
-            schema = schema or _encoded(batch.schema.field(0).type, small)
+            schema = schema or _encoded(batch.schema.field(0).type)
             for at, portion in _portions(batch.column(1)):
                 numbers, starts = units.numbers(portion)
                 bad = _of_texts(figures[-1][numbers] == 0, starts) > 0
@@ -365,7 +364,7 @@ def encode_documents(rows: DataFrame, first: str, second: str) -> DataFrame:
                 hashes = ["" if x or low == high else hashlib.sha256(";".join([written[u] for u in numbers[low:high].tolist()]).encode()).hexdigest() for x, low, high in zip(bad, starts, starts[1:], strict=False)]
                 columns = {name: pa.array(_of_texts(np.where(good, f[numbers], 0), starts)) for name, f in zip(FIGURES, figures, strict=True)}
                 link_bounds = np.concatenate([[0], np.cumsum(_of_texts(sizes, starts))])
-                yield row(n, row_id=pa.array(np.arange(next_row, next_row + n)), doc_id=batch.column(0).slice(at, n), groups_sha256=pa.array(hashes, pa.string()), links=_lists(link_bounds, links), **columns)
+                yield row(n, row_id=pa.array(np.arange(next_row, next_row + n)), doc_id=batch.column(0).slice(at, n), groups_sha256=pa.array(hashes, pa.string()), links=_packed(link_bounds, links), **columns)
                 next_row += n
                 if len(pairs[0]) > PAIRS_KEPT:
                     yield counted(*pairs, False)
@@ -377,17 +376,38 @@ def encode_documents(rows: DataFrame, first: str, second: str) -> DataFrame:
             yield counted(met * width + same[met], exact_counts[met], True)
 
     figures = ", ".join(f"{name} long" for name in FIGURES)
-    return rows.mapInArrow(run, f"row_id long, doc_id {dict(rows.dtypes)['doc_id']}, {figures}, groups_sha256 string, links array<{'int' if small else 'long'}>, code long, total long, same boolean")
+    return rows.mapInArrow(run, f"row_id long, doc_id {dict(rows.dtypes)['doc_id']}, {figures}, groups_sha256 string, links binary, code long, total long, same boolean")
 
 
 FIGURES = ["n_a", "n_b", "n_groups", "n_links"]
 
 
-def _encoded(doc_id: pa.DataType, small: bool) -> pa.Schema:
-    kinds = {"row_id": pa.int64(), "doc_id": doc_id, **dict.fromkeys(FIGURES, pa.int64()), "groups_sha256": pa.string(), "links": pa.list_(pa.int32() if small else pa.int64()), "code": pa.int64(), "total": pa.int64(), "same": pa.bool_()}
+def _encoded(doc_id: pa.DataType) -> pa.Schema:
+    kinds = {"row_id": pa.int64(), "doc_id": doc_id, **dict.fromkeys(FIGURES, pa.int64()), "groups_sha256": pa.string(), "links": pa.binary(), "code": pa.int64(), "total": pa.int64(), "same": pa.bool_()}
     return pa.schema(kinds.items())
 
 
+def code_type(first: str, second: str) -> type:
+    """The type of a pair's code."""
+    ours, theirs = vocabularies(first, second)
+    return np.int32 if len(ours.sizes) * len(theirs.sizes) < 1 << 31 else np.int64
+
+
+def _packed(bounds: np.ndarray, values: np.ndarray) -> pa.Array:
+    """Each row's values as their bytes, which Spark passes on without a look at every one."""
+    offsets = (bounds * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _unpacked(rows: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """All values of the rows, and where each row begins among them."""
+    width = np.dtype(kind).itemsize
+    offsets = np.frombuffer(rows.buffers()[1], np.int32 if pa.types.is_binary(rows.type) else np.int64)[rows.offset : rows.offset + len(rows) + 1].astype(np.int64)
+    data = rows.buffers()[2]
+    values = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(kind) if data else np.empty(0, kind)
+    return values, (offsets - offsets[0]) // width
+
+
 def _lists(bounds: np.ndarray, values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values))
 
@@ -419,7 +439,7 @@ def align_tokenizers(documents: DataFrame, first: str, second: str, doc_id: str
     frequent = F.col("same") | (F.col("bin") >= least if least is not None else F.lit(False))
     table = totals.where(frequent).select("code", "total", "best").orderBy("code").toArrow()
     known = spark.sparkContext.broadcast(tuple(table.column(c).to_numpy() for c in ("code", "total", "best")))
-    told = keep(_read_totals(encoded.where("row_id is not null"), known))
+    told = keep(_read_totals(encoded.where("row_id is not null"), known, code_type(first, second)))
     # A pair that is not known has a small share of all links, so no join key is hot.
     rare = told.select("row_id", F.explode("rare").alias("code")).join(totals.where(~frequent), "code")
     rare = rare.groupBy("row_id").agg(F.sum("total").alias("more_sum"), F.sum(F.col("best").cast("long")).alias("more_best"))
@@ -431,19 +451,18 @@ def _bin(total: str):
     return F.floor(F.log2(total) * BINS).cast("int")
 
 
-def _read_totals(encoded: DataFrame, known) -> DataFrame:
+def _read_totals(encoded: DataFrame, known, kind: type) -> DataFrame:
     """Each document's figures by the known totals, and the codes of its other links."""
     kept = ["row_id", "doc_id", *FIGURES, "groups_sha256"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, totals, best = known.value
+        codes = codes.astype(kind)
         for batch in batches:
-            links = batch.column("links")
-            code, bounds = links.flatten().to_numpy(), links.offsets.to_numpy().astype(np.int64)
-            bounds = bounds - bounds[0]
+            code, bounds = _unpacked(batch.column("links"), kind)
             hit, count, highest = np.zeros(len(code), bool), np.zeros(len(code), np.int64), np.zeros(len(code), bool)
             if len(codes):
-                at = np.minimum(np.searchsorted(codes.astype(code.dtype), code), len(codes) - 1)
+                at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
                 hit = codes[at] == code
                 count, highest = np.where(hit, totals[at], 0), hit & best[at]
             others = np.concatenate([[0], np.cumsum(~hit)])[bounds]
