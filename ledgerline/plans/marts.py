@@ -86,6 +86,11 @@ def customer_revenue(classified_invoices: DataFrame) -> DataFrame:
         .groupBy("customer_id", "plan_name")
         .agg(F.sum("amount_eur").alias("amount"), F.count(F.lit(1)).alias("invoices"))
     )
+    return revenue_of_plans(per_plan)
+
+
+def revenue_of_plans(per_plan: DataFrame) -> DataFrame:
+    """Revenue per customer from one row per customer and plan."""
     return per_plan.groupBy("customer_id").agg(
         F.sum("amount").cast(MART_MONEY).alias("ltv_eur"),
         F.sum("invoices").alias("paid_invoice_count"),
@@ -109,7 +114,11 @@ def customer_ltv(
 
     All three sides have one row per customer and share a partitioning; no join shuffles again.
     """
-    revenue = customer_revenue(classified_invoices)
+    return ltv_of(customers, subscriptions, customer_revenue(classified_invoices))
+
+
+def ltv_of(customers: DataFrame, subscriptions: DataFrame, revenue: DataFrame) -> DataFrame:
+    """``revenue`` has one row per customer."""
     status = customer_status(subscriptions)
     return (
         customers.select("customer_id", "customer_name", "country")

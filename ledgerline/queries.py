@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +13,10 @@ from pyspark.sql import functions as F
 from ledgerline.config import BillingConfig
 from ledgerline.functions.money import to_reporting_currency
 from ledgerline.functions.text import clean_country, clean_currency, clean_label, clean_text
-from ledgerline.operators.lineage import cut_lineage
+from ledgerline.operators.lineage import cut_lineage, shared_folder
 from ledgerline.plans import checks, classify, marts, profiles, quarantine
 from ledgerline.plans.billing import ENTITIES, Billing
+from ledgerline.plans.incremental import IncrementalBilling
 from ledgerline.sources.projection import projected_billing
 from ledgerline.sources.reconcile import reconcile_counts, row_counts
 
@@ -124,6 +126,17 @@ def _flagged(frame: str, key: str, shown: str, flag: str) -> Query:
     return lambda b: b.table("staging", frame).select(key, shown, flag)
 
 
+def _after_changes(b: Billing, deliveries: tuple[int, ...] = (2, 1)) -> IncrementalBilling:
+    """Base tables, then two deliveries of changes, the second one first."""
+    spark = b.table("raw", "invoices").sparkSession
+    store = IncrementalBilling(spark, f"{shared_folder(spark)}/incremental/{uuid4().hex}", b.config)
+    store.load(_tables(b, "raw"))
+    changes = b.table("raw", "invoice_changes")
+    for delivery in deliveries:
+        store.apply(changes.where(F.col("delivery") == delivery))
+    return store
+
+
 QUERIES: dict[str, Query] = {
     # sources
     "load_raw_customers": lambda b: b.table("raw", "customers"),
@@ -185,6 +198,10 @@ QUERIES: dict[str, Query] = {
         "customer_id", "plan_mix"
     ),
     "customer_status_mix": lambda b: marts.customer_status(b.table("staging", "subscriptions")),
+    # kept up to date by changes
+    "incremental_invoices": lambda b: _after_changes(b, (2, 1, 2)).invoices(),
+    "incremental_mrr_monthly": lambda b: _after_changes(b).read("mrr_monthly"),
+    "incremental_customer_ltv": lambda b: _after_changes(b).read("customer_ltv"),
     # checks
     "check_not_null": lambda b: checks.contract_results(_kept(b), "not_null"),
     "check_accepted_values": lambda b: checks.contract_results(_kept(b), "accepted_values"),

@@ -96,6 +96,41 @@ def project_invoices(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def project_invoice_changes(lineitem: DataFrame) -> DataFrame:
+    """Two deliveries of changes to the projected invoices, the column ``delivery`` tells which.
+
+    Some invoices get another amount and a later date, some a status, some are deleted, some deleted ones come back, and some are new.
+    The second delivery holds some changes with lower numbers than the first.
+    """
+    changes = lineitem.selectExpr(
+        "l_orderkey + l_linenumber AS j",
+        "concat('I', lpad(cast(l_orderkey AS string), 8, '0'), '-', l_linenumber) AS invoice_id",
+        "concat('S', lpad(cast(l_orderkey AS string), 8, '0')) AS subscription_id",
+        "cast(l_shipdate AS date) AS invoice_date",
+        "cast(l_extendedprice AS decimal(12, 2)) AS amount",
+    ).selectExpr(
+        "*",
+        """explode(array_compact(array(
+             IF(j % 40 = 7, named_struct('delivery', 1, 'kind', 'moved', 'change_seq', 2L), NULL),
+             IF(j % 61 = 13, named_struct('delivery', 1, 'kind', 'deleted', 'change_seq', 3L), NULL),
+             IF(j % 97 = 11, named_struct('delivery', 1, 'kind', 'new', 'change_seq', 1L), NULL),
+             IF(j % 80 = 7, named_struct('delivery', 2, 'kind', 'failed', 'change_seq', 4L), NULL),
+             IF(j % 60 = 27, named_struct('delivery', 2, 'kind', 'late', 'change_seq', 1L), NULL),
+             IF(j % 183 = 13, named_struct('delivery', 2, 'kind', 'back', 'change_seq', 5L), NULL)))) AS change""",
+    )
+    return changes.selectExpr(
+        "IF(change.kind = 'new', concat('N', invoice_id), invoice_id) AS invoice_id",
+        "subscription_id",
+        "IF(change.kind = 'moved', date_add(invoice_date, 40), invoice_date) AS invoice_date",
+        "cast(IF(change.kind = 'moved', amount + 10, amount) AS decimal(12, 2)) AS amount",
+        "'EUR' AS currency",
+        "IF(change.kind = 'failed', 'failed', 'paid') AS status",
+        "change.change_seq AS change_seq",
+        "change.kind = 'deleted' AS is_deleted",
+        "change.delivery AS delivery",
+    )
+
+
 def projected_billing(spark: SparkSession, directory: str) -> Loader:
     """Raw billing tables over the benchmark tables in ``directory``."""
     projections = {
@@ -105,6 +140,8 @@ def projected_billing(spark: SparkSession, directory: str) -> Loader:
     }
 
     def load(name: str) -> DataFrame:
+        if name == "invoice_changes":
+            return project_invoice_changes(spark.read.parquet(f"{directory}/lineitem.parquet"))
         table, project = projections[name]
         return conform(project(spark.read.parquet(f"{directory}/{table}.parquet")), RAW[name])
 

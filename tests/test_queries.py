@@ -3,7 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from ledgerline.queries import QUERIES, run
 from verification.compare import difference, oracle_connection
+from verification.oracle import expected_sql
 
 DIRECTORY = "/root/testdata/sf0.001"
 
@@ -14,7 +16,9 @@ def oracle():
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(expected_sql())
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_flagship(spark):
@@ -23,7 +27,6 @@ def test_flagship(spark):
     assert rows.count() == 247
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, oracle, name):
-    result = entry_points.queries()[name](spark, DIRECTORY)
-    assert difference(result, oracle, entry_points.oracle_sql()[name]) is None
+    assert difference(run(name, spark, DIRECTORY), oracle, expected_sql()[name]) is None

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline.queries import QUERIES, run
 from verification.oracle import expected_sql
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 def oracle_connection(directory: str) -> duckdb.DuckDBPyConnection:

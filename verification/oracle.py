@@ -598,5 +598,42 @@ BODIES: dict[str, str] = {
 }
 
 
+# The last change of each invoice, base rows being change 0; all else as over the raw invoices.
+CHANGED = """
+changes as (
+  select case when kind = 'new' then 'N' else '' end
+           || 'I' || lpad(cast(l_orderkey as varchar), 8, '0') || '-' || cast(l_linenumber as varchar) as invoice_id,
+         'S' || lpad(cast(l_orderkey as varchar), 8, '0') as subscription_id,
+         case when kind = 'moved' then cast(l_shipdate as date) + 40 else cast(l_shipdate as date) end as invoice_date,
+         cast(case when kind = 'moved' then l_extendedprice + 10 else l_extendedprice end as decimal(12, 2)) as amount,
+         'EUR' as currency, case when kind = 'failed' then 'failed' else 'paid' end as status,
+         seq, kind = 'deleted' as is_deleted
+  from lineitem join (values ('moved', 40, 7, 2), ('deleted', 61, 13, 3), ('new', 97, 11, 1), ('failed', 80, 7, 4),
+                             ('late', 60, 27, 1), ('back', 183, 13, 5)) as k(kind, every, rest, seq)
+    on (l_orderkey + l_linenumber) % every = rest
+),
+last_changes as (
+  select *, row_number() over (partition by invoice_id order by seq desc, is_deleted desc, subscription_id desc nulls last,
+      invoice_date desc nulls last, amount desc nulls last, currency desc nulls last, status desc nulls last) as place
+  from (select *, 0 as seq, false as is_deleted from base_invoices union all select * from changes)
+),
+raw_invoices as (
+  select invoice_id, subscription_id, invoice_date, amount, currency, status
+  from last_changes where place = 1 and not is_deleted
+)"""
+
+CHANGED_BODIES: dict[str, str] = {
+    "incremental_invoices": "select * from raw_invoices",
+    "incremental_mrr_monthly": "select * from mrr_monthly",
+    "incremental_customer_ltv": "select * from customer_ltv",
+}
+
+
+def _after_changes(body: str) -> str:
+    base = RAW.strip().replace("raw_invoices as (", "base_invoices as (")
+    return f"with {base},\n{CHANGED.strip()},\n{VERDICTS.strip()},\n{MARTS.strip()}\n{body}"
+
+
 def expected_sql() -> dict[str, str]:
-    return {name: statement(body) for name, body in BODIES.items()}
+    changed = {name: _after_changes(body) for name, body in CHANGED_BODIES.items()}
+    return {name: statement(body) for name, body in BODIES.items()} | changed
