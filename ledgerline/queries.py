@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.config import BillingConfig
+from ledgerline.functions.dates import month_of
 from ledgerline.functions.money import to_reporting_currency
 from ledgerline.functions.text import clean_country, clean_currency, clean_label, clean_text
 from ledgerline.operators.lineage import cut_lineage, shared_folder
-from ledgerline.plans import checks, classify, marts, profiles, quarantine
+from ledgerline.plans import book, checks, classify, dated_rates, marts, profiles, quarantine
 from ledgerline.plans.billing import ENTITIES, Billing
 from ledgerline.plans.incremental import IncrementalBilling
 from ledgerline.sources.projection import projected_billing
@@ -137,6 +138,10 @@ def _after_changes(b: Billing, deliveries: tuple[int, ...] = (2, 1)) -> Incremen
     return store
 
 
+def _priced(b: Billing) -> DataFrame:
+    return dated_rates.priced_by_day(b.table("raw", "invoices"), b.table("raw", "exchange_rates"), CONFIG, max_age_days=30)
+
+
 QUERIES: dict[str, Query] = {
     # sources
     "load_raw_customers": lambda b: b.table("raw", "customers"),
@@ -202,6 +207,15 @@ QUERIES: dict[str, Query] = {
     "incremental_invoices": lambda b: _after_changes(b, (2, 1, 2)).invoices(),
     "incremental_mrr_monthly": lambda b: _after_changes(b).read("mrr_monthly"),
     "incremental_customer_ltv": lambda b: _after_changes(b).read("customer_ltv"),
+    # history and dated rates
+    "subscription_history": lambda b: book.subscription_history(b.table("raw", "subscription_snapshots")),
+    "book_mrr_monthly": lambda b: book.book_mrr_monthly(
+        book.subscription_history(b.table("raw", "subscription_snapshots")), month_of(F.lit(CONFIG.as_of))
+    ),
+    "invoices_at_dated_rates": lambda b: _priced(b).select(
+        "invoice_id", "invoice_date", "amount", "currency_code", "rate_date", "rate", "amount_eur"
+    ),
+    "missing_rates": lambda b: dated_rates.missing_rates(_priced(b)),
     # checks
     "check_not_null": lambda b: checks.contract_results(_kept(b), "not_null"),
     "check_accepted_values": lambda b: checks.contract_results(_kept(b), "accepted_values"),

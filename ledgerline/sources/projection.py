@@ -131,6 +131,51 @@ def project_invoice_changes(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def project_snapshots(orders: DataFrame) -> DataFrame:
+    """Eight snapshots of the projected subscriptions, 25 days apart.
+
+    Subscriptions come in the first three, some are missing from one or from the last ones, change plan, price or
+    status, or are only spelled otherwise; some come twice a day with different prices.
+    """
+    return (
+        orders.selectExpr(
+            "o_orderkey AS k",
+            "concat('C', lpad(cast(o_custkey AS string), 7, '0')) AS customer_id",
+            "CASE left(o_orderpriority, 1) WHEN '1' THEN 'scale' WHEN '2' THEN 'growth'"
+            " WHEN '3' THEN 'growth' ELSE 'starter' END AS base_plan",
+            "explode(sequence(0, 7)) AS s",
+        )
+        .where("s >= k % 3 AND NOT (k % 37 = 5 AND s = 3 + k % 4) AND NOT (k % 41 = 7 AND s >= 6)")
+        .selectExpr("*", "IF(k % 11 = 3 AND s >= 2 + k % 5, 'scale', base_plan) AS plan_name", "explode(sequence(0, IF(k % 150 = 7, 1, 0))) AS copy")
+        .selectExpr(
+            "concat('S', lpad(cast(k AS string), 8, '0')) AS subscription_id",
+            "customer_id",
+            "plan_name",
+            "cast(CASE plan_name WHEN 'scale' THEN 299 WHEN 'growth' THEN 99 ELSE 29 END"
+            " + IF(k % 13 = 6 AND s >= 4, 10, 0) + copy AS decimal(12, 2)) AS monthly_price",
+            """CASE WHEN k % 19 = 2 AND s >= 5 THEN 'cancelled'
+                    WHEN k % 17 = 9 AND s IN (2, 5) THEN 'paused'
+                    WHEN (k + s) % 23 = 4 THEN 'Active '
+                    ELSE 'active' END AS status""",
+            "date_add(date'2026-01-10', 25 * s) AS snapshot_date",
+        )
+    )
+
+
+def project_rates(orders: DataFrame) -> DataFrame:
+    """Rates of two currencies on some of the days with orders, now and then two for one day, and one that is unknown."""
+    days = orders.selectExpr("cast(o_orderdate AS date) AS valid_from").groupBy("valid_from").count()
+    day = days.selectExpr("valid_from", "count", "datediff(valid_from, date'1970-01-01') AS n")
+    return day.selectExpr(
+        "valid_from",
+        """inline(array_compact(array(
+             IF(n % 9 = 2, named_struct('currency', 'SEK', 'rate', cast(0.08 + count % 50 / 1000 AS decimal(12, 6))), NULL),
+             IF(n % 18 = 2, named_struct('currency', ' sek', 'rate', cast(0.07 + count % 90 / 1000 AS decimal(12, 6))), NULL),
+             IF(n % 45 = 11, named_struct('currency', 'SEK', 'rate', cast(NULL AS decimal(12, 6))), NULL),
+             IF(n % 100 = 50 AND n % 700 < 400, named_struct('currency', 'USD', 'rate', cast(0.9 + count % 7 / 100 AS decimal(12, 6))), NULL))))""",
+    ).select("currency", "valid_from", "rate")
+
+
 def projected_billing(spark: SparkSession, directory: str) -> Loader:
     """Raw billing tables over the benchmark tables in ``directory``."""
     projections = {
@@ -142,6 +187,9 @@ def projected_billing(spark: SparkSession, directory: str) -> Loader:
     def load(name: str) -> DataFrame:
         if name == "invoice_changes":
             return project_invoice_changes(spark.read.parquet(f"{directory}/lineitem.parquet"))
+        if name in ("subscription_snapshots", "exchange_rates"):
+            orders = spark.read.parquet(f"{directory}/orders.parquet")
+            return project_snapshots(orders) if name == "subscription_snapshots" else project_rates(orders)
         table, project = projections[name]
         return conform(project(spark.read.parquet(f"{directory}/{table}.parquet")), RAW[name])
 

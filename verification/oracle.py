@@ -629,6 +629,94 @@ CHANGED_BODIES: dict[str, str] = {
 }
 
 
+# Snapshots of subscriptions; an interval ends where a snapshot no longer shows the same.
+HISTORY = """
+drawn as (
+  select o_orderkey as k, s, 'C' || lpad(cast(o_custkey as varchar), 7, '0') as customer_id,
+         case when o_orderkey % 11 = 3 and s >= 2 + o_orderkey % 5 then 'scale'
+              when o_orderpriority like '1%' then 'scale'
+              when o_orderpriority like '2%' or o_orderpriority like '3%' then 'growth'
+              else 'starter' end as plan_name
+  from orders, range(0, 8) as r(s)
+  where s >= o_orderkey % 3 and not (o_orderkey % 37 = 5 and s = 3 + o_orderkey % 4)
+    and not (o_orderkey % 41 = 7 and s >= 6)
+),
+shown as (
+  select 'S' || lpad(cast(k as varchar), 8, '0') as subscription_id, customer_id, plan_name,
+         cast(case plan_name when 'scale' then 299 when 'growth' then 99 else 29 end
+              + case when k % 13 = 6 and s >= 4 then 10 else 0 end
+              + case when k % 150 = 7 then 1 else 0 end as decimal(12, 2)) as monthly_price,
+         case when k % 19 = 2 and s >= 5 then 'cancelled'
+              when k % 17 = 9 and s in (2, 5) then 'paused' else 'active' end as status,
+         date '2026-01-10' + cast(25 * s as integer) as day
+  from drawn
+),
+stepped as (
+  select *, lag(day) over w is distinct from day - 25
+         or (lag(customer_id) over w, lag(plan_name) over w, lag(monthly_price) over w, lag(status) over w)
+            is distinct from (customer_id, plan_name, monthly_price, status) as starts
+  from shown window w as (partition by subscription_id order by day)
+),
+stretched as (select *, count(*) filter (where starts) over (partition by subscription_id order by day) as stretch from stepped),
+history as (
+  select subscription_id, customer_id, plan_name, monthly_price, status, min(day) as valid_from,
+         case when max(day) < date '2026-07-04' then max(day) + 25 end as valid_to
+  from stretched group by subscription_id, stretch, customer_id, plan_name, monthly_price, status
+)"""
+
+RATES = """
+rate_days as (
+  select cast(o_orderdate as date) as valid_from, count(*) as c, cast(o_orderdate as date) - date '1970-01-01' as n
+  from orders group by all
+),
+rates as (
+  select currency_code, valid_from as rate_date, max(rate) as rate from (
+    select 'SEK' as currency_code, valid_from, cast(0.08 + c % 50 / 1000 as decimal(12, 6)) as rate from rate_days where n % 9 = 2
+    union all select 'SEK', valid_from, cast(0.07 + c % 90 / 1000 as decimal(12, 6)) from rate_days where n % 18 = 2
+    union all select 'USD', valid_from, cast(0.9 + c % 7 / 100 as decimal(12, 6)) from rate_days where n % 100 = 50 and n % 700 < 400)
+  group by all
+),
+coded as (select *, upper(trim(currency)) as currency_code from raw_invoices),
+met as (
+  select c.*, case when c.invoice_date - r.rate_date <= 30 then r.rate_date end as rate_date,
+         case when c.invoice_date - r.rate_date <= 30 then r.rate end as rate
+  from coded c asof left join rates r on c.currency_code = r.currency_code and c.invoice_date >= r.rate_date
+),
+priced as (
+  select invoice_id, invoice_date, amount, currency_code, rate_date, rate,
+         cast(case when currency_code = 'EUR' then amount else round(amount * rate, 2) end as decimal(14, 2)) as amount_eur
+  from met
+)"""
+
+HISTORY_BODIES: dict[str, str] = {
+    "subscription_history": "select * from history",
+    "book_mrr_monthly": """
+        , begun as (
+          select plan_name, monthly_price, cast(date_trunc('month', valid_from + interval 1 month - interval 1 day) as date) as low,
+            cast(date_trunc('month', valid_to + interval 1 month - interval 1 day) as date) as high
+          from history where status = 'active' and monthly_price > 0
+        ),
+        months as (select cast(m as date) as book_month from range(date '2026-01-01', date '2027-01-01', interval 1 month) as r(m)),
+        plans as (select plan_name, min(low) as first from begun where high is null or low < high group by all)
+        select p.plan_name, book_month,
+          count(*) filter (where low <= book_month and (high is null or high > book_month)) as active_subscriptions,
+          cast(coalesce(sum(monthly_price) filter (where low <= book_month and (high is null or high > book_month)), 0) as decimal(18, 2)) as book_mrr_eur,
+          cast(coalesce(sum(monthly_price) filter (where low = book_month), 0) as decimal(18, 2)) as gained_eur,
+          cast(coalesce(sum(monthly_price) filter (where high = book_month), 0) as decimal(18, 2)) as lost_eur
+        from plans p join months on book_month >= first
+          left join begun b on b.plan_name = p.plan_name and (high is null or low < high)
+        group by all""",
+}
+
+RATE_BODIES: dict[str, str] = {
+    "invoices_at_dated_rates": "select * from priced",
+    "missing_rates": """
+        select currency_code, cast(date_trunc('month', invoice_date) as date) as invoice_month, count(*) as invoices,
+          cast(sum(amount) as decimal(18, 2)) as amount
+        from priced where amount_eur is null and amount is not null and currency_code is not null group by all""",
+}
+
+
 def _after_changes(body: str) -> str:
     base = RAW.strip().replace("raw_invoices as (", "base_invoices as (")
     return f"with {base},\n{CHANGED.strip()},\n{VERDICTS.strip()},\n{MARTS.strip()}\n{body}"
@@ -636,4 +724,6 @@ def _after_changes(body: str) -> str:
 
 def expected_sql() -> dict[str, str]:
     changed = {name: _after_changes(body) for name, body in CHANGED_BODIES.items()}
-    return {name: statement(body) for name, body in BODIES.items()} | changed
+    history = {name: f"with {HISTORY.strip()}\n{body.strip()}" for name, body in HISTORY_BODIES.items()}
+    rates = {name: f"with {RAW.strip()},\n{RATES.strip()}\n{body.strip()}" for name, body in RATE_BODIES.items()}
+    return {name: statement(body) for name, body in BODIES.items()} | changed | history | rates
