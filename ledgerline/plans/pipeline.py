@@ -7,16 +7,20 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.config import BillingConfig
-from ledgerline.plans import checks, quarantine, staging
+from ledgerline.plans import checks, quarantine, spikes, staging
 from ledgerline.plans.billing import ENTITIES, MARTS, Billing, Loader
 from ledgerline.plans.marts import described
 from ledgerline.schemas import RAW
 from ledgerline.session import build_session
 from ledgerline.sources.readers import conform, csv_exports
 from ledgerline.sources.reconcile import reconcile_counts, row_counts
-from ledgerline.sources.writers import Refresh, namespace_of
+from ledgerline.sources.writers import Refresh, commit_together, namespace_of, published_tables, published_version
+
+#: Runs whose counts per quarantine reason are kept.
+RUNS_KEPT = 100
 
 
 class LoadMismatch(Exception):
@@ -36,9 +40,8 @@ class ChecksFailed(Exception):
         )
 
 
-def load_raw(spark: SparkSession, source: Loader, root: str) -> dict[str, DataFrame]:
-    """Copy the source tables unchanged, then publish them if all row counts agree."""
-    refresh = Refresh(spark, namespace_of("raw"), root)
+def load_raw(refresh: Refresh, source: Loader) -> dict[str, DataFrame]:
+    """Copy the source tables unchanged; row counts that do not agree are an error."""
     loaded = {name: refresh.write(name, conform(source(name), RAW[name])) for name in ENTITIES}
     counts = reconcile_counts(
         row_counts({name: source(name) for name in ENTITIES}), row_counts(loaded)
@@ -48,7 +51,6 @@ def load_raw(spark: SparkSession, source: Loader, root: str) -> dict[str, DataFr
         raise LoadMismatch(
             "; ".join(f"{r.table_name}: {r.source_rows} != {r.loaded_rows}" for r in wrong)
         )
-    refresh.commit()
     return loaded
 
 
@@ -68,6 +70,15 @@ def publish_layers(spark: SparkSession, config: BillingConfig) -> None:
             )
 
 
+def reason_history(spark: SparkSession, root: str) -> tuple[int, DataFrame]:
+    """Number of the last published run, 0 before the first, and the counts per reason of the runs kept."""
+    _, tables = published_version(spark, namespace_of("monitor"), root)
+    if "reason_history" not in tables:
+        return 0, spark.createDataFrame([], spikes.HISTORY)
+    history = published_tables(spark, namespace_of("monitor"), root)("reason_history")
+    return history.agg(F.max("run")).first()[0] or 0, history
+
+
 def run_pipeline(
     spark: SparkSession,
     source: Loader,
@@ -78,8 +89,9 @@ def run_pipeline(
     """Refresh all layers under ``root`` and return the check results, one row per check.
 
     The classified tables are written once; staging and quarantine are views of the catalog over them. A
-    failed check of severity "error" stops the run before the next layer is built, and before
-    marts are published; a warning is only recorded. Failing raw rows go to ``audit``.
+    failed check of severity "error" stops the run before the next layer is built; raw, classified and
+    mart tables become current together at the end, or stay as they were. A warning is only recorded. Failing raw rows go to ``audit``. The counts
+    of every quarantine reason are compared with those of earlier published runs and kept with them in ``monitor``.
     """
     results: list[Row] = []
 
@@ -90,7 +102,8 @@ def run_pipeline(
         if failed and stop_on_error:
             raise ChecksFailed(failed)
 
-    raw = load_raw(spark, source, root)
+    loaded = Refresh(spark, namespace_of("raw"), root)
+    raw = load_raw(loaded, source)
     classified = Refresh(spark, namespace_of("classified"), root)
     billing = Billing(raw.__getitem__, config, keep=classified.write)
 
@@ -102,8 +115,6 @@ def run_pipeline(
 
     check("staging")
     check("quarantine")
-    classified.commit()
-    publish_layers(spark, config)
     for layer in ("staging", "quarantine"):
         for name in ENTITIES:
             billing.table(layer, name).createOrReplaceTempView(f"{layer}_{name}")
@@ -113,7 +124,13 @@ def run_pipeline(
         rows = described(name, billing.table("marts", name))
         billing.set_table("marts", name, marts.write(name, rows))
     check("marts")
-    marts.commit()
+    last, earlier = reason_history(spark, root)
+    counts = spikes.counts_of_run({n: billing.table("classified", n) for n in ENTITIES}, last + 1)
+    monitor = Refresh(spark, namespace_of("monitor"), root)
+    history = monitor.write("reason_history", spikes.recent(earlier.unionByName(counts), last + 1, RUNS_KEPT))
+    results.extend(spikes.spike_results(history, last + 1, ENTITIES).collect())  # one row per table
+    commit_together(loaded, classified, marts, monitor)
+    publish_layers(spark, config)
     return results
 
 

@@ -15,7 +15,7 @@ from ledgerline.functions.dates import month_of
 from ledgerline.functions.money import to_reporting_currency
 from ledgerline.functions.text import clean_country, clean_currency, clean_label, clean_text
 from ledgerline.operators.lineage import cut_lineage, shared_folder
-from ledgerline.plans import book, checks, classify, dated_rates, marts, profiles, quarantine
+from ledgerline.plans import book, checks, classify, dated_rates, marts, profiles, quarantine, spikes
 from ledgerline.plans.billing import ENTITIES, Billing
 from ledgerline.plans.incremental import IncrementalBilling
 from ledgerline.sources.projection import projected_billing
@@ -216,6 +216,10 @@ QUERIES: dict[str, Query] = {
         "invoice_id", "invoice_date", "amount", "currency_code", "rate_date", "rate", "amount_eur"
     ),
     "missing_rates": lambda b: dated_rates.missing_rates(_priced(b)),
+    # The invoices of a month stand for a run.
+    "quarantine_spikes": lambda b: spikes.judged_runs(
+        spikes.counts_per_run(b.table("classified", "invoices"), "invoices", F.expr("year(invoice_date) * 100 + month(invoice_date)"))
+    ),
     # checks
     "check_not_null": lambda b: checks.contract_results(_kept(b), "not_null"),
     "check_accepted_values": lambda b: checks.contract_results(_kept(b), "accepted_values"),

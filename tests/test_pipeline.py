@@ -44,7 +44,7 @@ def source_of(spark, rows):
 
 def test_full_run_and_second_refresh(spark, tmp_path):
     results = run_pipeline(spark, source_of(spark, ROWS), str(tmp_path), CONFIG)
-    assert len(results) == 80
+    assert len(results) == 83
     assert all(r.passed or r.severity == "warn" for r in results)
     assert sum(not r.passed for r in results) == 6
     assert {r.mrr_eur for r in spark.table("marts.mrr_monthly").collect()} == {

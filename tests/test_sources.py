@@ -223,7 +223,7 @@ def test_publish_that_breaks_off_between_two_tables(spark, tmp_path, monkeypatch
         # A table that is not written again stays as it is.
         assert counts(published_tables(spark, "publish_test", root)) == counts(views) == (n, 4)
     assert len(list((tmp_path / "publish_test" / "a").iterdir())) == writers.VERSIONS
-    assert len(list((tmp_path / "publish_test" / "published_versions").iterdir())) == writers.VERSIONS
+    assert len(list((tmp_path / "published_versions").iterdir())) == writers.VERSIONS
 
 
 def test_projection_counts(spark):

@@ -1,0 +1,99 @@
+"""Quarantine reasons against their own history."""
+
+import random
+from statistics import median
+
+import pytest
+from pyspark.sql import functions as F
+from rows import CONFIG, invoice, raw_table, subscription
+from test_pipeline import ROWS
+
+from ledgerline.plans import spikes
+from ledgerline.plans.pipeline import ChecksFailed, reason_history, run_pipeline
+from ledgerline.plans.spikes import Band, judged_runs
+from ledgerline.sources.writers import Refresh, published_tables
+
+QUIET = Band(runs=6, least_runs=5, deviations=3.0, rise=0.5, least=1000.0)
+
+
+def history(spark, counts, rows=10_000):
+    return spark.createDataFrame([("invoices", run, "null_amount", n, rows) for run, n in enumerate(counts, 1)], spikes.HISTORY)
+
+
+def spiking(spark, counts, band=QUIET, rows=10_000):
+    return sorted(r.run for r in judged_runs(history(spark, counts, rows), band).where("is_spike").collect())
+
+
+def test_the_sixth_run_trips_and_the_first_do_not(spark):
+    assert spiking(spark, [100, 104, 98, 101, 99, 400]) == [6]
+    assert spiking(spark, [100, 4000, 98, 5000, 99]) == []
+
+
+def test_growth_of_the_table_is_no_spike(spark):
+    rows = [("invoices", run, "null_amount", 100 * run, 10_000 * run) for run in range(1, 9)]
+    assert judged_runs(spark.createDataFrame(rows, spikes.HISTORY), QUIET).where("is_spike").collect() == []
+
+
+def test_small_numbers_and_slow_drift_are_no_spikes(spark):
+    assert spiking(spark, [0, 0, 0, 0, 0, 9]) == []
+    assert spiking(spark, [0, 0, 0, 0, 0, 11]) == [6]
+    assert spiking(spark, [100, 110, 120, 130, 140, 150, 160, 170]) == []
+
+
+def test_one_spike_does_not_hide_the_next(spark):
+    """The median and the distances from it do not follow a single run."""
+    assert spiking(spark, [100, 101, 99, 100, 102, 900, 100, 900]) == [6, 8]
+
+
+def test_bands_against_plain_python(spark):
+    random.seed(3)
+    rows = [(t, run, r, random.randrange(300), random.choice([0, 900, 1000])) for t in ("a", "b") for r in ("x", "y") for run in random.sample(range(40), 15)]
+    got = judged_runs(spark.createDataFrame([*rows, rows[0]], spikes.HISTORY), QUIET).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        earlier = sorted((x for x in rows if (x[0], x[2]) == (r.table_name, r.quarantine_reason) and x[1] < r.run), key=lambda x: x[1])[-QUIET.runs :]
+        shares = [x[3] * 1_000_000 // x[4] if x[4] else 0 for x in earlier]
+        own = r.row_count * 1_000_000 // r.table_rows if r.table_rows else 0
+        assert (r.earlier_runs, r.per_million) == (len(shares), own)
+        if shares:
+            usual = median(shares)
+            spread = median(abs(x - usual) for x in shares)
+            assert (r.usual, r.spread) == (usual, spread)
+            upper = usual + max(3.0 * 1.4826 * spread, 0.5 * usual, 1000)
+            assert r.is_spike == (len(shares) >= 5 and own > upper)
+        else:
+            assert not r.is_spike and r.usual is r.upper is None
+
+
+def test_no_history(spark):
+    assert judged_runs(spark.createDataFrame([], spikes.HISTORY)).collect() == []
+
+
+def source(spark, nulls, wrong=False):
+    rows = {**ROWS, "invoices": [*ROWS["invoices"], *[invoice(f"X{k}", amount=None if k < nulls else "5.00") for k in range(40)]]}
+    if wrong:
+        rows["subscriptions"] = [*rows["subscriptions"], subscription("S6", end="2024-12-31")]
+    return lambda name: raw_table(spark, name, rows[name])
+
+
+def test_runs_of_the_pipeline(spark, tmp_path):
+    """Published runs are remembered, a failed one is not, and all layers of a failed run stay as they were."""
+    root = str(tmp_path)
+    results = run_pipeline(spark, source(spark, 2), root, CONFIG)
+    assert all(r.passed for r in results if r.check_name == "reason_spike")
+    last, history = reason_history(spark, root)
+    assert last == 1
+    # Four more runs like it.
+    monitor = Refresh(spark, "monitor", root)
+    monitor.write("reason_history", history.withColumn("run", F.explode(F.sequence(F.lit(1), F.lit(5))).cast("long")))
+    monitor.commit()
+    raw = published_tables(spark, "raw", root)("invoices")
+    before = sorted(map(str, raw.collect()))
+    with pytest.raises(ChecksFailed):
+        run_pipeline(spark, source(spark, 30, wrong=True), root, CONFIG)
+    assert reason_history(spark, root)[0] == 5
+    assert sorted(map(str, published_tables(spark, "raw", root)("invoices").collect())) == before
+    results = run_pipeline(spark, source(spark, 20), root, CONFIG)
+    found = {r.table_name: (r.failures, r.severity) for r in results if r.check_name == "reason_spike"}
+    assert found == {"customers": (0, "warn"), "subscriptions": (0, "warn"), "invoices": (1, "warn")}
+    assert reason_history(spark, root)[1].where("run = 6 AND quarantine_reason = 'null_amount'").first().row_count == 21

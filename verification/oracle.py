@@ -591,6 +591,29 @@ BODIES: dict[str, str] = {
           max(ltv_eur) as max_ltv_eur
         from (select ltv_eur, row_number() over (order by ltv_eur) as place, count(*) over () as n
               from customer_ltv)""",
+    "quarantine_spikes": """
+        , r as (
+          select unnest(['orphan_subscription_id', 'null_amount', 'non_positive_amount', 'unsupported_currency',
+            'invoice_after_end_date', 'other']) as quarantine_reason),
+        m as (select cast(year(invoice_date) * 100 + month(invoice_date) as bigint) as run, count(*) as table_rows
+              from judged_invoices where invoice_date is not null group by 1),
+        c as (
+          select 'invoices' as table_name, quarantine_reason, run, table_rows,
+            (select count(*) from judged_invoices j where year(invoice_date) * 100 + month(invoice_date) = run
+               and j.reason = quarantine_reason) as row_count
+          from m, r),
+        p as (select *, cast(row_count * 1000000 // table_rows as double) as per_million from c),
+        w as (
+          select *, coalesce(list(per_million) over (partition by quarantine_reason order by run
+            rows between 12 preceding and 1 preceding), []) as before from p),
+        s as (
+          select table_name, quarantine_reason, run, row_count, table_rows, per_million,
+            cast(len(before) as integer) as earlier_runs, list_aggregate(before, 'median') as usual,
+            list_aggregate(before, 'mad') as spread
+          from w)
+        select *, case when earlier_runs >= 5 then usual + greatest(spread * (5.0::double * 1.4826::double), usual * 0.5::double, 1000.0::double) end as upper,
+          coalesce(per_million > upper, false) as is_spike
+        from s""",
     "active_book_by_plan": """
         select plan_name, count(*) as active_subscriptions,
           cast(sum(monthly_price) as decimal(18, 2)) as list_price_eur
