@@ -5,7 +5,7 @@ All column checks of a table are answered by one aggregation over it, its unique
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas
 from ledgerline.config import BillingConfig
-from ledgerline.operators.parents import with_parent, without_parent
+from ledgerline.functions.dates import is_after
+from ledgerline.functions.text import clean_label
+from ledgerline.operators.parents import without_parent
 from ledgerline.plans.billing import ENTITIES, LAYERS, Billing
-from ledgerline.plans.classify import silent_drops
+from ledgerline.plans.classify import is_silent_drop, silent_drops
 
 Table = tuple[str, str]
 
@@ -316,20 +318,17 @@ def orphans(billing: Billing, child: Table) -> DataFrame:
     return without_parent(billing.table(*child).select(key), billing.table(*parent), key)
 
 
-def after_end_unflagged(invoices: DataFrame, subscriptions: DataFrame) -> DataFrame:
-    """Staged paid invoices past the end of their subscription that lack the flag."""
-    paid = invoices.where(F.col("status") == "paid").select(
-        "invoice_id", "subscription_id", "invoice_date", "is_after_end_date"
-    )
-    return (
-        with_parent(paid, subscriptions, "subscription_id", ["end_date"])
-        .where(
-            F.col("end_date").isNotNull()
-            & (F.col("invoice_date") > F.col("end_date"))
-            & ~F.coalesce(F.col("is_after_end_date"), F.lit(False))
-        )
-        .select("invoice_id", "invoice_date", "end_date")
-    )
+def after_end_unflagged(classified_invoices: DataFrame) -> DataFrame:
+    """Staged paid invoices past the end of their subscription that lack the flag.
+
+    Classified invoices carry the end date of their subscription, so there is no second join.
+    """
+    return classified_invoices.where(
+        F.col("is_staged")
+        & (clean_label(F.col("status")) == "paid")
+        & is_after(F.col("invoice_date"), F.col("end_date"))
+        & ~F.coalesce(F.col("is_after_end_date"), F.lit(False))
+    ).select("invoice_id", "invoice_date", "end_date")
 
 
 def missing_defect_classes(billing: Billing) -> DataFrame:
@@ -341,18 +340,41 @@ def missing_defect_classes(billing: Billing) -> DataFrame:
             f" count_if(quarantine_reason IN ({_listed(reasons)})) AS found)"
             for name, reasons in classes.items()
         )
-        counted = billing.table("quarantine", table).agg(F.expr(f"array({found}) AS classes"))
+        counted = billing.table("classified", table).agg(F.expr(f"array({found}) AS classes"))
         parts.append(counted.selectExpr("inline(classes)"))
     return reduce(DataFrame.unionByName, parts).where("found = 0").drop("found")
 
 
+def classification_results(billing: Billing, layers: Collection[str]) -> list[DataFrame]:
+    """Silent drops (layer staging) and defect classes without a row (layer quarantine).
+
+    Both are counted in one pass over each classified table, and the few counts are then summed.
+    """
+    parts = []
+    for table in ENTITIES:
+        missing = [F.expr(f"int(count_if(quarantine_reason IN ({_listed(r)})) = 0)") for r in PLANTED[table].values()]
+        counts = {"silent": F.count_if(is_silent_drop()), "missing": reduce(lambda a, b: a + b, missing)}
+        totals = billing.table("classified", table).agg(*[n.cast("long").alias(c) for c, n in counts.items()])
+        results = []
+        if "staging" in layers:
+            results.append(_result(("staging", table), "silent_drops", NOT_NULL["raw", table][0], WARN, "silent"))
+        if "quarantine" in layers:
+            results.append(_result(("quarantine", "all"), "planted_defects", "quarantine_reason", ERROR, "missing"))
+        if results:
+            parts.append(_as_rows(totals, results))
+    if not parts:
+        return []
+    place = ["layer", "table_name", "check_name", "column_name", "severity"]
+    summed = reduce(DataFrame.unionByName, parts).groupBy(*place).agg(F.sum("failures").alias("failures"))
+    return [summed.withColumn("passed", F.col("failures") == 0)]
+
+
 def _counted(rows: DataFrame, table: Table, name: str, column: str, severity: str) -> DataFrame:
     failures = rows.agg(F.count(F.lit(1)).alias("failures"))
     return _as_rows(failures, [_result(table, name, column, severity, "failures")])
 
 
-def layer_results(billing: Billing, layer: str) -> DataFrame:
-    """Results of all checks of one layer."""
+def _layer_parts(billing: Billing, layer: str) -> list[DataFrame]:
     parts = [
         table_results(
             billing.table(layer, name),
@@ -368,34 +390,20 @@ def layer_results(billing: Billing, layer: str) -> DataFrame:
                 _counted(orphans(billing, child), child, "relationships", key, severity)
             )
     if layer == "staging":
-        invoices = ("staging", "invoices")
-        late = after_end_unflagged(
-            billing.table(*invoices), billing.table("staging", "subscriptions")
-        )
-        parts.append(_counted(late, invoices, "after_end_flagged", "invoice_date", ERROR))
-        for name in ENTITIES:
-            dropped = silent_drops(billing.table("classified", name))
-            key = NOT_NULL["raw", name][0]
-            parts.append(_counted(dropped, ("staging", name), "silent_drops", key, WARN))
-    if layer == "quarantine":
-        parts.append(
-            _counted(
-                missing_defect_classes(billing),
-                ("quarantine", "all"),
-                "planted_defects",
-                "quarantine_reason",
-                ERROR,
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+        late = after_end_unflagged(billing.table("classified", "invoices"))
+        parts.append(_counted(late, ("staging", "invoices"), "after_end_flagged", "invoice_date", ERROR))
+    return parts
+
+
+def layer_results(billing: Billing, layer: str) -> DataFrame:
+    """Results of all checks of one layer."""
+    return reduce(DataFrame.unionByName, [*_layer_parts(billing, layer), *classification_results(billing, [layer])])
 
 
 def check_summary(billing: Billing) -> DataFrame:
     """Results of all checks of all layers."""
-    return reduce(
-        DataFrame.unionByName,
-        [layer_results(billing, layer) for layer in LAYERS],
-    )
+    parts = [part for layer in LAYERS for part in _layer_parts(billing, layer)]
+    return reduce(DataFrame.unionByName, [*parts, *classification_results(billing, LAYERS)])
 
 
 def stored_failures(billing: Billing) -> dict[str, DataFrame]:

@@ -161,14 +161,16 @@ def classify_invoices(
     )
 
 
-def silent_drops(classified: DataFrame) -> DataFrame:
-    """Rows that are neither staged nor quarantined for a rejecting reason.
+def is_silent_drop() -> Column:
+    """Neither staged nor quarantined for a rejecting reason.
 
-    They come from a NULL where the raw contract promises a value: the rules cannot decide,
+    Such rows come from a NULL where the raw contract promises a value: the rules cannot decide,
     so the row is not staged, and no rejecting reason names it.
     """
     soft = [name for name, rejects in REJECTS.items() if not rejects]
     reason = F.col("quarantine_reason")
-    return classified.where(
-        ~F.coalesce(F.col("is_staged"), F.lit(False)) & (reason.isNull() | reason.isin(soft))
-    )
+    return ~F.coalesce(F.col("is_staged"), F.lit(False)) & (reason.isNull() | reason.isin(soft))
+
+
+def silent_drops(classified: DataFrame) -> DataFrame:
+    return classified.where(is_silent_drop())

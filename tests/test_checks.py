@@ -128,8 +128,8 @@ def test_a_lost_flag_is_noticed(spark):
     b = dirty(spark)
     from pyspark.sql import functions as F
 
-    unflagged = b.table("staging", "invoices").withColumn("is_after_end_date", F.lit(False))
-    late = checks.after_end_unflagged(unflagged, b.table("staging", "subscriptions"))
+    unflagged = b.table("classified", "invoices").withColumn("is_after_end_date", F.lit(False))
+    late = checks.after_end_unflagged(unflagged)
     assert [r.invoice_id for r in late.collect()] == ["I6"]
     b.set_table(
         "staging",
