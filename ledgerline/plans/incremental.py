@@ -1,7 +1,7 @@
 """The invoice tables kept up to date by changes: only months that a change touches are classified and summed again.
 
 Tables: ``ledger`` (the last change of every invoice, deletions included), ``classified``, ``revenue`` (sums per
-month, customer and plan) and ``mrr_monthly`` in months; ``customers`` and ``subscriptions`` (classified) and
+month, customer and plan), ``mrr_monthly``, ``check_counts`` and ``amount_sketches`` (sketches of paid amounts) in months; ``customers`` and ``subscriptions`` (classified) and
 ``customer_ltv`` whole. All are made current by one record, so no reader sees invoices of one change beside marts of another.
 """
 
@@ -17,7 +17,8 @@ from ledgerline.config import BillingConfig
 from ledgerline.functions.dates import month_of
 from ledgerline.operators.lineage import cut_lineage
 from ledgerline.operators.merge import CHANGE_SEQ, IS_DELETED, as_changes, latest_per_key, live, merge_changes, parts_of_keys
-from ledgerline.plans import classify, marts, staging
+from ledgerline.operators.quantiles import merged, quantiles, sketched
+from ledgerline.plans import check_state, classify, marts, staging
 from ledgerline.schemas import MART_MONEY, RAW, RAW_INVOICES
 from ledgerline.sources.readers import conform
 from ledgerline.sources.versions import NO_VALUE, Change, Version, current_version
@@ -80,8 +81,8 @@ class IncrementalBilling:
         touched = _names(months)
         if not touched:
             return []
-        merged = merge_changes(change.now.read("ledger", touched, CHANGES), changes, KEY, CHANGES.names)
-        change.replace("ledger", merged, F.expr(MONTH), touched)
+        after = merge_changes(change.now.read("ledger", touched, CHANGES), changes, KEY, CHANGES.names)
+        change.replace("ledger", after, F.expr(MONTH), touched)
         return self._rebuild(change, touched)
 
     def replace_dimensions(self, customers: DataFrame, subscriptions: DataFrame) -> list[str]:
@@ -96,6 +97,14 @@ class IncrementalBilling:
         ledger = change.now.read("ledger")
         return self._rebuild(change, _names(parts_of_keys(ledger, changed, "subscription_id", MONTH)))
 
+    def check_results(self) -> DataFrame:
+        """Results of the row checks on invoices, from the counts of all months."""
+        return check_state.results(self.read("check_counts"))
+
+    def amount_quantiles(self, by: list[str], shares: dict[str, float]) -> DataFrame:
+        """Quantiles of paid amounts by month, by plan, by both or over all, from the sketches of months and plans."""
+        return quantiles(merged(self.read("amount_sketches"), by), shares)
+
     def _dimensions(self, change: Change, customers: DataFrame, subscriptions: DataFrame) -> None:
         judged = classify.classify_customers(conform(customers, RAW["customers"]), self.config)
         change.replace("customers", judged)
@@ -110,6 +119,10 @@ class IncrementalBilling:
         written = change.replace("classified", rows, F.expr(MONTH), touched)
         month = month_of(F.col("invoice_month"))
         change.replace("revenue", revenue_by_month(now.read("classified", touched, rows.schema)), month, touched)
+        classified = now.read("classified", touched, rows.schema)
+        change.replace("check_counts", check_state.invoice_check_counts(classified, self.config), F.col("part"), touched)
+        paid = marts.paid_invoices(classified)
+        change.replace("amount_sketches", sketched(paid, ["invoice_month", "plan_name"], "amount_eur"), month, touched)
         revenue = now.read("revenue", touched)
         change.replace("mrr_monthly", mrr_of(revenue), month, touched)
         change.replace("customer_ltv", self._ltv(now))

@@ -14,6 +14,8 @@ from ledgerline.config import BillingConfig
 from ledgerline.functions.dates import month_of
 from ledgerline.functions.money import to_reporting_currency
 from ledgerline.functions.text import clean_country, clean_currency, clean_label, clean_text
+from ledgerline.operators import quantiles
+from ledgerline.operators.key_index import KeyIndex
 from ledgerline.operators.lineage import cut_lineage, shared_folder
 from ledgerline.plans import book, checks, classify, dated_rates, marts, profiles, quarantine, spikes
 from ledgerline.plans.billing import ENTITIES, Billing
@@ -138,6 +140,31 @@ def _after_changes(b: Billing, deliveries: tuple[int, ...] = (2, 1)) -> Incremen
     return store
 
 
+def _unique_across_deliveries(b: Billing) -> DataFrame:
+    """Repeated invoice ids over three deliveries, the second one sent twice."""
+    invoices = b.table("raw", "invoices")
+    spark = invoices.sparkSession
+    index = KeyIndex(spark, f"{shared_folder(spark)}/keys/{uuid4().hex}", "invoice_id", buckets=8)
+    # A number of the row and not of its key, so that copies come in different deliveries.
+    numbered = invoices.withColumn("delivery", F.pmod(F.xxhash64(*[c for c in invoices.columns if c != "invoice_id"]), F.lit(3)))
+    for delivery in (0, 1, 2, 1):
+        index.add(f"d{delivery}", numbered.where(F.col("delivery") == delivery))
+    return index.repeated()
+
+
+def _paid_amount_sketches(b: Billing) -> DataFrame:
+    """Per month and plan the number of paid amounts, and whether the sketch's quartiles lie where they should among the exact rows."""
+    paid, by, shares = marts.paid_invoices(b.table("classified", "invoices")), ["invoice_month", "plan_name"], {"low": 0.25, "middle": 0.5, "high": 0.75}
+    paid = cut_lineage(paid)
+    found = quantiles.quantiles(quantiles.sketched(paid, by, "amount_eur"), shares)
+    exact = quantiles.share_below(paid, found, by, "amount_eur", list(shares))
+    near = [
+        (F.col(f"{c}_below") <= F.col("rows") * (q + quantiles.RANK_ERROR) + 1) & (F.col(f"{c}_upto") >= F.col("rows") * (q - quantiles.RANK_ERROR) - 1)
+        for c, q in shares.items()
+    ]
+    return exact.select(*by, F.col("rows").alias("invoices"), reduce(lambda x, y: x & y, near).alias("quartiles_hold"))
+
+
 def _priced(b: Billing) -> DataFrame:
     return dated_rates.priced_by_day(b.table("raw", "invoices"), b.table("raw", "exchange_rates"), CONFIG, max_age_days=30)
 
@@ -207,6 +234,9 @@ QUERIES: dict[str, Query] = {
     "incremental_invoices": lambda b: _after_changes(b, (2, 1, 2)).invoices(),
     "incremental_mrr_monthly": lambda b: _after_changes(b).read("mrr_monthly"),
     "incremental_customer_ltv": lambda b: _after_changes(b).read("customer_ltv"),
+    "incremental_check_results": lambda b: _after_changes(b).check_results(),
+    "unique_across_deliveries": _unique_across_deliveries,
+    "paid_amount_sketches": _paid_amount_sketches,
     # history and dated rates
     "subscription_history": lambda b: book.subscription_history(b.table("raw", "subscription_snapshots")),
     "book_mrr_monthly": lambda b: book.book_mrr_monthly(

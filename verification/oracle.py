@@ -591,6 +591,12 @@ BODIES: dict[str, str] = {
           max(ltv_eur) as max_ltv_eur
         from (select ltv_eur, row_number() over (order by ltv_eur) as place, count(*) over () as n
               from customer_ltv)""",
+    "unique_across_deliveries": """
+        select invoice_id, count(*) as row_count from raw_invoices where invoice_id is not null
+        group by invoice_id having count(*) > 1""",
+    "paid_amount_sketches": """
+        select invoice_month, plan_name, count(*) as invoices, true as quartiles_hold from paid
+        where eur is not null group by all""",
     "quarantine_spikes": """
         , r as (
           select unnest(['orphan_subscription_id', 'null_amount', 'non_positive_amount', 'unsupported_currency',
@@ -649,6 +655,8 @@ CHANGED_BODIES: dict[str, str] = {
     "incremental_invoices": "select * from raw_invoices",
     "incremental_mrr_monthly": "select * from mrr_monthly",
     "incremental_customer_ltv": "select * from customer_ltv",
+    "incremental_check_results": f"""
+        select * from ({_summary()}) where table_name = 'invoices' and check_name not in ('unique', 'relationships')""",
 }
 
 
