@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import date
+from decimal import Decimal
 from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,9 @@ from ledgerline.schemas import RAW
 
 Loader = Callable[[str], DataFrame]
 
+#: The column by whose values a table of a database is dealt out to tasks.
+SLICED_BY = {"customers": "customer_id", "subscriptions": "subscription_id", "invoices": "invoice_date"}
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Pick the columns of ``schema`` by name and cast them; bad values fail under ANSI mode."""
@@ -76,6 +80,42 @@ def date_slices(column: str, first: date, last: date, months: int = 1) -> list[s
     return [f"{column} < '{cuts[0]}'", *between, f"{column} >= '{cuts[-1]}'", f"{column} IS NULL"]
 
 
+def split_request(table: str, column: str, tasks: int) -> str:
+    """What the database is asked for split points: the first value of each of ``tasks`` stretches with equally many rows."""
+    tiles = f"SELECT {column} AS v, ntile({tasks}) OVER (ORDER BY {column}) AS tile FROM {table} WHERE {column} IS NOT NULL"
+    return f"(SELECT tile, min(v) AS split FROM ({tiles}) AS t GROUP BY tile) AS splits"
+
+
+def _literal(value) -> str:
+    if isinstance(value, int | float | Decimal) and not isinstance(value, bool):
+        return str(value)
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def slices_between(column: str, splits: Sequence) -> list[str]:
+    """Predicates that cover a table without overlap, cut at ``splits``, which come in the database's own order.
+
+    A value that fills several stretches is one slice: rows of one value are never parted. Rows without a value are one more slice.
+    """
+    points = [p for k, p in enumerate(splits) if k and p != splits[k - 1]]
+    if not points:
+        return []
+    cuts = [_literal(p) for p in points]
+    between = [f"{column} >= {a} AND {column} < {b}" for a, b in pairwise(cuts)]
+    return [f"{column} < {cuts[0]}", *between, f"{column} >= {cuts[-1]}", f"{column} IS NULL"]
+
+
+def equal_slices(
+    spark: SparkSession, url: str, table: str, column: str, tasks: int, properties: dict[str, str] | None = None
+) -> list[str]:
+    """Slices of about equally many rows, from one request to the database, which answers with ``tasks`` rows at most.
+
+    None where the table has fewer than two values: one task then reads it.
+    """
+    found = spark.read.jdbc(url, split_request(table, column, tasks), properties=properties or {}).collect()
+    return slices_between(column, [r["split"] for r in sorted(found, key=lambda r: r["tile"])])
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,
@@ -104,11 +144,21 @@ def jdbc_tables(
     url: str,
     slices: dict[str, Sequence[str]] | None = None,
     properties: dict[str, str] | None = None,
+    tasks: int = 8,
 ) -> Loader:
-    """Raw tables ``raw_customers``, ``raw_subscriptions`` and ``raw_invoices`` of a database."""
-    return lambda name: read_jdbc(
-        spark, url, f"raw_{name}", RAW[name], (slices or {}).get(name, ()), properties
-    )
+    """Raw tables ``raw_customers``, ``raw_subscriptions`` and ``raw_invoices`` of a database.
+
+    Each is read by ``tasks`` tasks, in slices of about equally many rows that the database is asked for, unless
+    ``slices`` has its own. With ``tasks=1`` nothing is asked and one task reads a table.
+    """
+
+    def load(name: str) -> DataFrame:
+        table, given = f"raw_{name}", (slices or {}).get(name)
+        if given is None:
+            given = equal_slices(spark, url, table, SLICED_BY[name], tasks, properties) if tasks > 1 else ()
+        return read_jdbc(spark, url, table, RAW[name], given, properties)
+
+    return load
 
 
 def csv_exports(spark: SparkSession, directory: str, multi_line: bool = False) -> Loader:

@@ -2,9 +2,11 @@
 
 from datetime import date
 from decimal import Decimal
+from functools import reduce
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.plans.billing import ENTITIES
@@ -12,12 +14,15 @@ from ledgerline.schemas import RAW
 from ledgerline.sources.projection import projected_billing
 from ledgerline.sources.readers import (
     catalog_tables,
+    conform,
     csv_exports,
     date_slices,
     jdbc_options,
     jdbc_tables,
     read_csv,
     read_parquet,
+    slices_between,
+    split_request,
 )
 from ledgerline.sources.reconcile import reconcile_counts, row_counts
 from ledgerline.sources import writers
@@ -111,6 +116,47 @@ def test_jdbc_slices_become_read_tasks():
     assert "predicates" not in calls[1][1]
 
 
+class InProcess:
+    """Answers the requests of a JDBC reader from views of the session, and notes them. No database is asked."""
+
+    def __init__(self, spark):
+        self.spark, self.requests, self.read = spark, [], self
+
+    def jdbc(self, url, table, predicates=None, properties=None):
+        self.requests.append((table, predicates, properties))
+        rows = [self.spark.sql(f"SELECT * FROM {table} WHERE {p}") for p in predicates or ["1 = 1"]]
+        return reduce(DataFrame.unionByName, rows)
+
+
+def test_the_database_is_asked_for_equal_slices(spark):
+    days = ["2024-03-01"] * 500 + [f"2024-{m:02d}-{d:02d}" for m in range(1, 13) for d in range(1, 28)] + [None] * 7
+    rows = spark.createDataFrame([(f"I{k}", "S'1", d) for k, d in enumerate(days)], "i string, s string, d string")
+    rows.selectExpr("i AS invoice_id", "s AS subscription_id", "to_date(d) AS invoice_date", "1.0 AS amount", "'EUR' AS currency", "'paid' AS status").createOrReplaceTempView("raw_invoices")
+    database = InProcess(spark)
+    loaded = jdbc_tables(database, "jdbc:x", properties={"user": "u"}, tasks=6)("invoices")
+    (asked, none, given), (table, slices, _) = database.requests
+    assert asked == split_request("raw_invoices", "invoice_date", 6) and none is None and given == {"user": "u"}
+    assert "FROM raw_invoices)" in table
+    assert sorted(map(str, loaded.collect())) == sorted(map(str, conform(spark.table("raw_invoices"), RAW["invoices"]).collect()))
+    # The hot day fills stretches of its own and is one slice; the others hold a sixth of the rows or less.
+    sizes = [spark.table("raw_invoices").where(p).count() for p in slices]
+    assert sum(sizes) == len(days) and len(slices) >= 4
+    assert sorted(sizes)[-2] <= len(days) / 6 + 1 and max(sizes) <= 500 + len(days) / 6 + 1
+
+
+def test_split_points_are_kept_in_the_order_of_the_database(spark):
+    """A collation may put b before A; comparing here would lose rows."""
+    assert slices_between("c", ["a", "b", "b", "A", "O'x"]) == ["c < 'b'", "c >= 'b' AND c < 'A'", "c >= 'A' AND c < 'O''x'", "c >= 'O''x'", "c IS NULL"]
+    assert slices_between("n", [1, Decimal("2.5")]) == ["n < 2.5", "n >= 2.5", "n IS NULL"]
+    assert slices_between("c", ["a", "a"]) == slices_between("c", []) == []
+    spark.createDataFrame([], RAW["customers"]).createOrReplaceTempView("raw_customers")
+    database = InProcess(spark)
+    assert jdbc_tables(database, "jdbc:x")("customers").count() == 0
+    assert database.requests[1][1] is None
+    jdbc_tables(database, "jdbc:x", tasks=1)("customers")
+    assert len(database.requests) == 3
+
+
 def test_date_slices_meet_every_row_once(spark):
     slices = date_slices("invoice_date", date(2024, 11, 15), date(2025, 2, 1))
     assert len(slices) == 7  # four months, earlier, later, without a date
