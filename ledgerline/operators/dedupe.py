@@ -11,18 +11,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.operators.bloom import bloom_words, may_be_among
+
 # Copies written out per portion; longer runs are spread over the cluster.
 COPIES_PER_TASK = 100_000
 
 
-# Words of 64 bits in the Bloom filter of repeated keys: 4 MB with their numbers. Where more keys are repeated than it can
-# tell apart, more rows pass and are shuffled; the result is the same.
-BLOOM_WORDS = 1 << 18
-
-
 def _sort_key(columns: Sequence[str]) -> str:
     """Struct that orders like ``columns`` ascending with NULLS LAST."""
     fields = [f"{name} IS NULL AS no_{name}, {name}" for name in columns]
@@ -40,23 +37,13 @@ def first_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame
     return kept.selectExpr(*[c if c == key else f"kept.{c} AS {c}" for c in df.columns])
 
 
-def _word_and_bits(key: str) -> tuple[Column, Column]:
-    """Place of a key in the filter, and its four bits there."""
-    h = f"xxhash64({key})"
-    bits = " | ".join(f"shiftleft(1L, int(shiftright({h}, {6 * k}) & 63))" for k in range(4))
-    return F.expr(f"int(pmod(shiftright({h}, 24), {BLOOM_WORDS}))"), F.expr(bits)
-
-
 def rows_of_repeated_keys(df: DataFrame, key: str) -> DataFrame:
     """All rows of keys with several rows, and some others. The NULL key is a key.
 
     Reads the key column alone to find the repeated keys; ``df`` itself is not shuffled.
     """
-    word, bits = _word_and_bits(key)
     repeated = df.groupBy(key).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
-    marks = repeated.select(word.alias("word"), bits.alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("held"))
-    # BLOOM_WORDS rows at most.
-    return df.join(F.broadcast(marks), (word == F.col("word")) & (F.col("held").bitwiseAND(bits) == bits), "left_semi")
+    return may_be_among(df, key, bloom_words(repeated, key))
 
 
 def rows_after_first(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from rows import CONFIG, billing, by_key, customer, dicts, invoice, subscription
 
 from ledgerline.functions.money import to_reporting_currency
 from ledgerline.functions.text import is_invalid_email
+from ledgerline.operators.bloom import bloom_words, may_be_among
 from ledgerline.plans.classify import silent_drops
 
 
@@ -281,3 +282,15 @@ def test_output_columns_and_types(spark):
     assert types["marts", "customer_ltv"]["ltv_eur"] == "decimal(18,2)"
     assert types["marts", "churn_monthly"]["cancelled_subscriptions"] == "bigint"
     assert dicts(b.table("marts", "churn_monthly")) == []
+
+
+@pytest.mark.parametrize("words", [1, 64, 1 << 18])
+def test_filter_of_keys_loses_none(spark, words):
+    """A filter that is too small lets more rows pass, and no fewer."""
+    rows = spark.range(2000).selectExpr("IF(id % 50 = 0, NULL, concat('k', id)) AS k", "id")
+    keys = rows.where("id % 7 = 0")
+    passed = {r.id for r in may_be_among(rows, "k", bloom_words(keys, "k", words), words).collect()}
+    wanted = {r.id for r in rows.collect() if r.id % 7 == 0 or r.k is None}
+    assert wanted <= passed
+    if words == 1 << 18:
+        assert passed == wanted
