@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import kernels
 from ledgerline.llm.workspace import keep
+from ledgerline.operators.bloom import bloom_words, may_be_among
 
 #: Hash values for words, word pairs and shape runs; training rows that the linear model is fitted on.
 WORD_BITS, PAIR_BITS, SHAPE_BITS = 14, 14, 12
@@ -97,11 +98,18 @@ def log_count_ratios(counts: np.ndarray) -> np.ndarray:
     return np.log(p / p.sum()) - np.log(q / q.sum())
 
 
+def row_sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The sum of each row's values, from these alone: equal rows have equal sums wherever they stand."""
+    sums, filled = np.zeros(len(ends) - 1), ends[1:] > ends[:-1]
+    if filled.any():
+        sums[filled] = np.add.reduceat(values, ends[:-1][filled])
+    return sums
+
+
 def scaled(ends: np.ndarray, found: np.ndarray, ratios: np.ndarray) -> np.ndarray:
     """Values of the features: their ratios, with each row brought to length 1."""
     values = ratios[found]
-    squares = np.concatenate([[0.0], np.cumsum(values * values)])
-    norm = np.sqrt(np.maximum(squares[ends[1:]] - squares[ends[:-1]], 1e-12))
+    norm = np.sqrt(np.maximum(row_sums(values * values, ends), 1e-12))
     return values / np.repeat(norm, np.diff(ends))
 
 
@@ -169,7 +177,10 @@ def train(documents: DataFrame, labels: DataFrame, target: str = "quality") -> n
     document the largest counts, null ones do not."""
     told = labels.where(F.col(target).isin(0, 1) & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")))
     told = keep(told.groupBy("doc_id").agg(F.max(target).cast("long").alias("label")))
-    rows = documents.select("doc_id", "text").join(told, "doc_id")
+    # Texts without a label are sifted out before the shuffle; the join with all labels is then the same at any size.
+    texts = documents.select("doc_id", "text").where("doc_id is not null")
+    labelled = may_be_among(texts, "doc_id", bloom_words(told, "doc_id"))
+    rows = labelled.join(told.hint("merge"), "doc_id")
     ratios = log_count_ratios(class_counts(rows.select("text", "label")))
     # The sample is bounded by SAMPLE_ROWS ids, which may be sent to all tasks; of several texts of an id the one with
     # the smallest hash is taken, so that it is also bounded by rows. The ratios count them all.
@@ -197,8 +208,7 @@ def score_documents(documents: DataFrame, model: np.ndarray, threshold: float =
         for batch in batches:
             for first, data, bounds in kernels.text_slices(batch.column(1)):
                 ends, found = features(data, bounds)
-                sums = np.concatenate([[0.0], np.cumsum(weights[found] * scaled(ends, found, ratios))])
-                margin = sums[ends[1:]] - sums[ends[:-1]] + bias
+                margin = row_sums(weights[found] * scaled(ends, found, ratios), ends) + bias
                 score = 1 / (1 + np.exp(-np.clip(a * margin + b, -30, 30)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(score)), pa.array(score)], ["doc_id", "score"])
 
