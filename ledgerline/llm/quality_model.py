@@ -44,7 +44,7 @@ def features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     ending = np.where(_LETTER[data[found.end - 1]], 0, data[found.end - 1])
     before = np.zeros(n, bool)
     before[1:] = (found.hash[1:] == found.hash[:-1]) & (found.row[1:] == found.row[:-1])
-    gap = np.zeros(n, np.int64)
+    gap = np.full(n, 2, np.int64)
     gap[1:] = np.where(found.row[1:] == found.row[:-1], broken[found.start[1:]] - broken[found.end[:-1]] > 0, 2)
     shape = ((((many_upper * 4 + marks) * 256 + ending) * 2 + before) * 3 + gap) * 4 + np.minimum(length // 4, 3)
     shape = kernels.mix(shape.astype(np.uint64) + np.uint64(11))
