@@ -169,6 +169,48 @@ def _priced(b: Billing) -> DataFrame:
     return dated_rates.priced_by_day(b.table("raw", "invoices"), b.table("raw", "exchange_rates"), CONFIG, max_age_days=30)
 
 
+def _broken(b: Billing) -> Billing:
+    """The same tables as a faulty build would leave them, so that every check finds something."""
+    broken = Billing(lambda name: b.table("raw", name), b.config)
+
+    def change(layer: str, name: str, columns: dict | None = None, copied: str | None = None, kept: str | None = None) -> None:
+        rows = b.table(layer, name).withColumns(columns or {})
+        if copied:
+            rows = rows.withColumn("copy", F.expr(f"explode(array_repeat(true, IF({copied}, 2, 1)))")).drop("copy")
+        broken.set_table(layer, name, rows.where(kept) if kept else rows)
+
+    change("staging", "customers", copied="customer_id LIKE '%3'", kept="customer_id NOT LIKE '%55'")
+    change("staging", "subscriptions", {"is_invalid_date_range": F.lit(False)}, "subscription_id LIKE '%77'", "subscription_id NOT LIKE '%5'")
+    change("staging", "invoices", {"amount_eur": F.expr("IF(invoice_id LIKE '%9-2', -amount_eur, amount_eur)").cast("decimal(14,2)")})
+    change("classified", "customers", kept="NOT quarantine_reason <=> 'invalid_email'")
+    change("classified", "subscriptions", kept="NOT quarantine_reason <=> 'end_before_start'")
+    change("classified", "invoices", {"is_after_end_date": F.expr("is_after_end_date AND invoice_id NOT LIKE '%-1'")})
+    change("marts", "customer_ltv", copied="customer_id LIKE '%8'")
+    change("marts", "mrr_monthly", copied="plan_name = 'growth'")
+    change("marts", "churn_monthly", copied="month(churn_month) = 1")
+    return broken
+
+
+def _on_broken(name: str) -> Query:
+    """A check on the tables of the faulty build."""
+    return lambda b: QUERIES[name](_broken(b))
+
+
+# Checks without a failing row on the tables as they are built.
+SILENT_CHECKS = [
+    "check_unique_stg_customers",
+    "check_unique_stg_subscriptions",
+    "check_unique_customer_ltv",
+    "check_unique_combination",
+    "check_relationships_stg_subscriptions",
+    "check_relationships_stg_invoices",
+    "check_paid_positive",
+    "check_dates_flagged",
+    "check_after_end_flagged",
+    "check_planted_defects",
+]
+
+
 QUERIES: dict[str, Query] = {
     # sources
     "load_raw_customers": lambda b: b.table("raw", "customers"),
@@ -313,5 +355,8 @@ QUERIES: dict[str, Query] = {
 }
 
 
+QUERIES |= {f"broken_{name}": _on_broken(name) for name in SILENT_CHECKS}
+
+
 def run(name: str, spark: SparkSession, directory: str) -> DataFrame:
     return QUERIES[name](Billing(projected_billing(spark, directory), CONFIG))

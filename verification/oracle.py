@@ -6,6 +6,10 @@ FIXTURES.md, one verdict per raw row, then staging, quarantine and marts.
 
 from __future__ import annotations
 
+import re
+
+from ledgerline.queries import SILENT_CHECKS
+
 AS_OF = "date '2026-12-03'"
 
 RAW = """
@@ -748,6 +752,39 @@ RATE_BODIES: dict[str, str] = {
 }
 
 
+# Tables as a faulty build would leave them; checks on them read these instead.
+BROKEN = """
+bad_stg_customers as (
+  select c.* from stg_customers c, range(case when customer_id like '%3' then 2 else 1 end) where customer_id not like '%55'
+),
+bad_stg_subscriptions as (
+  select s.* replace (false as is_invalid_date_range)
+  from stg_subscriptions s, range(case when subscription_id like '%77' then 2 else 1 end) where subscription_id not like '%5'
+),
+bad_stg_invoices as (
+  select * replace (case when invoice_id like '%9-2' then -amount_eur else amount_eur end as amount_eur) from stg_invoices
+),
+late_stg_invoices as (
+  select * replace (is_after_end_date and invoice_id not like '%-1' as is_after_end_date) from stg_invoices
+),
+bad_qrt_customers as (select * from qrt_customers where quarantine_reason <> 'invalid_email'),
+bad_qrt_subscriptions as (select * from qrt_subscriptions where quarantine_reason <> 'end_before_start'),
+bad_customer_ltv as (select l.* from customer_ltv l, range(case when customer_id like '%8' then 2 else 1 end)),
+bad_mrr_monthly as (select m.* from mrr_monthly m, range(case when plan_name = 'growth' then 2 else 1 end)),
+bad_churn_monthly as (select c.* from churn_monthly c, range(case when month(churn_month) = 1 then 2 else 1 end))"""
+
+
+def _on_broken(body: str, own: dict[str, str]) -> str:
+    """A check's SQL over the broken tables, or over those named in ``own``."""
+    names = {n: f"bad_{n}" for n in re.findall(r"\bbad_(\w+) as", BROKEN)} | own
+    body = re.sub(rf"\b({'|'.join(names)})\b(?!')", lambda m: names[m[0]], body)
+    return f"with {RAW.strip()},\n{VERDICTS.strip()},\n{MARTS.strip()},\n{BROKEN.strip()}\n{body.strip()}"
+
+
+#: Tables that a check on the faulty build reads unbroken, or broken in another way.
+UNBROKEN = {"check_after_end_flagged": {"stg_invoices": "late_stg_invoices", "stg_subscriptions": "stg_subscriptions"}}
+
+
 def _after_changes(body: str) -> str:
     base = RAW.strip().replace("raw_invoices as (", "base_invoices as (")
     return f"with {base},\n{CHANGED.strip()},\n{VERDICTS.strip()},\n{MARTS.strip()}\n{body}"
@@ -757,4 +794,5 @@ def expected_sql() -> dict[str, str]:
     changed = {name: _after_changes(body) for name, body in CHANGED_BODIES.items()}
     history = {name: f"with {HISTORY.strip()}\n{body.strip()}" for name, body in HISTORY_BODIES.items()}
     rates = {name: f"with {RAW.strip()},\n{RATES.strip()}\n{body.strip()}" for name, body in RATE_BODIES.items()}
-    return {name: statement(body) for name, body in BODIES.items()} | changed | history | rates
+    broken = {f"broken_{name}": _on_broken(BODIES[name], UNBROKEN.get(name, {})) for name in SILENT_CHECKS}
+    return {name: statement(body) for name, body in BODIES.items()} | changed | history | rates | broken
