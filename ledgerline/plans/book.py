@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import month_of
 from ledgerline.functions.text import clean_label
-from ledgerline.operators.history import VALID_FROM, VALID_TO, intervals
+from ledgerline.operators.history import VALID_FROM, VALID_TO, advance, intervals
 from ledgerline.schemas import MART_MONEY
+from ledgerline.sources.versions import Change, current_version
 
+#: Names of parts of a kept history.
+OPEN, CLOSED = "open", "closed-"
 TRACKED = ["customer_id", "plan_name", "monthly_price", "status"]
 
 
@@ -18,8 +23,52 @@ def subscription_history(snapshots: DataFrame) -> DataFrame:
 
     ``snapshots`` has ``snapshot_date`` beside the raw columns. Labels are cleaned first, so that another spelling is no change.
     """
-    cleaned = snapshots.withColumns({c: clean_label(F.col(c)) for c in ("plan_name", "status")})
-    return intervals(cleaned, "subscription_id", "snapshot_date", TRACKED)
+    return intervals(_cleaned(snapshots), "subscription_id", "snapshot_date", TRACKED)
+
+
+def _cleaned(snapshots: DataFrame) -> DataFrame:
+    return snapshots.withColumns({c: clean_label(F.col(c)) for c in ("plan_name", "status")})
+
+
+class SnapshotTooOld(Exception):
+    """A snapshot of a day before the last one that was added."""
+
+
+class HistoryStore:
+    """The history kept up to date by daily snapshots.
+
+    Open intervals are one part and closed ones are parts by the month they ended in. A snapshot is joined with the open
+    ones alone; it writes these and the month of its day, whatever has gone before stays as it is.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+
+    def add(self, day: date, snapshot: DataFrame) -> list[str]:
+        """Take the raw subscriptions of a day, and return the parts written.
+
+        A day that was added before changes nothing; one before the last is an error, as intervals after it are closed.
+        """
+        change = Change(self.spark, self.root)
+        days = change.now.parts("days")
+        if str(day) in days:
+            return []
+        if days and str(day) < max(days):
+            raise SnapshotTooOld(f"{day} is before {max(days)}")
+        cleaned = _cleaned(snapshot)
+        kinds = dict(cleaned.select("subscription_id", *TRACKED).dtypes)
+        schema = self.spark.createDataFrame([], ", ".join(f"{c} {k}" for c, k in {**kinds, VALID_FROM: "date", VALID_TO: "date"}.items())).schema
+        held = change.now.read("history", [OPEN], schema)
+        closed = f"{CLOSED}{day:%Y-%m}"
+        rows = advance(held, cleaned, F.lit(day), "subscription_id", TRACKED).unionByName(change.now.read("history", [closed], schema))
+        part = F.when(F.col(VALID_TO).isNull(), OPEN).otherwise(F.concat(F.lit(CLOSED), F.date_format(VALID_TO, "yyyy-MM")))
+        written = change.replace("history", rows, part, [OPEN, closed])
+        change.replace("days", self.spark.createDataFrame([(day,)], "day date"), F.col("day"), [str(day)])
+        change.commit()
+        return written
+
+    def history(self) -> DataFrame:
+        return current_version(self.spark, self.root).read("history")
 
 
 def _next_start(day: Column) -> Column:

@@ -165,6 +165,17 @@ def _paid_amount_sketches(b: Billing) -> DataFrame:
     return exact.select(*by, F.col("rows").alias("invoices"), reduce(lambda x, y: x & y, near).alias("quartiles_hold"))
 
 
+def _history_by_snapshot(b: Billing) -> DataFrame:
+    """The history after the snapshots were added day by day, some of them twice."""
+    snapshots = b.table("raw", "subscription_snapshots")
+    spark = snapshots.sparkSession
+    store = book.HistoryStore(spark, f"{shared_folder(spark)}/history/{uuid4().hex}")
+    days = sorted(r.snapshot_date for r in snapshots.select("snapshot_date").distinct().collect())  # one row a snapshot
+    for day in (*days, days[-1]):
+        store.add(day, snapshots.where(F.col("snapshot_date") == day))
+    return store.history()
+
+
 def _priced(b: Billing) -> DataFrame:
     return dated_rates.priced_by_day(b.table("raw", "invoices"), b.table("raw", "exchange_rates"), CONFIG, max_age_days=30)
 
@@ -281,6 +292,7 @@ QUERIES: dict[str, Query] = {
     "paid_amount_sketches": _paid_amount_sketches,
     # history and dated rates
     "subscription_history": lambda b: book.subscription_history(b.table("raw", "subscription_snapshots")),
+    "subscription_history_by_snapshot": _history_by_snapshot,
     "book_mrr_monthly": lambda b: book.book_mrr_monthly(
         book.subscription_history(b.table("raw", "subscription_snapshots")), month_of(F.lit(CONFIG.as_of))
     ),

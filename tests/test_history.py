@@ -4,11 +4,13 @@ import random
 from datetime import date, timedelta
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators.history import advance, intervals, one_per_day
 from ledgerline.operators.lineage import cut_lineage
-from ledgerline.plans.book import TRACKED, book_mrr_monthly, subscription_history
+from ledgerline.plans.book import TRACKED, HistoryStore, SnapshotTooOld, book_mrr_monthly, subscription_history
+from ledgerline.sources.versions import current_version
 
 COLUMNS = ["plan", "price"]
 SCHEMA = "id string, day date, plan string, price int"
@@ -104,3 +106,29 @@ def test_book_against_every_month(spark):
         assert r.book_mrr_eur == before + r.gained_eur - r.lost_eur
         by_plan[r.plan_name] = r.book_mrr_eur
     assert len(got) == len({(r.plan_name, r.book_month) for r in got})
+
+
+def test_history_kept_by_daily_snapshots(spark, tmp_path):
+    random.seed(13)
+    days = [date(2024, 1, 1) + timedelta(20 * s) for s in range(6)]
+    rows = [(f"S{k}", "C1", random.choice(["growth", "Growth ", "scale"]), Decimal(random.choice([29, 99])), "active", d) for k in range(15) for d in days if random.random() < 0.8]
+    frame = spark.createDataFrame([*rows, (None, "C", "scale", None, "active", days[0])], "subscription_id string, customer_id string, plan_name string, monthly_price decimal(12,2), status string, snapshot_date date").cache()
+    store = HistoryStore(spark, str(tmp_path))
+    on = lambda day: frame.where(F.col("snapshot_date") == day)
+    for k, day in enumerate(days):
+        before = current_version(spark, str(tmp_path))
+        written = store.add(day, on(day))
+        assert set(written) <= {"open", f"closed-{day:%Y-%m}"}
+        after = current_version(spark, str(tmp_path))
+        assert all(after.tables["history"].parts[p] == before.tables["history"].parts[p] for p in before.parts("history") if p not in ("open", f"closed-{day:%Y-%m}"))
+        assert after.number == k + 1
+    columns = ["subscription_id", *TRACKED, "valid_from", "valid_to"]
+    assert collected(store.history().select(columns)) == collected(subscription_history(frame).select(columns))
+    assert store.add(days[2], on(days[2])) == []
+    with pytest.raises(SnapshotTooOld):
+        store.add(days[0] + timedelta(1), on(days[0]))
+    assert current_version(spark, str(tmp_path)).number == len(days)
+    # A day without subscriptions closes all that is open.
+    store.add(days[-1] + timedelta(5), frame.limit(0))
+    assert store.history().where("valid_to IS NULL").count() == 0
+    frame.unpersist()

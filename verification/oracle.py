@@ -725,6 +725,7 @@ priced as (
 
 HISTORY_BODIES: dict[str, str] = {
     "subscription_history": "select * from history",
+    "subscription_history_by_snapshot": "select * from history",
     "book_mrr_monthly": """
         , begun as (
           select plan_name, monthly_price, cast(date_trunc('month', valid_from + interval 1 month - interval 1 day) as date) as low,
