@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import month_of
 from ledgerline.functions.text import clean_label
+from ledgerline.plans import descriptions
 from ledgerline.schemas import MART_MONEY
 
 
@@ -38,10 +39,7 @@ DESCRIPTIONS: dict[str, dict[str, str]] = {
 
 def described(mart: str, rows: DataFrame) -> DataFrame:
     """The mart with its column comments, which travel with the table."""
-    comments = DESCRIPTIONS[mart]
-    return rows.select(
-        *[F.col(c).alias(c, metadata={"comment": comments[c]}) for c in rows.columns]
-    )
+    return descriptions.described(rows, DESCRIPTIONS[mart])
 
 
 def paid_invoices(classified_invoices: DataFrame) -> DataFrame:

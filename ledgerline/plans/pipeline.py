@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.config import BillingConfig
-from ledgerline.plans import checks, quarantine, spikes, staging
+from ledgerline.plans import checks, descriptions, quarantine, spikes, staging
 from ledgerline.plans.billing import ENTITIES, MARTS, Billing, Loader
 from ledgerline.plans.marts import described
 from ledgerline.schemas import RAW
@@ -42,7 +42,7 @@ class ChecksFailed(Exception):
 
 def load_raw(refresh: Refresh, source: Loader) -> dict[str, DataFrame]:
     """Copy the source tables unchanged; row counts that do not agree are an error."""
-    loaded = {name: refresh.write(name, conform(source(name), RAW[name])) for name in ENTITIES}
+    loaded = {name: refresh.write(name, descriptions.described(conform(source(name), RAW[name]), descriptions.RAW[name])) for name in ENTITIES}
     counts = reconcile_counts(
         row_counts({name: source(name) for name in ENTITIES}), row_counts(loaded)
     )
@@ -60,12 +60,13 @@ def publish_layers(spark: SparkSession, config: BillingConfig) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace_of(layer)}")
     for name in ENTITIES:
         views = {
-            "staging": (staging.columns(name, config), staging.CONDITION),
-            "quarantine": (quarantine.columns(name), quarantine.CONDITION),
+            "staging": (staging.columns(name, config), staging.CONDITION, descriptions.STAGING[name]),
+            "quarantine": (quarantine.columns(name), quarantine.CONDITION, descriptions.QUARANTINE[name]),
         }
-        for layer, (columns, condition) in views.items():
+        for layer, (columns, condition, comments) in views.items():
+            named = descriptions.view_columns([c.split(" AS ")[-1] for c in columns], comments)
             spark.sql(
-                f"CREATE OR REPLACE VIEW {namespace_of(layer)}.{name} AS SELECT {', '.join(columns)}"
+                f"CREATE OR REPLACE VIEW {namespace_of(layer)}.{name} ({named}) AS SELECT {', '.join(columns)}"
                 f" FROM {namespace_of('classified')}.{name} WHERE {condition}"
             )
 

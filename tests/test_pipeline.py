@@ -55,6 +55,9 @@ def test_full_run_and_second_refresh(spark, tmp_path):
     assert spark.table("marts.churn_monthly").first().mrr_lost_eur == Decimal("99.00")
     comments = {c.name: c.description for c in spark.catalog.listColumns("marts.churn_monthly")}
     assert "list prices" in comments["mrr_lost_eur"]
+    for layer in ("raw", "staging", "quarantine"):
+        for name in ROWS:
+            assert all(c.description for c in spark.catalog.listColumns(f"{layer}.{name}")), (layer, name)
     assert spark.table("raw.invoices").count() == 8
     assert spark.table("staging_invoices").count() == 4
     scan = spark.table("staging_invoices").select("invoice_id")
@@ -66,7 +69,7 @@ def test_full_run_and_second_refresh(spark, tmp_path):
     for layer in ("staging", "quarantine"):
         for name in ROWS:
             view = session.table(f"{layer}.{name}")
-            assert view.schema == spark.table(f"{layer}_{name}").schema
+            assert view.schema.simpleString() == spark.table(f"{layer}_{name}").schema.simpleString()
             assert sorted(view.collect(), key=str) == sorted(spark.table(f"{layer}_{name}").collect(), key=str)
     assert spark.table("audit.raw_amounts_sane").count() == 2
 
