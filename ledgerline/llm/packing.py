@@ -14,6 +14,7 @@ import zlib
 from collections import deque
 from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,9 @@ from pyspark.sql import DataFrame
 #: Remainders in the pool when sequences are formed, and those left in it then.
 POOL_FULL, POOL_LEFT = 4096, 1024
 #: Words in each of the two generations of a worker's cache, and words that a task has at hand.
-CACHED_WORDS, WORDS_AT_HAND = 500_000, 200_000
+CACHED_WORDS, WORDS_AT_HAND = 500_000, 500_000
+#: Words of letters that are encoded as one text.
+LETTERS_AT_ONCE = 4096
 
 #: Python takes these for white space, the vocabulary does not.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
@@ -37,6 +40,11 @@ def vocabulary_words(text: str) -> list[str]:
     return WORD.findall(text) if any(c in text for c in SEPARATORS) else text.split()
 
 
+def of_letters(word: str) -> bool:
+    """Latin-1 letters alone: these stay letters when the vocabulary normalises them, and are one word of it."""
+    return word.isalpha() and (word.isascii() or max(word) <= "\xff")
+
+
 @cache
 def word_encoder(path: str) -> Callable[[list[str]], dict[str, bytes]]:
     """A function from distinct words to their ids, 32 bits each; its cache lives as long as the worker.
@@ -54,6 +62,21 @@ def word_encoder(path: str) -> Callable[[list[str]], dict[str, bytes]]:
     def encode(parts: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.uint32).tobytes() for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
+    # Tokens that end a word of the vocabulary.
+    names = tokenizer.get_vocab(with_added_tokens=True)
+    ends = np.zeros(max(names.values()) + 1, bool)
+    ends[[i for name, i in names.items() if name.endswith("</w>")]] = True
+
+    def encode_letters(parts: list[str]) -> list[bytes]:
+        """Parts of letters alone are one word of the vocabulary each: many are encoded as one text and told apart by the ends of words."""
+        found: list[bytes] = []
+        for at in range(0, len(parts), LETTERS_AT_ONCE):
+            some = parts[at : at + LETTERS_AT_ONCE]
+            ids = np.array(tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
+            data, cuts = ids.tobytes(), [0, *(4 * np.flatnonzero(ends[ids]) + 4).tolist()]
+            found += [data[i:j] for i, j in pairwise(cuts)] if len(cuts) == len(some) + 1 else encode(some)
+        return found
+
     def learn(found: list[str]) -> dict[str, bytes]:
         """Letters are encoded once whatever punctuation follows them."""
         young, old = caches
@@ -61,7 +84,7 @@ def word_encoder(path: str) -> Callable[[list[str]], dict[str, bytes]]:
         split = []
         for word in found:
             core = word.rstrip(tail)
-            if core is not word and core.isalpha() and (core.isascii() or max(core) <= "\xff"):
+            if core is not word and of_letters(core):
                 split.append((word, core.lower() if core.isascii() else core, word[len(core) :]))
             else:
                 split.append((word, word.lower() if word.isascii() and word.isalpha() else word, ""))
@@ -73,7 +96,11 @@ def word_encoder(path: str) -> Callable[[list[str]], dict[str, bytes]]:
                 need.append(part)
             else:
                 known[part] = ids
-        known.update(zip(need, encode(need), strict=True))
+        letters, other = [], []
+        for part in need:
+            (letters if of_letters(part) else other).append(part)
+        known.update(zip(letters, encode_letters(letters), strict=True))
+        known.update(zip(other, encode(other), strict=True))
         if len(young) + len(known) > CACHED_WORDS:
             caches[0], caches[1] = young, old = {}, young
         young.update(known)

@@ -38,7 +38,6 @@ RULES = (
 LISTED_LABELS = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 
 
-
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Host with A-Z in lower case and path; both empty for null or where there is no ://."""
     has = F.coalesce(F.instr(url, "://") > 0, F.lit(False))
@@ -50,13 +49,14 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 def canonical(url: Column) -> Column:
     """Host without www., m. or blog. and default port, path without index page, .html and trailing slash,
-    query without tracking parameters in order of its parts; no scheme and no fragment."""
+    query without tracking parameters in order of its parts; no scheme and no fragment. Empty where there is no ://."""
     host, path = host_and_path(url)
     host = F.regexp_replace(F.regexp_replace(host, r":(80|443)$", ""), r"^(www|m|blog)\.", "")
     path = F.regexp_replace(F.regexp_replace(path, r"(/index)?(\.html?)$", ""), r"/+$", "")
     query = F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
     parts = F.array_sort(F.filter(F.split(query, "&"), lambda p: (p != "") & ~p.rlike(r"^(utm_[a-z]+|ref|fbclid|gclid)=")))
-    return F.concat(host, path, F.when(F.size(parts) > 0, F.concat(F.lit("?"), F.array_join(parts, "&"))).otherwise(""))
+    found = F.concat(host, path, F.when(F.size(parts) > 0, F.concat(F.lit("?"), F.array_join(parts, "&"))).otherwise(""))
+    return F.when(F.coalesce(F.instr(url, "://") > 0, F.lit(False)), found).otherwise("")
 
 
 def rule_of(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) -> Column:

@@ -295,3 +295,24 @@ def test_training_rows_are_bounded_though_an_id_has_many_texts(spark, make_docum
     told = spark.createDataFrame([(i, i % 2) for i in [*range(8), *range(400, 420)]], "doc_id long, quality long")
     ids = told.where(~quality_model.is_held_out(F.col("doc_id"))).count()
     assert quality_model.train(documents, told)[quality_model.FEATURES] == ids
+
+
+def test_words_encoded_together_have_their_own_ids():
+    from tokenizers import Tokenizer
+
+    random.seed(21)
+    path = vocabulary_path()
+    tokenizer = Tokenizer.from_file(path)
+    letters = "abcXYZéÀßªºµÿÿ"
+    made = ["".join(random.choices(letters, k=random.randint(1, 12))) + random.choice(["", "", ".", "!?", "'s", "ü", "İ", "7"]) for _ in range(9000)]
+    made += ["µ", "ª", "ß", "<|endoftext|>", "a<|endoftext|>b", "SALİ,", "don't", "x" * 5000]
+    found = packing.word_encoder(path)(list(dict.fromkeys(made)))
+    for word in made:
+        assert np.frombuffer(found[word], np.uint32).tolist() == tokenizer.encode(word, add_special_tokens=False).ids, word
+
+
+def test_a_url_without_a_scheme_is_no_listed_one(spark):
+    pages = spark.createDataFrame([(1, "foo?x=1"), (2, "http://h.org/a?x=1"), (3, "?x=1"), (4, None)], "page_id long, url string")
+    listed = spark.createDataFrame([("bar?x=1",), ("https://www.h.org/a/?utm_s=2&x=1",), (None,), ("",), ("x",)], "url string")
+    got = {r.page_id: r.verdict for r in url_filter.filter_urls(pages, listed).collect()}
+    assert got == {1: "allow", 2: "block", 3: "allow", 4: "allow"}
