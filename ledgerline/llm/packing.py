@@ -9,6 +9,7 @@ shuffled and a lost task is repeated alone.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections import deque
@@ -53,6 +54,8 @@ def word_encoder(path: str) -> Callable[[list[str]], dict[str, bytes]]:
     its words, and a word of Latin-1 letters with punctuation behind it those of both parts: these letters
     stay letters when the vocabulary normalises them. Others may turn into a letter and a mark, which joins the punctuation.
     """
+    # A task has one core; threads of the library would only wait for each other.
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -84,13 +87,12 @@ def word_encoder(path: str) -> Callable[[list[str]], dict[str, bytes]]:
         split = []
         for word in found:
             core = word.rstrip(tail)
-            if core is not word and of_letters(core):
+            if of_letters(core):
                 split.append((word, core.lower() if core.isascii() else core, word[len(core) :]))
             else:
-                split.append((word, word.lower() if word.isascii() and word.isalpha() else word, ""))
-        wanted = {part for _, core, end in split for part in (core, end) if part}
+                split.append((word, word, ""))
         need = []
-        for part in wanted:
+        for part in {core for _, core, _ in split}.union(end for _, _, end in split if end):
             ids = young.get(part) or old.get(part)
             if ids is None:
                 need.append(part)
@@ -193,12 +195,13 @@ def pack_documents(documents: DataFrame, vocabulary: str, capacity: int = 2048,
             ids_of, known = batch.column(0).to_pylist(), {}
             for at in range(0, batch.num_rows, 64):
                 texts = [vocabulary_words(t or "") for t in batch.column(1).slice(at, 64).to_pylist()]
-                new = {w for words in texts for w in words if w not in known}
+                met = set().union(*texts)
+                new = met.difference(known)
                 if len(known) + len(new) > WORDS_AT_HAND:
-                    known, new = {}, {w for words in texts for w in words}
+                    known, new = {}, met
                 known.update(learn(list(new)))
                 for k, words in enumerate(texts):
-                    ids = b"".join([known[w] for w in words]) + end
+                    ids = b"".join(map(known.__getitem__, words)) + end
                     n = len(ids) // 4
                     for start in range(0, n, capacity):
                         length = min(capacity, n - start)
