@@ -17,7 +17,8 @@ p / 100 differ in at most H = (100 - p)(r + s) / (100 + p) shingles.
   |x - y| = |D(x)| + |D(y)| - 2 |D(x) and D(y)|. If |D(x)| + |D(y)| is within the bound, both are linked
   to b. Otherwise D(x) and D(y) share at least o = (|D(x)| + |D(y)| - H) / 2 elements, so they meet in a
   prefix of |D| - o + 1 elements, taken with added shingles first. Only members that are not linked
-  to b start such pairs. A group of copies thus costs rows in proportion to its size, and no link
+  to b start such pairs. Members of a key that few share need no meetings: those that are not linked to a hub are
+  paired with the others of the key. A group of copies thus costs rows in proportion to its size, and no link
   that joins two components is lost.
 * Every candidate is verified on the whole sets.
 """
@@ -41,6 +42,8 @@ from ledgerline.llm.workspace import keep
 
 #: A shingle of an unrelated set is expected to be the same once in so many.
 DIVERSITY = 200.0
+#: A key of so many members or less gives its pairs, a larger one goes by its hub alone.
+FEW = 4
 
 
 @dataclass(frozen=True)
@@ -291,13 +294,14 @@ def ngram_jaccard_join(documents: DataFrame, size: int = 5, percent: int = 80, d
     whole = keep(shingle_sets(rows, "text", size, ["doc_id"]).select("set_id", "shingles").dropDuplicates(["set_id"]))
     stars = keep(_verified(pairs, whole, percent))
     open_hubs = stars.where(~F.col("linked")).select("hub").distinct()
-    # Members that meet nobody but the hub at their keys have no other pair to look for.
-    members = stars.where("shared > 2").join(open_hubs, "hub")
+    # At keys of FEW members or less the pairs themselves are fewer than a member's meetings.
+    members = stars.where(F.col("shared") > FEW).join(open_hubs, "hub")
     members = members.join(whole, "set_id").join(whole.select(F.col("set_id").alias("hub"), F.col("shingles").alias("hub_shingles")), "hub")
     meetings = keep(_difference_rows(members, percent))
     u = meetings.where("starts").select("meeting", F.col("set_id").alias("u"))
     v = meetings.where(~F.col("starts")).select("meeting", F.col("set_id").alias("v"))
-    rest = u.join(v, "meeting").where("u <> v").select(F.least("u", "v").alias("set_id"), F.greatest("u", "v").alias("hub")).distinct()
+    met = u.join(v, "meeting").select("u", "v").unionByName(_pairs_of_few(index, stars)).where("u <> v")
+    rest = met.select(F.least("u", "v").alias("set_id"), F.greatest("u", "v").alias("hub")).distinct()
     links = stars.where("linked").select("set_id", "hub").unionByName(_verified(rest, whole, percent).where("linked").select("set_id", "hub"))
     return sets, keep(links.distinct())
 
@@ -314,6 +318,18 @@ def _hub_pairs(index: DataFrame) -> DataFrame:
     return pairs.groupBy("set_id", "hub").agg(F.max("shared").alias("shared"))
 
 
+def _pairs_of_few(index: DataFrame, stars: DataFrame) -> DataFrame:
+    """(u, v): members u that are not linked to a hub with the others of each key of 3 to FEW members that they share with it.
+
+    Two that are both linked to the hub need no pair of their own. A key has FEW times FEW pairs at most.
+    """
+    few = index.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n").between(3, FEW)).select("key")
+    rows = index.join(few, "key")
+    unlinked = stars.where(~F.col("linked")).select(F.col("set_id").alias("u")).distinct()
+    u = rows.select("key", F.col("set_id").alias("u")).join(unlinked, "u", "left_semi")
+    return u.join(rows.select("key", F.col("set_id").alias("v")), "key").select("u", "v")
+
+
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the smallest doc_id that links reach).
 
