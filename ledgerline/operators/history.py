@@ -29,6 +29,11 @@ def one_per_day(snapshots: DataFrame, key: str, day: str, columns: Sequence[str]
     return kept.select(key, day, *[F.col(f"kept.{c}").alias(c) for c in columns])
 
 
+def one_per_key(snapshot: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """``one_per_day`` of a single day. Grouped by the key alone, so a join by key needs no other shuffle or sort."""
+    return snapshot.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(_values(columns)).alias("now"))
+
+
 def intervals(snapshots: DataFrame, key: str, day: str, columns: Sequence[str]) -> DataFrame:
     """Key, ``columns``, valid_from and valid_to over all snapshots.
 
@@ -58,7 +63,7 @@ def advance(history: DataFrame, snapshot: DataFrame, day: Column, key: str, colu
     Closed intervals are passed through; open ones and the snapshot have one row a key and are joined once. The result
     is that of ``intervals`` over all snapshots, if none was without any row.
     """
-    now = one_per_day(snapshot.withColumn("_day", day), key, "_day", columns).select(F.col(key).alias("now_key"), _values(columns).alias("now"))
+    now = one_per_key(snapshot.where(day.isNotNull()), key, columns).select(F.col(key).alias("now_key"), "now")
     open_ones = history.where(F.col(VALID_TO).isNull()).select(key, _values(columns).alias("then"), VALID_FROM)
     met = open_ones.join(now, F.col(key) == F.col("now_key"), "full_outer")
     same = F.col(key).isNotNull() & F.col("now_key").isNotNull() & F.col("then").eqNullSafe(F.col("now"))

@@ -62,7 +62,8 @@ class HistoryStore:
         closed = f"{CLOSED}{day:%Y-%m}"
         rows = advance(held, cleaned, F.lit(day), "subscription_id", TRACKED).unionByName(change.now.read("history", [closed], schema))
         part = F.when(F.col(VALID_TO).isNull(), OPEN).otherwise(F.concat(F.lit(CLOSED), F.date_format(VALID_TO, "yyyy-MM")))
-        written = change.replace("history", rows, part, [OPEN, closed])
+        # Two parts, one of them nearly all rows: each task of the join writes its rows of both.
+        written = change.replace("history", rows, part, [OPEN, closed], dealt=True)
         change.replace("days", self.spark.createDataFrame([(day,)], "day date"), F.col("day"), [str(day)])
         change.commit()
         return written

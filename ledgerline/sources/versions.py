@@ -158,10 +158,11 @@ class Change:
         """The tables as this change leaves them so far."""
         return Version(self.spark, self.root, self.base.number + 1, self.tables)
 
-    def replace(self, table: str, rows: DataFrame, part: Column | None = None, touched: Iterable[str] | None = None) -> list[str]:
+    def replace(self, table: str, rows: DataFrame, part: Column | None = None, touched: Iterable[str] | None = None, dealt: bool = False) -> list[str]:
         """Write the parts of ``rows`` and return them. ``touched`` parts without a row go; None stands for all parts.
 
-        Rows are dealt out by their part, a large part to several tasks and small ones together. A column whose
+        Rows are dealt out by their part, a large part to several tasks and small ones together. ``dealt`` rows are so
+        already, or there are few parts: every task writes those it holds, without another shuffle. A column whose
         type cannot be widened to the one given is an error, and nothing is written then.
         """
         held = self.tables.get(table, Table())
@@ -174,7 +175,7 @@ class Change:
             written = [WHOLE]
         else:
             named = rows.withColumn("_part", F.coalesce(part.cast("string"), F.lit(NO_VALUE)))
-            named.hint("rebalance", "_part").write.partitionBy("_part").parquet(f"{self.root}/{folder}")
+            (named if dealt else named.hint("rebalance", "_part")).write.partitionBy("_part").parquet(f"{self.root}/{folder}")
             # Reads the names of folders alone: one row for each part.
             written = self._written(folder)
         for gone in list(held.parts) if touched is None else touched:

@@ -132,3 +132,19 @@ def test_history_kept_by_daily_snapshots(spark, tmp_path):
     store.add(days[-1] + timedelta(5), frame.limit(0))
     assert store.history().where("valid_to IS NULL").count() == 0
     frame.unpersist()
+
+
+def test_a_snapshot_is_shuffled_once_and_written_by_all_tasks(spark, tmp_path, settings):
+    """The open part holds nearly all rows; one part is no reason for one task."""
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__coalescePartitions__enabled="false")
+    rows = spark.range(0, 2_000, 1, 2).selectExpr("concat('S', id) AS subscription_id", "'C1' AS customer_id", "'growth' AS plan_name", "cast(id AS decimal(12,2)) AS monthly_price", "'active' AS status")
+    store = HistoryStore(spark, str(tmp_path))
+    for day in (date(2024, 1, 1), date(2024, 1, 2)):
+        store.add(day, rows)
+    folder, _ = current_version(spark, str(tmp_path)).tables["history"].parts["open"]
+    assert len(list((tmp_path / folder).glob("*.parquet"))) == 4
+    assert store.history().where("valid_to IS NULL AND valid_from = date'2024-01-01'").count() == 2_000
+    held = store.history()
+    after = advance(held, rows, F.lit(date(2024, 1, 3)), "subscription_id", TRACKED)
+    plan = after._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
