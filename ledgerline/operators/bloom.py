@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 # Words of 64 bits: 4 MB with their numbers, however many keys there are. Where there are more than it can tell
 # apart, more rows pass.
 WORDS = 1 << 18
+#: Most words of a filter that is told to all tasks, 16 MB.
+MOST_WORDS = 1 << 20
+
+
+def words_for(keys: int) -> int:
+    """Words for that many keys, 16 bits each, as a power of two."""
+    return min(max(1 << 10, 1 << (keys // 4).bit_length()), MOST_WORDS)
 
 
 def _word_and_bits(key: str, words: int) -> tuple[Column, Column]:
@@ -25,5 +32,14 @@ def bloom_words(keys: DataFrame, key: str, words: int = WORDS) -> DataFrame:
 
 def may_be_among(df: DataFrame, key: str, filter_words: DataFrame, words: int = WORDS) -> DataFrame:
     """Rows whose key passes the filter: all of its keys, and some others. ``df`` is not shuffled."""
+    return _compared(df, key, filter_words, words, "left_semi")
+
+
+def surely_not_among(df: DataFrame, key: str, filter_words: DataFrame, words: int = WORDS) -> DataFrame:
+    """The rows that ``may_be_among`` leaves out, none of which has a key of the filter. ``df`` is not shuffled."""
+    return _compared(df, key, filter_words, words, "left_anti")
+
+
+def _compared(df: DataFrame, key: str, filter_words: DataFrame, words: int, how: str) -> DataFrame:
     word, bits = _word_and_bits(key, words)
-    return df.join(F.broadcast(filter_words), (word == F.col("word")) & (F.col("held").bitwiseAND(bits) == bits), "left_semi")
+    return df.join(F.broadcast(filter_words), (word == F.col("word")) & (F.col("held").bitwiseAND(bits) == bits), how)

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.operators.bloom import bloom_words, may_be_among, surely_not_among, words_for
+from ledgerline.operators.lineage import cut_lineage
+
 CHANGE_SEQ, IS_DELETED = "change_seq", "is_deleted"
 
 
@@ -45,11 +48,46 @@ def parts_of_keys(ledger: DataFrame, changes: DataFrame, key: str, part: str) ->
 def merge_changes(touched: DataFrame, changes: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """The touched parts of a ledger after the changes.
 
-    Rows of unchanged keys are passed through: they are compared with the changed keys alone, which is no shuffle
-    while those are small enough for Spark to broadcast. Only rows of changed keys are grouped.
+    Rows of unchanged keys are passed through: they are compared with a Bloom filter of the changed keys, which is no
+    shuffle however many those are. Only rows of changed keys are grouped.
     """
-    keys = _keys(changes, key)
-    same = F.col(key).eqNullSafe(F.col("changed_key"))
-    kept = touched.join(keys, same, "left_anti").select(*columns)
-    old = touched.join(keys, same, "left_semi").select(*columns)
-    return kept.unionByName(latest_per_key(old.unionByName(changes.select(*columns)), key))
+    passed, beside, changed = merge_apart(touched, changes, ChangedKeys(changes, key), columns)
+    return passed.unionByName(beside).unionByName(changed)
+
+
+class ChangedKeys:
+    """The keys of a delivery, with a Bloom filter of them that is sized by their number.
+
+    A delivery too large for a broadcast would have every row of a ledger shuffled to be compared with it. The filter is
+    told to all tasks, and only rows that pass it are compared.
+    """
+
+    def __init__(self, changes: DataFrame, key: str):
+        self.keys, self.key = _keys(changes, key), key
+        self.words = words_for(changes.count())
+        self.filter = cut_lineage(bloom_words(changes, key, self.words))
+
+    def _same(self) -> Column:
+        return F.col(self.key).eqNullSafe(F.col("changed_key"))
+
+    def near(self, rows: DataFrame) -> DataFrame:
+        """All rows of the keys, and a few others."""
+        return may_be_among(rows, self.key, self.filter, self.words)
+
+    def others(self, rows: DataFrame) -> DataFrame:
+        """The rows that ``near`` leaves out: they are not shuffled."""
+        return surely_not_among(rows, self.key, self.filter, self.words)
+
+    def of(self, near: DataFrame) -> DataFrame:
+        return near.join(self.keys, self._same(), "left_semi")
+
+    def beside(self, near: DataFrame) -> DataFrame:
+        return near.join(self.keys, self._same(), "left_anti")
+
+
+def merge_apart(touched: DataFrame, changes: DataFrame, keys: ChangedKeys, columns: Sequence[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``merge_changes`` in three: rows passed on as they lie, a few that only the keys could tell apart, and those of changed keys."""
+    held = touched.select(*columns)
+    near = cut_lineage(keys.near(held))
+    changed = cut_lineage(latest_per_key(keys.of(near).unionByName(changes.select(*columns)), keys.key))
+    return keys.others(held), keys.beside(near), changed

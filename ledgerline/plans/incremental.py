@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ledgerline.config import BillingConfig
 from ledgerline.functions.dates import month_of
 from ledgerline.operators.lineage import cut_lineage
-from ledgerline.operators.merge import CHANGE_SEQ, IS_DELETED, as_changes, latest_per_key, live, merge_changes, parts_of_keys
+from ledgerline.operators.merge import CHANGE_SEQ, IS_DELETED, ChangedKeys, as_changes, latest_per_key, live, merge_apart, parts_of_keys
 from ledgerline.operators.quantiles import merged, quantiles, sketched
 from ledgerline.plans import check_state, classify, marts, staging
 from ledgerline.schemas import MART_MONEY, RAW, RAW_INVOICES
@@ -73,17 +73,19 @@ class IncrementalBilling:
 
         A key's highest change number stands, so changes may come in any order and again. Touched months are those
         of the changes and those that hold the changed invoices now, which may have another date. Without rows nothing happens.
+        Other rows of these months are passed on as they lie, in the ledger and classified; changed ones are classified.
         """
         changes = cut_lineage(latest_per_key(conform_changes(changes), KEY))
         change = Change(self.spark, self.root)
-        ledger = change.now.read("ledger", schema=CHANGES)
+        keys = ChangedKeys(changes, KEY)
+        ledger = keys.near(change.now.read("ledger", schema=CHANGES).select(KEY, "invoice_date"))
         months = changes.select(F.expr(MONTH).alias("part")).unionByName(parts_of_keys(ledger, changes, KEY, MONTH)).distinct()
         touched = _names(months)
         if not touched:
             return []
-        after = merge_changes(change.now.read("ledger", touched, CHANGES), changes, KEY, CHANGES.names)
-        change.replace("ledger", after, F.expr(MONTH), touched)
-        return self._rebuild(change, touched)
+        passed, beside, changed = merge_apart(change.now.read("ledger", touched, CHANGES), changes, keys, CHANGES.names)
+        change.replace("ledger", beside.unionByName(changed), F.expr(MONTH), touched, passed=passed)
+        return self._rebuild(change, touched, keys, changed)
 
     def replace_dimensions(self, customers: DataFrame, subscriptions: DataFrame) -> list[str]:
         """New full tables of customers and subscriptions: months with invoices of a changed subscription are classified again."""
@@ -111,12 +113,16 @@ class IncrementalBilling:
         staged = staging.stage_customers(change.now.read("customers"))
         change.replace("subscriptions", classify.classify_subscriptions(conform(subscriptions, RAW["subscriptions"]), staged))
 
-    def _rebuild(self, change: Change, touched: list[str] | None) -> list[str]:
-        """Classify and sum the touched months, all for None, and commit."""
+    def _rebuild(self, change: Change, touched: list[str] | None, keys: ChangedKeys | None = None, changed: DataFrame | None = None) -> list[str]:
+        """Classify and sum the touched months, all for None, and commit. With ``keys`` only their rows are classified, ``changed``."""
         now = change.now
         subscriptions = staging.stage_subscriptions(now.read("subscriptions"))
-        rows = classify.classify_invoices(live(now.read("ledger", touched, CHANGES)), subscriptions, self.config)
-        written = change.replace("classified", rows, F.expr(MONTH), touched)
+        ledger = now.read("ledger", touched, CHANGES) if keys is None else changed
+        rows, passed = classify.classify_invoices(live(ledger), subscriptions, self.config), None
+        if keys is not None:
+            held = now.read("classified", touched, rows.schema)
+            rows, passed = rows.unionByName(keys.beside(keys.near(held))), keys.others(held)
+        written = change.replace("classified", rows, F.expr(MONTH), touched, passed=passed)
         month = month_of(F.col("invoice_month"))
         change.replace("revenue", revenue_by_month(now.read("classified", touched, rows.schema)), month, touched)
         classified = now.read("classified", touched, rows.schema)

@@ -23,6 +23,8 @@ KEPT_VERSIONS = 3
 RECORD = "version long, table_name string, part string, folder string, fields string"
 #: Part of rows whose part column is NULL, and of a table that has one part only.
 NO_VALUE, WHOLE = "none", "all"
+#: Spark's folder of rows whose part is NULL.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 class ConcurrentChange(Exception):
@@ -158,11 +160,12 @@ class Change:
         """The tables as this change leaves them so far."""
         return Version(self.spark, self.root, self.base.number + 1, self.tables)
 
-    def replace(self, table: str, rows: DataFrame, part: Column | None = None, touched: Iterable[str] | None = None, dealt: bool = False) -> list[str]:
+    def replace(self, table: str, rows: DataFrame, part: Column | None = None, touched: Iterable[str] | None = None, dealt: bool = False, passed: DataFrame | None = None) -> list[str]:
         """Write the parts of ``rows`` and return them. ``touched`` parts without a row go; None stands for all parts.
 
         Rows are dealt out by their part, a large part to several tasks and small ones together. ``dealt`` rows are so
-        already, or there are few parts: every task writes those it holds, without another shuffle. A column whose
+        already, or there are few parts: every task writes those it holds, without another shuffle. So are the rows that
+        are ``passed`` on from files of parts, which are written beside the others. A column whose
         type cannot be widened to the one given is an error, and nothing is written then.
         """
         held = self.tables.get(table, Table())
@@ -174,13 +177,20 @@ class Change:
             rows.write.parquet(f"{self.root}/{folder}/_part={WHOLE}")
             written = [WHOLE]
         else:
-            named = rows.withColumn("_part", F.coalesce(part.cast("string"), F.lit(NO_VALUE)))
-            (named if dealt else named.hint("rebalance", "_part")).write.partitionBy("_part").parquet(f"{self.root}/{folder}")
+            # Days stay days: a task orders its rows by part, and numbers need no comparison of strings for that.
+            by_day = isinstance(rows.select(part).schema[0].dataType, T.DateType)
+            name = part if by_day else F.coalesce(part.cast("string"), F.lit(NO_VALUE))
+            named = rows.withColumn("_part", name)
+            named = named if dealt else named.hint("rebalance", "_part")
+            if passed is not None:
+                named = named.unionByName(passed.withColumn("_part", name))
+            named.write.partitionBy("_part").parquet(f"{self.root}/{folder}")
             # Reads the names of folders alone: one row for each part.
             written = self._written(folder)
         for gone in list(held.parts) if touched is None else touched:
             held.parts.pop(gone, None)
-        held.parts.update({p: (f"{folder}/_part={p}", rows.schema) for p in written})
+        named_so = {NO_VALUE: NULL_FOLDER} if part is not None and by_day else {}
+        held.parts.update({p: (f"{folder}/_part={named_so.get(p, p)}", rows.schema) for p in written})
         held.empty = rows.schema
         return sorted(written)
 
@@ -188,7 +198,8 @@ class Change:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}")
         files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         names = [s.getPath().getName() for s in files.listStatus(path)]
-        return [n.removeprefix("_part=") for n in names if n.startswith("_part=")]
+        parts = [n.removeprefix("_part=") for n in names if n.startswith("_part=")]
+        return [NO_VALUE if p == NULL_FOLDER else p for p in parts]
 
     def commit(self) -> Version:
         """Write the record of the new version: one small file, which appears at once."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from rows import CONFIG, billing, customer, invoice, raw_table, subscription
 
-from ledgerline.operators.merge import latest_per_key, merge_changes
+from ledgerline.operators.merge import ChangedKeys, latest_per_key, merge_changes
 from ledgerline.plans.incremental import CHANGES, IncrementalBilling
 from ledgerline.sources.versions import Change, ConcurrentChange, IncompatibleSchema, compare_schemas, current_version, expire
 from ledgerline.streaming.changes import apply_on_arrival
@@ -224,3 +224,31 @@ def test_random_changes(spark, tmp_path):
         for low in range(0, 18, 9):
             store.apply(changes(spark, changed[low : low + 9]))
         assert tables(store) == refreshed(spark, standing(base, changed))
+
+
+def test_a_delivery_too_large_for_a_broadcast_leaves_other_rows_where_they_are(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    touched = spark.range(5_000).selectExpr("IF(id = 0, NULL, cast(id as string)) as invoice_id", "cast(id as double) as amount", "0L as change_seq", "false as is_deleted")
+    many = spark.range(0, 9_000, 3).selectExpr("IF(id = 0, NULL, cast(id as string)) as invoice_id", "-1d as amount", "IF(id % 2 = 0, 1L, -1L) as change_seq", "false as is_deleted")
+    merged = merge_changes(touched, many, "invoice_id", touched.columns)
+    assert "LeftAnti, BuildRight" in merged._jdf.queryExecution().executedPlan().toString()
+    got = {r.invoice_id: r.amount for r in merged.collect()}
+    wanted = {str(i): -1.0 if i % 6 == 0 or i >= 5_000 else float(i) for i in [*range(5_000), *range(5_001, 9_000, 3)]}
+    wanted["None"] = wanted.pop("0")
+    assert {str(k): v for k, v in got.items()} == wanted and merged.count() == len(wanted)
+    # Two thirds of the rows have no changed key, and nearly all of them pass the filter by.
+    keys = ChangedKeys(many, "invoice_id")
+    assert keys.others(touched).count() > 3_000 and keys.of(keys.near(touched)).count() == 1_667
+
+
+def test_only_changed_invoices_are_classified_again(spark, tmp_path, monkeypatch):
+    from ledgerline.plans import classify
+
+    store = IncrementalBilling(spark, str(tmp_path), CONFIG)
+    store.load(frames(spark, BASE))
+    seen, whole = [], classify.classify_invoices
+    monkeypatch.setattr(classify, "classify_invoices", lambda rows, *rest: seen.append(rows.count()) or whole(rows, *rest))
+    store.apply(changes(spark, CHANGED[:1]))
+    monkeypatch.undo()
+    assert seen == [1]
+    assert tables(store) == refreshed(spark, standing(BASE, CHANGED[:1]))
