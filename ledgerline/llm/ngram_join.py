@@ -17,10 +17,14 @@ p / 100 differ in at most H = (100 - p)(r + s) / (100 + p) shingles.
   |x - y| = |D(x)| + |D(y)| - 2 |D(x) and D(y)|. If |D(x)| + |D(y)| is within the bound, both are linked
   to b. Otherwise D(x) and D(y) share at least o = (|D(x)| + |D(y)| - H) / 2 elements, so they meet in a
   prefix of |D| - o + 1 elements, taken with added shingles first. Only members that are not linked
-  to b start such pairs. Members of a key that few share need no meetings: those that are not linked to a hub are
+  to b start such pairs. Who can be linked with whom is known from |D| alone, so members come in buckets by hub and
+  bands of |D|. A bucket without a start or without a partner goes at once, one of few pairs for its members gives these pairs, and
+  only the rest meet by elements. Members of a key that few share need no buckets: those that are not linked to a hub are
   paired with the others of the key. A group of copies thus costs rows in proportion to its size, and no link
   that joins two components is lost.
-* Every candidate is verified on the whole sets.
+* A sketch of a set has the parity of the shingles in each of SKETCH_BITS places. Two sets differ in no fewer shingles than
+  their sketches in bits, so pairs whose sketches differ in more than H bits go before their sets are read.
+* Every other candidate is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -28,10 +32,12 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache, partial, reduce
+from operator import add, and_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -44,6 +50,11 @@ from ledgerline.llm.workspace import keep
 DIVERSITY = 200.0
 #: A key of so many members or less gives its pairs, a larger one goes by its hub alone.
 FEW = 4
+#: A bucket of at most so many pairs for each member gives them, a larger one lets its members meet.
+PAIRS = 32
+#: Bits of a sketch, in longs.
+SKETCH_BITS = 1024
+SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 
 
 @dataclass(frozen=True)
@@ -238,35 +249,102 @@ def prefixes(n: int, d: int, linked: bool, percent: int) -> list[tuple[str, int,
     return found
 
 
-def _difference_rows(members: DataFrame, percent: int) -> DataFrame:
-    """(meeting long, role, set_id) from members with their own and the hub's shingles."""
+def _bucket_rows(members: DataFrame, percent: int) -> DataFrame:
+    """(hub, i_band, j_band, starts, set_id, length) from members with n shingles and their distance from the hub: where each one starts pairs or is found."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = lru_cache(maxsize=1 << 16)(partial(prefixes, percent=percent))
         for batch in batches:
-            met, roles, ids = [], [], []
+            rows = []
+            for own, hub, linked, n, distance in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                rows += [(hub, i_band, j_band, role == "u", own, length) for role, i_band, j_band, length in found(n, distance, linked)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["hub", "i_band", "j_band", "starts", "set_id", "length"])
+
+    return members.select("set_id", "hub", "linked", "n", "distance").mapInArrow(run, "hub long, i_band long, j_band long, starts boolean, set_id long, length long")
+
+
+def _difference_rows(members: DataFrame) -> DataFrame:
+    """(meeting long, starts, set_id) from members with their own and the hub's shingles, and what they have in each bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            met, starts, ids = [], [], []
             for i in range(batch.num_rows):
-                own, hub, linked, x, b = (batch.column(k)[i] for k in range(5))
+                own, hub, places, x, b = (batch.column(k)[i] for k in range(5))
                 x, b = (np.asarray(s.values.to_numpy(zero_copy_only=False)).view(np.uint64) for s in (x, b))
                 order = np.concatenate([np.setdiff1d(x, b, True), np.setdiff1d(b, x, True)])
                 key = kernels.mix(order + np.uint64(hub.as_py() * 3 & (1 << 64) - 1))
-                for role, i_band, j_band, length in prefixes(len(x), len(order), linked.as_py(), percent):
-                    met.append(kernels.mix(key[:length] + np.uint64(i_band * 4096 + j_band + 1)))
-                    roles.append(np.full(length, role == "u"))
+                for place in places.as_py():
+                    length = place["length"]
+                    met.append(kernels.mix(key[:length] + np.uint64(place["i_band"] * 4096 + place["j_band"] + 1)))
+                    starts.append(np.full(length, place["starts"]))
                     ids.append(np.full(length, own.as_py(), np.int64))
             if met:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(met).view(np.int64)), pa.array(np.concatenate(roles)), pa.array(np.concatenate(ids))], ["meeting", "starts", "set_id"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(met).view(np.int64)), pa.array(np.concatenate(starts)), pa.array(np.concatenate(ids))], ["meeting", "starts", "set_id"])
+
+    return members.select("set_id", "hub", "places", "shingles", "hub_shingles").mapInArrow(run, "meeting long, starts boolean, set_id long")
+
+
+def sketches(sets: DataFrame) -> DataFrame:
+    """(set_id, n, s0, s1, ...): number of shingles, and parity of those in each place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 256):
+                part = batch.slice(first, 256)
+                lists = part.column(1)
+                bounds = lists.offsets.to_numpy().astype(np.int64)
+                of = np.repeat(np.arange(part.num_rows), np.diff(bounds))
+                hashes = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)[bounds[0] : bounds[-1]]
+                place = (kernels.mix(hashes) % np.uint64(SKETCH_BITS)).astype(np.int64)
+                odd = np.bincount(of * SKETCH_BITS + place, minlength=part.num_rows * SKETCH_BITS) & 1
+                bits = np.packbits(odd.astype(np.uint8).reshape(part.num_rows, SKETCH_BITS), axis=1).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(bounds)), *map(pa.array, bits.T.copy())], ["set_id", "n", *SKETCH])
+
+    return sets.select("set_id", "shingles").mapInArrow(run, "set_id long, n long, " + ", ".join(f"{s} long" for s in SKETCH))
+
 
-    return members.select("set_id", "hub", "linked", "shingles", "hub_shingles").mapInArrow(run, "meeting long, starts boolean, set_id long")
+def _sketched(rows: DataFrame, marks: DataFrame, column: str) -> DataFrame:
+    """`rows` with the sketch of the set in `column`."""
+    return rows.join(marks.select(F.col("set_id").alias(column), *[F.col(c).alias(f"{column}_{c}") for c in ("n", *SKETCH)]), column)
+
+
+def _maybe(x: str, y: str, percent: int) -> Column:
+    """Whether two sets can be linked, for all that their sketches tell."""
+    bits = reduce(add, [F.bit_count(F.col(f"{x}_{s}").bitwiseXOR(F.col(f"{y}_{s}"))) for s in SKETCH])
+    return (100 + percent) * bits <= (100 - percent) * (F.col(f"{x}_n") + F.col(f"{y}_n"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """pairs (set_id, hub) with whether they are linked."""
+    """pairs (set_id, hub) with the size of the first, in how many shingles they differ, and whether they are linked."""
     x = sets.select("set_id", F.col("shingles").alias("x"))
     y = sets.select(F.col("set_id").alias("hub"), F.col("shingles").alias("y"))
     both = pairs.join(x, "set_id").join(y, "hub")
-    both = both.withColumn("common", F.size(F.array_intersect("x", "y"))).withColumn("n", F.size("x")).withColumn("m", F.size("y"))
+    both = both.withColumn("common", F.size(F.array_intersect("x", "y")).cast("long")).withColumn("n", F.size("x").cast("long")).withColumn("m", F.size("y"))
     union = F.col("n") + F.col("m") - F.col("common")
-    return both.select(*pairs.columns, (100 * F.col("common").cast("long") >= percent * union.cast("long")).alias("linked"))
+    return both.select(*pairs.columns, "n", (union - F.col("common")).alias("distance"), (100 * F.col("common") >= percent * union).alias("linked"))
+
+
+def _bucket_pairs(stars: DataFrame, whole: DataFrame, marks: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(u, v), twice: pairs of small buckets that their sketches leave open, and those that meet in large ones, repeated."""
+    open_hubs = stars.where(~F.col("linked")).select("hub").distinct()
+    # At keys of FEW members or less the pairs themselves are fewer.
+    members = stars.where(F.col("shared") > FEW).join(open_hubs, "hub")
+    bucket = ["hub", "i_band", "j_band"]
+    rows = keep(_bucket_rows(members, percent))
+    sizes = rows.groupBy(bucket).agg(F.count_if("starts").alias("us"), F.count_if(~F.col("starts")).alias("vs"), F.min("set_id").alias("one"), F.max("set_id").alias("other"))
+    sizes = sizes.where("us > 0 and vs > 0 and one <> other").select(*bucket, F.xxhash64(*bucket).alias("h"), (F.col("us") * F.col("vs") <= PAIRS * (F.col("us") + F.col("vs"))).alias("small"))
+    rows = keep(rows.withColumn("h", F.xxhash64(*bucket)).join(sizes, [*bucket, "h"]).drop("h"))
+    u = _sketched(rows.where("small and starts").select(*bucket, F.col("set_id").alias("u")), marks, "u")
+    v = _sketched(rows.where("small and not starts").select(*bucket, F.col("set_id").alias("v")), marks, "v")
+    same = reduce(and_, [u[c] == v[c] for c in bucket])
+    paired = u.join(v, same & (F.col("u") != F.col("v")) & _maybe("u", "v", percent)).select("u", "v")
+    places = rows.where("not small").groupBy("set_id", "hub").agg(F.collect_list(F.struct("i_band", "j_band", "starts", "length")).alias("places"))
+    places = places.join(whole, "set_id").join(whole.select(F.col("set_id").alias("hub"), F.col("shingles").alias("hub_shingles")), "hub")
+    meetings = keep(_difference_rows(places))
+    starting = meetings.where("starts").select("meeting", F.col("set_id").alias("u"))
+    return paired, starting.join(meetings.where("not starts").select("meeting", F.col("set_id").alias("v")), "meeting").where("u <> v").select("u", "v")
 
 
 def ngram_jaccard_join(documents: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -292,16 +370,18 @@ def ngram_jaccard_join(documents: DataFrame, size: int = 5, percent: int = 80, d
     first = first.join(found, "set_id", "left_semi").select("set_id", "one.*")
     rows = documents.join(first.select(F.col("doc_id").alias("d"), F.col("text_key").alias("k")), F.col("text_key").eqNullSafe(F.col("k")) & F.col("doc_id").eqNullSafe(F.col("d")), "left_semi")
     whole = keep(shingle_sets(rows, "text", size, ["doc_id"]).select("set_id", "shingles").dropDuplicates(["set_id"]))
-    stars = keep(_verified(pairs, whole, percent))
-    open_hubs = stars.where(~F.col("linked")).select("hub").distinct()
-    # At keys of FEW members or less the pairs themselves are fewer than a member's meetings.
-    members = stars.where(F.col("shared") > FEW).join(open_hubs, "hub")
-    members = members.join(whole, "set_id").join(whole.select(F.col("set_id").alias("hub"), F.col("shingles").alias("hub_shingles")), "hub")
-    meetings = keep(_difference_rows(members, percent))
-    u = meetings.where("starts").select("meeting", F.col("set_id").alias("u"))
-    v = meetings.where(~F.col("starts")).select("meeting", F.col("set_id").alias("v"))
-    met = u.join(v, "meeting").select("u", "v").unionByName(_pairs_of_few(index, stars)).where("u <> v")
-    rest = met.select(F.least("u", "v").alias("set_id"), F.greatest("u", "v").alias("hub")).distinct()
+    marks = keep(sketches(whole))
+    open_ = _sketched(_sketched(pairs, marks, "set_id"), marks, "hub").withColumn("maybe", _maybe("set_id", "hub", percent))
+    open_ = keep(open_.select(*pairs.columns, "maybe"))
+    # Distances from a hub are of use at larger keys only.
+    told = F.col("maybe") | (F.col("shared") > FEW)
+    none = F.lit(None).cast("long")
+    stars = keep(_verified(open_.where(told).drop("maybe"), whole, percent).unionByName(open_.where(~told).select(*pairs.columns, none.alias("n"), none.alias("distance"), F.lit(False).alias("linked"))))
+    paired, met = _bucket_pairs(stars, whole, marks, percent)
+    met = met.unionByName(_pairs_of_few(index, stars).where("u <> v"))
+    ends_of = [F.least("u", "v").alias("set_id"), F.greatest("u", "v").alias("hub")]
+    met = _sketched(_sketched(met.select(*ends_of).distinct(), marks, "set_id"), marks, "hub").where(_maybe("set_id", "hub", percent)).select("set_id", "hub")
+    rest = met.unionByName(paired.select(*ends_of)).distinct()
     links = stars.where("linked").select("set_id", "hub").unionByName(_verified(rest, whole, percent).where("linked").select("set_id", "hub"))
     return sets, keep(links.distinct())
 

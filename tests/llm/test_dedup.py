@@ -9,6 +9,7 @@ from ledgerline.llm import ngram_join, suffix_dedup
 from ledgerline.llm.components import components
 from ledgerline.llm.ngram_join import near_duplicates, one_of_each_group
 from ledgerline.llm.suffix_dedup import remove_repeats, whole_characters
+from ledgerline.llm.workspace import keep
 from tests.llm import brute
 
 
@@ -106,3 +107,45 @@ def test_characters_stay_whole():
     assert whole_characters(data, [(0, 2)]) == [(0, 1)]
     assert whole_characters(data, [(2, 5)]) == [(3, 5)]
     assert whole_characters(data, [(2, 3)]) == []
+
+
+def far_copies(groups, members, words, edits):
+    """Groups of copies of a text, most of them changed too much to be linked."""
+    random.seed(groups)
+    texts = []
+    for g in range(groups):
+        base = [f"w{g}x{i}" for i in range(words)]
+        for k in range(members):
+            copy = list(base)
+            for _ in range(edits if k else 0):
+                copy[random.randrange(words)] = f"x{random.randrange(10**6)}"
+            texts.append(" ".join(copy))
+    return texts
+
+
+@pytest.mark.parametrize("pairs", [0, 2, 32])
+def test_small_and_large_buckets(make_documents, monkeypatch, pairs):
+    monkeypatch.setattr(ngram_join, "PAIRS", pairs)
+    monkeypatch.setattr(ngram_join, "FEW", 2)
+    texts = far_copies(2, 30, 60, 2) + far_copies(3, 12, 100, 6)
+    got = near_duplicates(make_documents(texts), 4, 85).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.components(list(enumerate(texts)), 4, 85)
+
+
+def test_members_without_a_partner_do_not_meet(make_documents, monkeypatch):
+    """Copies that are not linked to their hub cost a few rows each, not one for each shingle."""
+    kept = []
+    monkeypatch.setattr(ngram_join, "keep", lambda frame: kept.append(keep(frame)) or kept[-1])
+    texts = far_copies(6, 12, 300, 20)
+    near_duplicates(make_documents(texts), 4, 85).collect()
+    assert max(t.count() for t in kept if {"meeting", "starts"} & set(t.columns)) <= 12 * len(texts)
+
+
+def test_sketches_leave_no_linked_pair_out(make_documents):
+    texts = far_copies(4, 12, 80, 2) + far_copies(2, 12, 3, 1) + ["a"]
+    sets = keep(ngram_join.shingle_sets(make_documents(texts), "text", 4, ["doc_id"]).dropDuplicates(["set_id"]))
+    marks, pairs = ngram_join.sketches(sets), sets.select("set_id").crossJoin(sets.select(F.col("set_id").alias("hub"))).where("set_id <> hub")
+    both = ngram_join._verified(ngram_join._sketched(ngram_join._sketched(pairs, marks, "set_id"), marks, "hub"), sets, 85)
+    rows = [tuple(r) for r in both.select("linked", ngram_join._maybe("set_id", "hub", 85), "distance", "set_id_n").collect()]
+    assert all(maybe for linked, maybe, _, _ in rows if linked) and any(linked for linked, *_ in rows)
+    assert sum(maybe for linked, maybe, _, _ in rows if not linked) * 20 < len(rows)
