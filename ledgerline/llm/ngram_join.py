@@ -18,8 +18,8 @@ p / 100 differ in at most H = (100 - p)(r + s) / (100 + p) shingles.
   to b. Otherwise D(x) and D(y) share at least o = (|D(x)| + |D(y)| - H) / 2 elements, so they meet in a
   prefix of |D| - o + 1 elements, taken with added shingles first. Only members that are not linked
   to b start such pairs. Who can be linked with whom is known from |D| alone, so members come in buckets by hub and
-  bands of |D|. A bucket without a start or without a partner goes at once, one of few pairs for its members gives these pairs, and
-  only the rest meet by elements. Members of a key that few share need no buckets: those that are not linked to a hub are
+  bands of |D|. A bucket without a start or without a partner goes at once, one with fewer pairs than prefix
+  elements, by a factor, gives these pairs, and only the rest meet by elements. Members of a key that few share need no buckets: those that are not linked to a hub are
   paired with the others of the key. A group of copies thus costs rows in proportion to its size, and no link
   that joins two components is lost.
 * A sketch of a set has the parity of the shingles in each of SKETCH_BITS places. Two sets differ in no fewer shingles than
@@ -50,8 +50,9 @@ from ledgerline.llm.workspace import keep
 DIVERSITY = 200.0
 #: A key of so many members or less gives its pairs, a larger one goes by its hub alone.
 FEW = 4
-#: A bucket of at most so many pairs for each member gives them, a larger one lets its members meet.
-PAIRS = 32
+#: A bucket gives its pairs up to so many for each row that its members would have to meet (two sketches are compared faster than
+#: a row is made and shuffled), and as many as one task compares in seconds. In a larger one the members meet.
+PAIRS, MOST_PAIRS = 16, 1 << 24
 #: Bits of a sketch, in longs.
 SKETCH_BITS = 1024
 SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
@@ -318,8 +319,9 @@ def _maybe(x: str, y: str, percent: int) -> Column:
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """pairs (set_id, hub) with the size of the first, in how many shingles they differ, and whether they are linked."""
-    x = sets.select("set_id", F.col("shingles").alias("x"))
-    y = sets.select(F.col("set_id").alias("hub"), F.col("shingles").alias("y"))
+    # Only sets of pairs move; ids of few pairs are broadcast.
+    x = sets.select("set_id", F.col("shingles").alias("x")).join(pairs.select("set_id"), "set_id", "left_semi")
+    y = sets.select(F.col("set_id").alias("hub"), F.col("shingles").alias("y")).join(pairs.select("hub"), "hub", "left_semi")
     both = pairs.join(x, "set_id").join(y, "hub")
     both = both.withColumn("common", F.size(F.array_intersect("x", "y")).cast("long")).withColumn("n", F.size("x").cast("long")).withColumn("m", F.size("y"))
     union = F.col("n") + F.col("m") - F.col("common")
@@ -333,8 +335,8 @@ def _bucket_pairs(stars: DataFrame, whole: DataFrame, marks: DataFrame, percent:
     members = stars.where(F.col("shared") > FEW).join(open_hubs, "hub")
     bucket = ["hub", "i_band", "j_band"]
     rows = keep(_bucket_rows(members, percent))
-    sizes = rows.groupBy(bucket).agg(F.count_if("starts").alias("us"), F.count_if(~F.col("starts")).alias("vs"), F.min("set_id").alias("one"), F.max("set_id").alias("other"))
-    sizes = sizes.where("us > 0 and vs > 0 and one <> other").select(*bucket, F.xxhash64(*bucket).alias("h"), (F.col("us") * F.col("vs") <= PAIRS * (F.col("us") + F.col("vs"))).alias("small"))
+    sizes = rows.groupBy(bucket).agg(F.count_if("starts").alias("us"), F.count_if(~F.col("starts")).alias("vs"), F.sum("length").alias("rows"), F.min("set_id").alias("one"), F.max("set_id").alias("other"))
+    sizes = sizes.where("us > 0 and vs > 0 and one <> other").select(*bucket, F.xxhash64(*bucket).alias("h"), (F.col("us") * F.col("vs") <= F.least(PAIRS * F.col("rows"), F.lit(MOST_PAIRS))).alias("small"))
     rows = keep(rows.withColumn("h", F.xxhash64(*bucket)).join(sizes, [*bucket, "h"]).drop("h"))
     u = _sketched(rows.where("small and starts").select(*bucket, F.col("set_id").alias("u")), marks, "u")
     v = _sketched(rows.where("small and not starts").select(*bucket, F.col("set_id").alias("v")), marks, "v")
@@ -381,7 +383,7 @@ def ngram_jaccard_join(documents: DataFrame, size: int = 5, percent: int = 80, d
     met = met.unionByName(_pairs_of_few(index, stars).where("u <> v"))
     ends_of = [F.least("u", "v").alias("set_id"), F.greatest("u", "v").alias("hub")]
     met = _sketched(_sketched(met.select(*ends_of).distinct(), marks, "set_id"), marks, "hub").where(_maybe("set_id", "hub", percent)).select("set_id", "hub")
-    rest = met.unionByName(paired.select(*ends_of)).distinct()
+    rest = keep(met.unionByName(paired.select(*ends_of)).distinct())
     links = stars.where("linked").select("set_id", "hub").unionByName(_verified(rest, whole, percent).where("linked").select("set_id", "hub"))
     return sets, keep(links.distinct())
 
