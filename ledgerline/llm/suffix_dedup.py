@@ -211,17 +211,23 @@ def _covered(length: int):
             place = np.array(starts)[of]
             return _spans(np.array(ids)[of[a]], np.array(keys)[of[a]], (place + within)[a], (place + within)[b] + length)
 
+        met: dict[bytes, int] = {}
         for batch in batches:
             ids, keys, starts, sizes = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3, 5))
-            bare = batch.column(4).is_null().to_numpy(zero_copy_only=False)
-            if bare.any():
-                yield _spans(ids[bare], keys[bare], starts[bare], starts[bare] + sizes[bare])
-            texts = batch.column(4)
-            for i in np.flatnonzero(~bare).tolist():
-                waiting.append((int(ids[i]), int(keys[i]), int(starts[i]), texts[i].as_py()))
-                total += int(sizes[i]) - length + 1
+            bare = batch.column(4).is_null().to_numpy(zero_copy_only=False).copy()
+            for i, (own, key, start, text) in enumerate(zip(ids.tolist(), keys.tolist(), starts.tolist(), batch.column(4).to_pylist(), strict=True)):
+                if text is None:
+                    continue
+                # A whole stretch of a smaller id is covered, and its windows are in the levels.
+                if met.setdefault(text, own) < own:
+                    bare[i] = True
+                    continue
+                waiting.append((own, key, start, text))
+                total += len(text) - length + 1
                 if total >= BATCH_WINDOWS:
                     yield judged()
+            if bare.any():
+                yield _spans(ids[bare], keys[bare], starts[bare], starts[bare] + sizes[bare])
         if waiting:
             yield judged()
 

@@ -149,3 +149,17 @@ def test_sketches_leave_no_linked_pair_out(make_documents):
     rows = [tuple(r) for r in both.select("linked", ngram_join._maybe("set_id", "hub", 85), "distance", "set_id_n").collect()]
     assert all(maybe for linked, maybe, _, _ in rows if linked) and any(linked for linked, *_ in rows)
     assert sum(maybe for linked, maybe, _, _ in rows if not linked) * 20 < len(rows)
+
+
+def test_stretches_of_a_smaller_id_are_not_judged_again(monkeypatch):
+    import pyarrow as pa
+
+    judged = []
+    judge = suffix_dedup.IndexFamily.judge
+    monkeypatch.setattr(suffix_dedup.IndexFamily, "judge", lambda self, windows, ids: judged.append(len(windows)) or judge(self, windows, ids))
+    text = bytes(range(97, 122)) * 8
+    rows = [(0, 1, 11, 0, text, 200), (0, 1, 11, 300, text, 200), (0, 2, 12, 5, text, 200), (0, 3, 13, 7, None, 60), (0, 4, 14, 9, text, 200), (0, 4, 14, 400, b"x" + text, 201)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["part", "id", "text_key", "start", "bytes", "size"])
+    spans = sorted(tuple(r.values()) for b in suffix_dedup._covered(50)(iter([batch])) for r in b.to_pylist())
+    assert spans == [(2, 12, 5, 205), (3, 13, 7, 67), (4, 14, 9, 209), (4, 14, 401, 601)]
+    assert sum(judged) == 151 + 151 + 152
