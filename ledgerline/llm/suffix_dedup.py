@@ -37,8 +37,8 @@ def window_anchors(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[n
     if n <= 0:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
     sums = kernels.prefix_hashes(data)
-    starts = np.arange(len(data) - ANCHOR + 1)
-    lowest = kernels.span_hashes(sums, starts, starts + ANCHOR)
+    # As kernels.span_hashes() of all spans of ANCHOR bytes, without index arrays.
+    lowest = kernels.mix((sums[ANCHOR:] - sums[:-ANCHOR]) * kernels.powers(len(sums))[1][: len(data) - ANCHOR + 1])
     # Minima over spans that double, then over the rest: of length - ANCHOR + 1 strings in all.
     span, width = length - ANCHOR + 1, 1
     while width * 2 <= span:
@@ -92,16 +92,21 @@ def _segments(texts: DataFrame, length: int) -> DataFrame:
             for first, data, bounds in kernels.text_slices(batch.column(2)):
                 row, at, anchor = window_anchors(data, bounds, length)
                 rows = len(bounds) - 1
-                # Membership of (row, anchor) in the rows' own lists.
-                member = np.zeros(len(at), bool)
-                hot = np.zeros(len(at), bool)
-                ends = np.searchsorted(row, np.arange(rows + 1))
+                # Membership of (row, anchor) in the rows' own lists, once for windows in a row with one anchor.
+                turn = np.ones(len(at), bool)
+                turn[1:] = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])
+                turn = np.flatnonzero(turn)
+                one, repeats = anchor[turn], np.diff(np.append(turn, len(at)))
+                member = np.zeros(len(turn), bool)
+                hot = np.zeros(len(turn), bool)
+                ends = np.searchsorted(row[turn], np.arange(rows + 1))
                 for i in range(rows):
                     a, b = ends[i], ends[i + 1]
                     k = first + i
-                    member[a:b] = np.isin(anchor[a:b], shared_all[list_at[k] : list_at[k + 1]])
+                    member[a:b] = np.isin(one[a:b], shared_all[list_at[k] : list_at[k + 1]])
                     if hot_at[k + 1] > hot_at[k]:
-                        hot[a:b] = np.isin(anchor[a:b], hot_all[hot_at[k] : hot_at[k + 1]])
+                        hot[a:b] = np.isin(one[a:b], hot_all[hot_at[k] : hot_at[k + 1]])
+                member, hot = np.repeat(member, repeats), np.repeat(hot, repeats)
                 row, at, anchor, hot = row[member], at[member], anchor[member], hot[member]
                 if not len(at):
                     continue
@@ -127,7 +132,8 @@ def _segments(texts: DataFrame, length: int) -> DataFrame:
                 size = end - begin
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(part[head].view(np.int64)),
+                        # Equal windows have equal parts; three bytes deal them as evenly as eight.
+                        pa.array((part[head] & np.uint64(0xFFFFFF)).astype(np.int64)),
                         pa.array(own),
                         pa.array(keys[first + row[head]]),
                                 pa.array(begin - bounds[row[head]]),
