@@ -1,11 +1,14 @@
 """Suffix deduplication: bytes covered by long strings of earlier documents, with a logarithmic index family.
 
-A place in a text is a suffix start with at least `length` bytes behind it. Every such window is
-dealt to a part by its anchor, the smallest hash of the strings of ANCHOR bytes in it; equal windows
-have equal anchors, so a part can judge its windows by itself. Anchors that occur in one document only
-are dropped first.
+A place in a text is a suffix start with at least `length` bytes behind it. Every such window has an anchor, the smallest hash
+of the strings of ANCHOR bytes in it; neighbouring windows of a text with one anchor are a stretch. Equal windows have equal
+anchors, so only stretches of one anchor can share windows.
 
-A part reads its windows in the order of doc_id. In place of a suffix array each batch gets the sorted array of its
+Stretches are compared whole first, by their hashes: one that a smaller id has too is covered. Of an anchor with different
+stretches in several ids, one text of each goes on with its bytes, to the part of the anchor, which judges its windows by itself.
+
+A part reads its stretches in the order of doc_id. In place
+of a suffix array each batch gets the sorted array of its
 distinct windows, `length` bytes each, without positions. They are looked up by binary search in the arrays of the existing
 levels, which hold smaller ids; then the batch becomes a level of its own; while the last two levels are of about one size, they merge, so there are
 logarithmically many. A window is covered if it also starts in a document with a smaller id.
@@ -23,20 +26,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm import kernels
-from ledgerline.llm.runs import keys_of_several
-from ledgerline.llm.workspace import keep, partitions
+from ledgerline.llm.workspace import keep, partitions, release
 
-ANCHOR = 16
-#: Windows of a batch, and documents of an anchor beyond which its windows are dealt by their own hashes.
+ANCHOR = 20
+#: Windows of a batch, and different stretches of an anchor beyond which its windows are dealt by their own hashes.
 BATCH_WINDOWS, HOT_DOCUMENTS = 1 << 17, 5000
+#: Bytes of texts that are looked at together, which fit a core's cache with their hashes, and of stretches in an Arrow batch.
+SLICE, BATCH_BYTES = 1 << 17, 1 << 26
+#: What becomes of a stretch, in the lowest two bits of its mark.
+COVERED, WANTED, HOT = range(3)
 
 
-def window_anchors(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, start in the slice, anchor) of every window of `length` bytes within a row."""
+def stretches(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start in the slice, end, anchor) of the stretches of windows of `length` bytes within a row, and kernels.prefix_hashes()."""
+    sums = kernels.prefix_hashes(data)
     n = len(data) - length + 1
     if n <= 0:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
-    sums = kernels.prefix_hashes(data)
+        return *(np.empty(0, np.int64) for _ in range(3)), np.empty(0, np.uint64), sums
     # As kernels.span_hashes() of all spans of ANCHOR bytes, without index arrays.
     lowest = kernels.mix((sums[ANCHOR:] - sums[:-ANCHOR]) * kernels.powers(len(sums))[1][: len(data) - ANCHOR + 1])
     # Minima over spans that double, then over the rest: of length - ANCHOR + 1 strings in all.
@@ -46,14 +52,32 @@ def window_anchors(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[n
         width *= 2
     if span > width:
         lowest = np.minimum(lowest[: n], lowest[span - width : span - width + n])
-    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[:n]
-    inside = np.arange(n) + length <= bounds[row + 1]
-    at = np.flatnonzero(inside)
-    return row[at], at, lowest[at]
+    turn = np.ones(n, bool)
+    np.not_equal(lowest[1:], lowest[:-1], out=turn[1:])
+    # A row's first window, and the first place behind its last one.
+    cuts = np.concatenate([bounds[:-1], np.maximum(bounds[1:] - length + 1, bounds[:-1])])
+    turn[cuts[cuts < n]] = True
+    begin = np.flatnonzero(turn)
+    end = np.append(begin[1:], n) + length - 1
+    row = np.searchsorted(bounds, begin, "right") - 1
+    inside = begin + length <= bounds[row + 1]
+    begin = begin[inside]
+    return row[inside], begin, end[inside], lowest[begin], sums
+
+
+def _keys(anchor: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """96 bits of a stretch as a long and an int: 44 of its anchor, which are the long's highest, and 52 of its content."""
+    content = content >> np.uint64(12)
+    return (anchor << np.uint64(20) | content >> np.uint64(32)).view(np.int64), content.astype(np.uint32).view(np.int32)
+
 
+def _marks(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Names of stretches within one id; the lowest two bits are left for what becomes of them."""
+    return (kernels.mix(high.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + low.view(np.uint32)) & ~np.uint64(3)).view(np.int64)
 
-def _anchors(texts: DataFrame, length: int) -> DataFrame:
-    """(anchor, id): distinct within a slice; a task reads equal texts with growing ids once."""
+
+def _stretch_keys(texts: DataFrame, length: int) -> DataFrame:
+    """(high, low, id) of all stretches; a task reads equal texts with growing ids once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: dict[int, int] = {}
@@ -65,86 +89,140 @@ def _anchors(texts: DataFrame, length: int) -> DataFrame:
                     fresh[i] = False
                 else:
                     met[k] = d
-            for first, data, bounds in kernels.text_slices(batch.column(2).filter(pa.array(fresh))):
-                row, _, anchor = window_anchors(data, bounds, length)
-                own = ids[fresh][first + row]
-                new = np.ones(len(own), bool)
-                new[1:] = (anchor[1:] != anchor[:-1]) | (own[1:] != own[:-1])
-                yield pa.RecordBatch.from_arrays([pa.array(anchor[new].view(np.int64)), pa.array(own[new])], ["anchor", "id"])
+            for first, data, bounds in kernels.text_slices(batch.column(2).filter(pa.array(fresh)), SLICE):
+                row, begin, end, anchor, sums = stretches(data, bounds, length)
+                high, low = _keys(anchor, kernels.span_hashes(sums, begin, end))
+                yield pa.RecordBatch.from_arrays([pa.array(high), pa.array(low), pa.array(ids[fresh][first + row])], ["high", "low", "id"])
+
+    return texts.select("id", "text_key", "text").mapInArrow(run, "high long, low int, id long")
+
+
+def _compared(keys: DataFrame) -> DataFrame:
+    """(anchor, mark, id) of stretches that a smaller id has whole, and of one text of each of the different stretches of an anchor in several ids.
+
+    An anchor with more than HOT_DOCUMENTS different stretches has one more row, with a null id. Rows are sorted by Spark, which
+    spills, and read once: of the last anchor at most the different stretches of one id are held back, so an anchor may have any number of rows.
+    """
+    most = HOT_DOCUMENTS
 
-    return texts.select("id", "text_key", "text").mapInArrow(run, "anchor long, id long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Of the last anchor: stretches that wait for another id or, if they went out, the last one; how many there were.
+        held, out, count = (np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int64)), False, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            high, low, ids = (np.concatenate([old, batch.column(i).to_numpy(zero_copy_only=False)]) for i, old in enumerate(held))
+            old = len(held[0])
+            new = np.ones(len(high), bool)
+            new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
+            head = np.flatnonzero(new)
+            covered = ids > ids[head][np.cumsum(new) - 1]
+            covered[1:] &= new[1:] | (ids[1:] != ids[:-1])
+            anchor = high[head] >> 20
+            turn = np.ones(len(head), bool)
+            turn[1:] = anchor[1:] != anchor[:-1]
+            first = np.flatnonzero(turn)
+            sizes = np.diff(np.append(first, len(head)))
+            several = np.minimum.reduceat(ids[head], first) < np.maximum.reduceat(ids[head], first)
+            several[0] |= out
+            wanted = np.repeat(several, sizes)
+            if out:
+                wanted[:old] = False
+            # How many different stretches the anchors had before this batch, and have with it.
+            before = np.zeros(len(first), np.int64)
+            before[0] = count if old else 0
+            after = before + sizes
+            after[0] -= old
+            hot = anchor[first][(before <= most) & (after > most)]
+            wanted = head[wanted]
+            covered = np.flatnonzero(covered)
+            marks = _marks(high, low)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.r_[high[covered] >> 20, high[wanted] >> 20, hot]),
+                    pa.array(np.r_[marks[covered] | COVERED, marks[wanted] | WANTED, hot]),
+                    pa.array(np.r_[ids[covered], ids[wanted], hot], mask=np.arange(len(covered) + len(wanted) + len(hot)) >= len(covered) + len(wanted)),
+                ],
+                ["anchor", "mark", "id"],
+            )
+            out, count = bool(several[-1]), int(after[-1])
+            last = head[-1:] if out else head[first[-1] :]
+            held = high[last], low[last], ids[last]
+
+    dealt = keys.repartition(partitions(keys.sparkSession), F.shiftright("high", 20)).sortWithinPartitions("high", "low", "id")
+    return dealt.mapInArrow(run, "anchor long, mark long, id long")
 
 
 SEGMENT = "part long, id long, text_key long, start long, bytes binary, size long"
 
 
+def _kinds(row: np.ndarray, marks: np.ndarray, of: np.ndarray, listed: np.ndarray) -> np.ndarray:
+    """What becomes of the stretches of a slice's rows, -1 if nothing does, by the listed marks of the rows `of`."""
+    if not len(listed):
+        return np.full(len(row), -1)
+    salted = lambda r, m: m.view(np.uint64) ^ kernels.mix(r.astype(np.uint64) + np.uint64(1))
+    theirs = salted(of, listed >> 2)
+    order = np.argsort(theirs)
+    at = np.minimum(np.searchsorted(theirs[order], salted(row, marks >> 2)), len(order) - 1)
+    found = order[at]
+    return np.where((of[found] == row) & (listed[found] >> 2 == marks >> 2), listed[found] & 3, -1)
+
+
 def _segments(texts: DataFrame, length: int) -> DataFrame:
-    """Stretches of windows with one shared anchor. A stretch that this task met in a smaller id goes on without its bytes: it is covered."""
+    """Covered stretches without their bytes, neighbours as one, and the wanted ones with them; windows of a hot anchor one by one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: dict[int, int] = {}
         for batch in batches:
             ids, keys = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            lists, hots = batch.column(3), batch.column(4)
-            list_at, hot_at = lists.offsets.to_numpy(), hots.offsets.to_numpy()
-            shared_all = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
-            hot_all = hots.values.to_numpy(zero_copy_only=False).view(np.uint64)
-            for first, data, bounds in kernels.text_slices(batch.column(2)):
-                row, at, anchor = window_anchors(data, bounds, length)
-                rows = len(bounds) - 1
-                # Membership of (row, anchor) in the rows' own lists, once for windows in a row with one anchor.
-                turn = np.ones(len(at), bool)
-                turn[1:] = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])
-                turn = np.flatnonzero(turn)
-                one, repeats = anchor[turn], np.diff(np.append(turn, len(at)))
-                member = np.zeros(len(turn), bool)
-                hot = np.zeros(len(turn), bool)
-                ends = np.searchsorted(row[turn], np.arange(rows + 1))
-                for i in range(rows):
-                    a, b = ends[i], ends[i + 1]
-                    k = first + i
-                    member[a:b] = np.isin(one[a:b], shared_all[list_at[k] : list_at[k + 1]])
-                    if hot_at[k + 1] > hot_at[k]:
-                        hot[a:b] = np.isin(one[a:b], hot_all[hot_at[k] : hot_at[k + 1]])
-                member, hot = np.repeat(member, repeats), np.repeat(hot, repeats)
-                row, at, anchor, hot = row[member], at[member], anchor[member], hot[member]
-                if not len(at):
+            lists = batch.column(3)
+            list_at, listed = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+            for first, data, bounds in kernels.text_slices(batch.column(2), SLICE):
+                row, begin, end, anchor, sums = stretches(data, bounds, length)
+                if not len(row):
                     continue
-                sums = kernels.prefix_hashes(data)
-                # Windows of a hot anchor go by their own hashes, one by one.
-                part = np.where(hot, kernels.span_hashes(sums, at, at + length), anchor)
-                new = np.ones(len(at), bool)
-                new[1:] = (part[1:] != part[:-1]) | (at[1:] != at[:-1] + 1) | (row[1:] != row[:-1]) | hot[1:]
-                head = np.flatnonzero(new)
-                last = np.append(head[1:], len(at)) - 1
-                begin, end = at[head], at[last] + length
-                content = kernels.span_hashes(sums, begin, end).tolist()
-                own = ids[first + row[head]]
-                raw = data.tobytes()
-                pieces = []
-                for c, d, a, b in zip(content, own.tolist(), begin.tolist(), end.tolist(), strict=True):
-                    if met.get(c, d) < d:
-                        pieces.append(b - a)
-                    else:
-                        met[c] = d
-                        pieces.append(raw[a:b])
-                covered = [isinstance(p, int) for p in pieces]
-                size = end - begin
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        # Equal windows have equal parts; three bytes deal them as evenly as eight.
-                        pa.array((part[head] & np.uint64(0xFFFFFF)).astype(np.int64)),
-                        pa.array(own),
-                        pa.array(keys[first + row[head]]),
-                                pa.array(begin - bounds[row[head]]),
-                        pa.array([None if c else p for c, p in zip(covered, pieces, strict=True)], pa.binary()),
-                        pa.array(size),
-                    ],
-                    ["part", "id", "text_key", "start", "bytes", "size"],
-                )
+                marks = _marks(*_keys(anchor, kernels.span_hashes(sums, begin, end)))
+                at = list_at[first : first + len(bounds)]
+                kind = _kinds(row, marks, np.repeat(np.arange(len(bounds) - 1), np.diff(at)), listed[at[0] : at[-1]])
+                bare, wanted, hot = (kind == k for k in (COVERED, WANTED, HOT))
+                # Neighbouring covered stretches of a row share all but one byte of a window.
+                head = np.flatnonzero(bare & ~np.r_[False, bare[:-1] & (row[1:] == row[:-1])])
+                last = np.flatnonzero(bare & ~np.r_[bare[1:] & (row[1:] == row[:-1]), False])
+                windows = end[hot] - begin[hot] - length + 1
+                one = np.repeat(begin[hot] - np.cumsum(windows) + windows, windows) + np.arange(windows.sum())
+                part = np.r_[anchor[head], anchor[wanted], kernels.span_hashes(sums, one, one + length)]
+                of = np.r_[row[head], row[wanted], np.repeat(row[hot], windows)]
+                start = np.r_[begin[head], begin[wanted], one]
+                size = np.r_[end[last] - begin[head], end[wanted] - begin[wanted], np.full(len(one), length)]
+                filled = np.arange(len(of)) >= len(head)
+                own = first + of
+                columns = [
+                    # Equal windows have equal parts; three bytes deal them as evenly as eight.
+                    (part & np.uint64(0xFFFFFF)).astype(np.int64),
+                    ids[own],
+                    keys[own],
+                    start - bounds[of],
+                ]
+                stops = np.cumsum(np.where(filled, size, 0))
+                cuts = np.unique(np.r_[np.searchsorted(stops, np.arange(0, stops[-1] if len(stops) else 0, BATCH_BYTES)), len(of)])
+                for a, b in zip(np.r_[0, cuts], cuts, strict=False):
+                    if a < b:
+                        yield pa.RecordBatch.from_arrays(
+                            [*(pa.array(c[a:b]) for c in columns), _pieces(data, start[a:b], size[a:b], filled[a:b]), pa.array(size[a:b])],
+                            ["part", "id", "text_key", "start", "bytes", "size"],
+                        )
 
     # All columns of the texts are read, so that this is the same shuffle as that of remove_repeats().
-    return texts.select("id", "text_key", "text", "shared", "hot", *[c for c in texts.columns if c not in ("id", "text_key", "text", "shared", "hot")]).mapInArrow(run, SEGMENT)
+    return texts.select("id", "text_key", "text", "marks", *[c for c in texts.columns if c not in ("id", "text_key", "text", "marks")]).mapInArrow(run, SEGMENT)
+
+
+def _pieces(data: np.ndarray, start: np.ndarray, size: np.ndarray, filled: np.ndarray) -> pa.Array:
+    """The bytes of filled pieces; the others are null."""
+    long = np.where(filled, size, 0)
+    stops = np.cumsum(long)
+    offsets = np.r_[0, stops].astype(np.int32)
+    content = data[np.repeat(start - stops + long, long) + np.arange(offsets[-1])]
+    valid = np.packbits(filled, bitorder="little")
+    return pa.Array.from_buffers(pa.binary(), len(size), [pa.py_buffer(valid), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(content))])
 
 
 class Level:
@@ -190,22 +268,25 @@ class IndexFamily:
         return covered
 
 
+def _places(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each window in texts of `sizes` bytes one after the other: its place in its text, and in all of them."""
+    windows = sizes - length + 1
+    within = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+    return within, np.repeat(np.cumsum(sizes) - sizes, windows) + within
+
+
 def _covered(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        family, waiting, total = IndexFamily(), [], 0
-
-        def judged() -> pa.RecordBatch:
-            nonlocal total
-            ids, keys, starts, texts = zip(*waiting, strict=True)
-            waiting.clear()
-            total = 0
-            sizes = np.array([len(t) - length + 1 for t in texts])
+        family, waiting = IndexFamily(), []
+
+        def judged(rows: list[tuple]) -> pa.RecordBatch:
+            ids, keys, starts, texts = zip(*rows, strict=True)
+            sizes = np.array([len(t) for t in texts])
             # No byte of UTF-8 is 255; zeros would end a fixed-width string.
             data = np.frombuffer(b"".join(texts), np.uint8).copy()
             data[data == 0] = 255
-            of = np.repeat(np.arange(len(sizes)), sizes)
-            within = np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            at = np.repeat(np.cumsum(sizes + length - 1) - (sizes + length - 1), sizes) + within
+            of = np.repeat(np.arange(len(sizes)), sizes - length + 1)
+            within, at = _places(sizes, length)
             windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, length)[at]).view(f"S{length}").ravel()
             hit = family.judge(windows, np.array(ids)[of])
             # Runs of covered windows within a stretch.
@@ -229,13 +310,19 @@ def _covered(length: int):
                     bare[i] = True
                     continue
                 waiting.append((own, key, start, text))
-                total += len(text) - length + 1
-                if total >= BATCH_WINDOWS:
-                    yield judged()
             if bare.any():
                 yield _spans(ids[bare], keys[bare], starts[bare], starts[bare] + sizes[bare])
-        if waiting:
-            yield judged()
+        if not waiting:
+            return
+        rows, total = [], 0
+        for w in waiting:
+            rows.append(w)
+            total += len(w[3]) - length + 1
+            if total >= BATCH_WINDOWS:
+                yield judged(rows)
+                rows, total = [], 0
+        if rows:
+            yield judged(rows)
 
     return run
 
@@ -244,8 +331,8 @@ def _spans(ids, keys, starts, ends) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.asarray(x, np.int64)) for x in (ids, keys, starts, ends)], ["id", "text_key", "start", "end"])
 
 
-def covered_spans(texts: DataFrame, length: int) -> DataFrame:
-    """(id, spans): stretches (text_key, start, end) of covered bytes, maybe overlapping, of the rows of each id."""
+def covered_spans(texts: DataFrame, dealt: DataFrame, length: int) -> DataFrame:
+    """(id, spans): stretches (text_key, start, end) of covered bytes, maybe overlapping, of the rows of each id. `dealt`: the texts, dealt by id."""
     spark = texts.sparkSession
     narrow = texts.select("id", "text_key", F.octet_length("text").cast("long").alias("n"))
     owners = narrow.groupBy("text_key").agg(F.min("id").alias("owner"), F.count("*").alias("copies")).where("copies > 1")
@@ -254,14 +341,18 @@ def covered_spans(texts: DataFrame, length: int) -> DataFrame:
     whole = copies.where(F.col("n") >= length).select("id", "text_key", F.lit(0).cast("long").alias("start"), F.col("n").alias("end"))
     # Copies are judged by their owner, unless another text has the same id.
     texts_of = narrow.join(copies.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.countDistinct("text_key").alias("texts"))
-    judged = copies.groupBy("id").agg(F.count("*").alias("copied")).join(texts_of, "id").where("copied = texts").select("id")
-    shared = keep(keys_of_several(_anchors(texts, length), "anchor", "id", HOT_DOCUMENTS))
-    hot = shared.where("id is null").select("anchor", F.xxhash64("anchor").alias("h"), F.lit(True).alias("is_hot"))
-    marked = shared.where("id is not null").join(judged, "id", "left_anti").withColumn("h", F.xxhash64("anchor")).join(hot, ["anchor", "h"], "left")
-    own = marked.groupBy("id").agg(F.collect_list("anchor").alias("shared"), F.collect_list(F.when(F.col("is_hot"), F.col("anchor"))).alias("hot"))
-    segments = _segments(texts.join(own, "id"), length)
-    dealt = segments.repartition(partitions(spark) * 4, "part").sortWithinPartitions("id", "part")
-    spans = dealt.mapInArrow(_covered(length), "id long, text_key long, start long, end long").unionByName(whole)
+    judged = keep(copies.groupBy("id").agg(F.count("*").alias("copied")).join(texts_of, "id").where("copied = texts").select("id"))
+    found = keep(_compared(_stretch_keys(texts, length)))
+    hot = keep(found.where("id is null").select("anchor", F.lit(HOT).cast("long").alias("hot")))
+    release(spark)
+    kind = F.col("mark").bitwiseAND(F.lit(3))
+    wanted = found.where(F.col("id").isNotNull() & (kind == WANTED)).join(hot, "anchor", "left")
+    wanted = wanted.select("id", F.when(F.col("hot").isNull(), F.col("mark")).otherwise(F.col("mark") - WANTED + HOT).alias("mark"))
+    marked = found.where(F.col("id").isNotNull() & (kind == COVERED)).select("id", "mark").unionByName(wanted)
+    own = marked.groupBy("id").agg(F.collect_list("mark").alias("marks")).join(judged, "id", "left_anti")
+    segments = _segments(dealt.join(own, "id"), length)
+    parts = segments.repartition(partitions(spark) * 4, "part").sortWithinPartitions("id", "part")
+    spans = parts.mapInArrow(_covered(length), "id long, text_key long, start long, end long").unionByName(whole)
     return spans.groupBy("id").agg(F.collect_list(F.struct("text_key", "start", "end")).alias("spans"))
 
 
@@ -307,18 +398,21 @@ def remove_repeats(documents: DataFrame, length: int = 50, doc_id: str = "doc_id
         F.col(text).isNull().alias("none"),
         F.struct(*others).alias("row"),
     )
-    # Dealt out once: the search for spans and the cut read the same shuffle.
-    rows = rows.repartition(partitions(documents.sparkSession), "id")
-    cut = rows.join(covered_spans(rows, length), "id", "left")
+    # Dealt out once: the bytes of stretches and the cut are read from the same shuffle.
+    dealt = rows.repartition(partitions(documents.sparkSession), "id")
+    cut = dealt.join(covered_spans(rows, dealt, length), "id", "left")
     fields = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * with_text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             keys, nulls = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            for i, (key, none) in enumerate(zip(keys, nulls, strict=True)):
-                data, spans = batch.column(0)[i].as_py().encode(), batch.column(3)[i].as_py()
-                runs = merged_spans(sorted((s["start"], s["end"]) for s in spans or () if s["text_key"] == key))
+            texts, spans = batch.column(0).cast(pa.binary()).to_pylist(), batch.column(3)
+            at = spans.offsets.to_pylist()
+            of, starts, ends = (spans.values.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+            for i, (data, key, none) in enumerate(zip(texts, keys, nulls, strict=True)):
+                own = at[i] + np.flatnonzero(of[at[i] : at[i + 1]] == key) if at[i] < at[i + 1] else ()
+                runs = merged_spans(sorted(zip(starts[own].tolist(), ends[own].tolist(), strict=True))) if len(own) else []
                 kept = _without(data, runs)
                 one = [len(data), len(data) - len(kept), len(runs), hashlib.sha256(kept).hexdigest()]
                 if with_text:

@@ -163,3 +163,46 @@ def test_stretches_of_a_smaller_id_are_not_judged_again(monkeypatch):
     spans = sorted(tuple(r.values()) for b in suffix_dedup._covered(50)(iter([batch])) for r in b.to_pylist())
     assert spans == [(2, 12, 5, 205), (3, 13, 7, 67), (4, 14, 9, 209), (4, 14, 401, 601)]
     assert sum(judged) == 151 + 151 + 152
+
+
+def test_repeated_stretches_go_on_once(make_documents, monkeypatch):
+    """Of a passage in many documents one copy's bytes are dealt, and what stands around it where the passage begins and ends."""
+    kept = []
+    segments = suffix_dedup._segments
+    monkeypatch.setattr(suffix_dedup, "_segments", lambda *a: kept.append(segments(*a)) or kept[-1])
+    random.seed(5)
+    prose = lambda n: "".join(random.choices("abcdefgh ", k=n))
+    passage = prose(600)
+    texts = [prose(100) + passage + prose(100) for _ in range(40)]
+    documents = make_documents(texts).repartition(8).select("doc_id", "text")
+    got = remove_repeats(documents, 50).collect()
+    want = brute.without_repeats(list(enumerate(texts)), 50)
+    assert {r.row.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
+    dealt = kept[0].select("id", F.length("bytes").alias("n")).collect()
+    assert 0 < sum(r.n or 0 for r in dealt) < 12_000
+    assert len(dealt) < 8 * len(texts)
+
+
+@pytest.mark.parametrize("rows_a_batch", [1, 3, 1000])
+def test_stretches_are_compared_whole(spark, monkeypatch, rows_a_batch):
+    monkeypatch.setattr(suffix_dedup, "HOT_DOCUMENTS", 3)
+    random.seed(rows_a_batch)
+    rows = [(random.choice((-7, -1, 0, 4, 9, 10)) << 20 | 5, random.randrange(4), random.randrange(6)) for _ in range(40)]
+    rows += [(77 << 20 | k, k, 3) for k in range(9)] + [(78 << 20 | k, k, 3 + k // 7) for k in range(9)] + [(79 << 20, 0, 8)] * 3
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_a_batch)
+    try:
+        got = suffix_dedup._compared(spark.createDataFrame(rows, "high long, low int, id long").coalesce(1)).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    first, contents, wanted = {}, {}, set()
+    for high, low, i in rows:
+        first[high, low] = min(i, first.get((high, low), i))
+        contents.setdefault(high >> 20, set()).add((high, low))
+    for anchor, group in contents.items():
+        if len({first[c] for c in group}) > 1:
+            wanted |= {(anchor, first[c], c) for c in group}
+    found = {(r.anchor, r.id, r.mark & 3) for r in got if r.id is not None}
+    assert found == {(h >> 20, i, 0) for h, low, i in rows if i > first[h, low]} | {(a, i, 1) for a, i, _ in wanted}
+    assert sum(r.id is not None and r.mark & 3 == 1 for r in got) == len(wanted)
+    assert {r.anchor for r in got if r.id is None} == {a for a, group in contents.items() if len(group) > 3}
