@@ -7,7 +7,7 @@ anchors, so only stretches of one anchor can share windows.
 Stretches are compared whole first, by their hashes: one that a smaller id has too is covered. Of an anchor with different
 stretches in several ids, one text of each goes on with its bytes, to the part of the anchor, which judges its windows by itself.
 
-A part reads its stretches in the order of doc_id. In place
+A part reads its stretches in the order of doc_id and leaves those out of which no window's hash comes in another id. In place
 of a suffix array each batch gets the sorted array of its
 distinct windows, `length` bytes each, without positions. They are looked up by binary search in the arrays of the existing
 levels, which hold smaller ids; then the batch becomes a level of its own; while the last two levels are of about one size, they merge, so there are
@@ -268,6 +268,29 @@ class IndexFamily:
         return covered
 
 
+def _partnered(ids: np.ndarray, texts: list[bytes], length: int) -> np.ndarray:
+    """Which stretches have a window whose hash comes in another id as well; the others need no look at their windows."""
+    sizes = np.array([len(t) for t in texts])
+    stops = np.cumsum(sizes)
+    hashes, at = [], 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(stops, stops[at] - sizes[at] + SLICE, "right")))
+        _, place = _places(sizes[at:to], length)
+        hashes.append(kernels.span_hashes(kernels.prefix_hashes(np.frombuffer(b"".join(texts[at:to]), np.uint8)), place, place + length))
+        at = to
+    hashes = np.concatenate(hashes)
+    order = np.argsort(hashes)
+    of = np.repeat(np.arange(len(texts)), sizes - length + 1)[order]
+    hashes, own = hashes[order], ids[of]
+    new = np.ones(len(hashes), bool)
+    new[1:] = hashes[1:] != hashes[:-1]
+    head = np.flatnonzero(new)
+    several = np.minimum.reduceat(own, head) < np.maximum.reduceat(own, head)
+    found = np.zeros(len(texts), bool)
+    found[of[np.repeat(several, np.diff(np.append(head, len(new))))]] = True
+    return found
+
+
 def _places(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Of each window in texts of `sizes` bytes one after the other: its place in its text, and in all of them."""
     windows = sizes - length + 1
@@ -314,13 +337,16 @@ def _covered(length: int):
                 yield _spans(ids[bare], keys[bare], starts[bare], starts[bare] + sizes[bare])
         if not waiting:
             return
+        met.clear()
+        found = _partnered(np.array([w[0] for w in waiting]), [w[3] for w in waiting], length)
         rows, total = [], 0
-        for w in waiting:
-            rows.append(w)
-            total += len(w[3]) - length + 1
-            if total >= BATCH_WINDOWS:
-                yield judged(rows)
-                rows, total = [], 0
+        for w, partnered in zip(waiting, found.tolist(), strict=True):
+            if partnered:
+                rows.append(w)
+                total += len(w[3]) - length + 1
+                if total >= BATCH_WINDOWS:
+                    yield judged(rows)
+                    rows, total = [], 0
         if rows:
             yield judged(rows)
 

@@ -183,6 +183,23 @@ def test_repeated_stretches_go_on_once(make_documents, monkeypatch):
     assert len(dealt) < 8 * len(texts)
 
 
+def test_stretches_of_an_anchor_without_a_common_window_are_not_judged(monkeypatch):
+    import pyarrow as pa
+
+    judged = []
+    judge = suffix_dedup.IndexFamily.judge
+    monkeypatch.setattr(suffix_dedup.IndexFamily, "judge", lambda self, windows, ids: judged.append(len(windows)) or judge(self, windows, ids))
+    random.seed(6)
+    text = lambda: bytes(random.choices(range(97, 123), k=30))
+    rows = [(9, i, 100 + i, 5, text() + b"the anchor of them all" + text(), 82) for i in range(20)]
+    shared = rows[3][4][10:65]
+    rows.append((9, 30, 130, 40, b"x" + shared, 56))
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["part", "id", "text_key", "start", "bytes", "size"])
+    spans = [tuple(r.values()) for b in suffix_dedup._covered(50)(iter([batch])) for r in b.to_pylist()]
+    assert spans == [(30, 130, 41, 96)]
+    assert sum(judged) == 33 + 7
+
+
 @pytest.mark.parametrize("rows_a_batch", [1, 3, 1000])
 def test_stretches_are_compared_whole(spark, monkeypatch, rows_a_batch):
     monkeypatch.setattr(suffix_dedup, "HOT_DOCUMENTS", 3)
